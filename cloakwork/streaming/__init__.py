@@ -1,0 +1,5 @@
+"""No streaming operators: every input of the covered workload is a finite table.
+
+Fitted transformers (``operators.encode``) are plain column expressions, so they also
+apply to a streaming DataFrame; see ``tests/test_encode.py``.
+"""
