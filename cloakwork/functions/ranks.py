@@ -193,7 +193,8 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str = "idx") ->
     for r in parts.groupBy("_part").count().orderBy("_part").collect():  # one row per partition
         pairs.append((r["_part"], offset))
         offset += r["count"]
-    starts = df.sparkSession.createDataFrame(pairs or [(0, 0)], "_part int, _start bigint")
+    cells = [F.struct(F.lit(p).alias("_part"), F.lit(o).cast("bigint").alias("_start")) for p, o in pairs or [(0, 0)]]
+    starts = df.sparkSession.range(1).select(F.inline(F.array(*cells)))
     win = Window.partitionBy("_part").orderBy(*order)
     return (
         parts.join(starts, "_part")
