@@ -96,46 +96,50 @@ def rank_select(
     """Value at a 1-based rank, for every row (by..., rank) of ``targets``.
 
     Adds ``value``, ``below`` and ``upto`` (weight strictly before it and including
-    it) and ``next_value`` (the following distinct value, null at the end).
+    it), ``rows_below`` and ``rows_upto`` (the same in rows) and ``next_value`` (the
+    following distinct value, null at the end).
     """
-    w = F.sum(weight) if weight else F.count(F.lit(1))
+    n = F.count(F.lit(1))
+    w = F.sum(weight) if weight else n
     names = list(targets.columns)
-    if bucket is None:
-        freq = items.groupBy(*by, F.col(value).alias("value")).agg(w.alias("w"))
-        runs = running_sums(freq, by, "value", ["w"])
-        return (
-            runs.join(targets, by)
-            .filter((F.col("run_w") >= F.col("rank")) & (F.col("run_w") - F.col("w") < F.col("rank")))
-            .select(*names, "value", (F.col("run_w") - F.col("w")).alias("below"), F.col("run_w").alias("upto"), "next_value")
+    here = (F.col("upto") >= F.col("rank")) & (F.col("below") < F.col("rank"))
+    found = ["value", "below", "upto", "rows_below", "rows_upto", "next_value"]
+
+    def located(runs: DataFrame, w0: Column, r0: Column) -> DataFrame:
+        return runs.withColumns(
+            {
+                "upto": w0 + F.col("run_w"),
+                "below": w0 + F.col("run_w") - F.col("w"),
+                "rows_upto": r0 + F.col("run_r"),
+                "rows_below": r0 + F.col("run_r") - F.col("r"),
+            }
         )
-    hist = items.groupBy(*by, bucket).agg(w.alias("bw"), F.min(value).alias("bmin"))
+
+    if bucket is None:
+        freq = items.groupBy(*by, F.col(value).alias("value")).agg(w.alias("w"), n.alias("r"))
+        runs = running_sums(freq, by, "value", ["w", "r"])
+        zero = F.lit(0).cast("bigint")
+        return located(runs.join(targets, by), zero, zero).filter(here).select(*names, *found)
+    hist = items.groupBy(*by, bucket).agg(w.alias("bw"), n.alias("br"), F.min(value).alias("bmin"))
     win = Window.partitionBy(*by).orderBy(bucket)
-    edges = hist.select(
-        *by, bucket, F.sum("bw").over(win).alias("b_upto"), "bw", F.lead("bmin").over(win).alias("b_next")
-    )
     hit = (
-        edges.join(targets, by)
-        .filter((F.col("b_upto") >= F.col("rank")) & (F.col("b_upto") - F.col("bw") < F.col("rank")))
-        .withColumn("offset", F.col("b_upto") - F.col("bw"))
-        .drop("b_upto", "bw")
+        hist.withColumns({"b_w": F.sum("bw").over(win), "b_r": F.sum("br").over(win), "b_next": F.lead("bmin").over(win)})
+        .join(targets, by)
+        .filter((F.col("b_w") >= F.col("rank")) & (F.col("b_w") - F.col("bw") < F.col("rank")))
+        .withColumns({"w0": F.col("b_w") - F.col("bw"), "r0": F.col("b_r") - F.col("br")})
+        .drop("b_w", "bw", "b_r", "br", "bmin")
     )
     freq = (
         items.join(hit.select(*by, bucket).distinct(), [*by, bucket], "left_semi")
         .groupBy(*by, bucket, F.col(value).alias("value"))
-        .agg(w.alias("w"))
+        .agg(w.alias("w"), n.alias("r"))
     )
-    runs = running_sums(freq, [*by, bucket], "value", ["w"])
-    upto = F.col("offset") + F.col("run_w")
+    runs = running_sums(freq, [*by, bucket], "value", ["w", "r"]).join(hit, [*by, bucket])
     return (
-        runs.join(hit, [*by, bucket])
-        .filter((upto >= F.col("rank")) & (upto - F.col("w") < F.col("rank")))
-        .select(
-            *names,
-            "value",
-            (upto - F.col("w")).alias("below"),
-            upto.alias("upto"),
-            F.coalesce("next_value", "b_next").alias("next_value"),
-        )
+        located(runs, F.col("w0"), F.col("r0"))
+        .filter(here)
+        .withColumn("next_value", F.coalesce("next_value", "b_next"))
+        .select(*names, *found)
     )
 
 

@@ -45,7 +45,7 @@ def mutual_information(df: DataFrame, cols: list[str], label: str, bins: int = 1
     binned = df.select(
         F.col(label).alias("label"),
         *[
-            sum(((F.col(c) > F.lit(v)).cast("int") for v in sorted(set(cuts[c].values()))), F.lit(0)).alias(c)
+            sum(((F.col(c) >= F.lit(v)).cast("int") for v in sorted(set(cuts[c].values()))), F.lit(0)).alias(c)
             for c in cols
         ],
     )
