@@ -96,14 +96,16 @@ def rank_select(
     """Value at a 1-based rank, for every row (by..., rank) of ``targets``.
 
     Adds ``value``, ``below`` and ``upto`` (weight strictly before it and including
-    it), ``rows_below`` and ``rows_upto`` (the same in rows) and ``next_value`` (the
-    following distinct value, null at the end).
+    it), ``rows_below`` and ``rows_upto`` (the same in rows), ``next_value`` (the
+    following distinct value, null at the end) and the ends of the whole group:
+    ``least``, ``most`` and ``rows_all``.
     """
     n = F.count(F.lit(1))
     w = F.sum(weight) if weight else n
     names = list(targets.columns)
     here = (F.col("upto") >= F.col("rank")) & (F.col("below") < F.col("rank"))
-    found = ["value", "below", "upto", "rows_below", "rows_upto", "next_value"]
+    found = ["value", "below", "upto", "rows_below", "rows_upto", "next_value", "least", "most", "rows_all"]
+    group = Window.partitionBy(*by)
 
     def located(runs: DataFrame, w0: Column, r0: Column) -> DataFrame:
         return runs.withColumns(
@@ -117,17 +119,22 @@ def rank_select(
 
     if bucket is None:
         freq = items.groupBy(*by, F.col(value).alias("value")).agg(w.alias("w"), n.alias("r"))
-        runs = running_sums(freq, by, "value", ["w", "r"])
+        runs = running_sums(freq, by, "value", ["w", "r"]).withColumns(
+            {"least": F.min("value").over(group), "most": F.max("value").over(group), "rows_all": F.sum("r").over(group)}
+        )
         zero = F.lit(0).cast("bigint")
         return located(runs.join(targets, by), zero, zero).filter(here).select(*names, *found)
-    hist = items.groupBy(*by, bucket).agg(w.alias("bw"), n.alias("br"), F.min(value).alias("bmin"))
+    hist = items.groupBy(*by, bucket).agg(
+        w.alias("bw"), n.alias("br"), F.min(value).alias("bmin"), F.max(value).alias("bmax")
+    )
     win = Window.partitionBy(*by).orderBy(bucket)
     hit = (
         hist.withColumns({"b_w": F.sum("bw").over(win), "b_r": F.sum("br").over(win), "b_next": F.lead("bmin").over(win)})
+        .withColumns({"least": F.min("bmin").over(group), "most": F.max("bmax").over(group), "rows_all": F.sum("br").over(group)})
         .join(targets, by)
         .filter((F.col("b_w") >= F.col("rank")) & (F.col("b_w") - F.col("bw") < F.col("rank")))
         .withColumns({"w0": F.col("b_w") - F.col("bw"), "r0": F.col("b_r") - F.col("br")})
-        .drop("b_w", "bw", "b_r", "br", "bmin")
+        .drop("b_w", "bw", "b_r", "br", "bmin", "bmax")
     )
     freq = (
         items.join(hit.select(*by, bucket).distinct(), [*by, bucket], "left_semi")

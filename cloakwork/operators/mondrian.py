@@ -110,20 +110,16 @@ def _splits(tuples: DataFrame, nodes: DataFrame, k: int, strict: bool, d: int, b
     v = F.element_at(F.array(*[F.col(f"q{j}") for j in range(d)]), dim + 1)
     b = F.element_at(F.array(*[F.col(f"q{j}__b") for j in range(d)]), dim + 1) if bucketed else F.lit(0)
     items = tuples.join(nodes.select("ec", "dim"), "ec").select("ec", "tid", "w", v.alias("v"), b.alias("b"))
-    tight = items.groupBy("ec").agg(F.min("v").alias("v_lo"), F.max("v").alias("v_hi"), F.count(F.lit(1)).alias("m_all"))
-    targets = nodes.select("ec", F.floor(F.col("n") / 2).alias("rank"))
-    cut = rank_select(items, ["ec"], "v", targets, "w", "b" if bucketed else None)
-    out = nodes.join(tight, "ec").join(cut, "ec")
+    targets = nodes.withColumn("rank", F.floor(F.col("n") / 2))
+    out = rank_select(items, ["ec"], "v", targets, "w", "b" if bucketed else None)
     if strict:
         ok = F.col("next_value").isNotNull() & (F.col("upto") >= k) & (F.col("n") - F.col("upto") >= k)
         return out.withColumns({"ok": ok, "cut_tid": F.lit(None).cast("bigint"), "cut_left": F.lit(0).cast("bigint")})
-    out = out.withColumns({"ok": F.col("v_lo") < F.col("v_hi"), "need": F.col("rank") - F.col("below")})
-    tied = out.filter(F.col("ok") & (F.col("need") < F.col("upto") - F.col("below"))).select("ec", "value", "need")
-    ties = (
-        items.join(tied, (items["ec"] == tied["ec"]) & (items["v"] == tied["value"]))
-        .select(items["ec"], "tid", "w", F.shiftright("tid", 33).alias("part"))
-    )
-    shared = rank_select(ties, ["ec"], "tid", tied.select("ec", F.col("need").alias("rank")), "w", "part")
+    out = out.withColumns({"ok": F.col("least") < F.col("most"), "need": F.col("rank") - F.col("below")})
+    tied = out.filter(F.col("ok") & (F.col("need") < F.col("upto") - F.col("below")))
+    tied = tied.select("ec", F.col("value").alias("v"), "need")
+    ties = items.join(tied, ["ec", "v"]).select("ec", "tid", "w", F.shiftright("tid", 33).alias("part"))
+    shared = rank_select(ties, ["ec"], "tid", tied.select("ec", F.col("need").alias("rank")), "w", "part" if bucketed else None)
     shared = shared.select("ec", F.col("value").alias("cut_tid"), (F.col("rank") - F.col("below")).alias("cut_left"))
     return out.join(shared, "ec", "left")
 
@@ -131,11 +127,11 @@ def _splits(tuples: DataFrame, nodes: DataFrame, k: int, strict: bool, d: int, b
 def _children(splits: DataFrame, k: int, strict: bool, d: int) -> DataFrame:
     """Node rows after a round: two children of a split class, or the class itself with one dimension less."""
     dim, tried = F.col("dim"), F.array(*[F.lit(False)] * d)
-    lo, hi = _with("lo", dim, F.col("v_lo"), d), _with("hi", dim, F.col("v_hi"), d)
+    lo, hi = _with("lo", dim, F.col("least"), d), _with("hi", dim, F.col("most"), d)
     spent = F.array(*[F.col("tried")[j] | (dim == j) for j in range(d)])
     n_left = F.col("upto") if strict else F.col("rank")
     right_lo = F.col("next_value") if strict else F.when(F.col("cut_tid").isNull(), F.col("next_value")).otherwise(F.col("value"))
-    m_right = F.col("m_all") - (F.col("rows_upto") if strict else F.col("rows_below"))
+    m_right = F.col("rows_all") - (F.col("rows_upto") if strict else F.col("rows_below"))
 
     def node(ec, n, m, lo, hi, tried):
         return F.struct(ec.alias("ec"), n.alias("n"), m.alias("m"), lo.alias("lo"), hi.alias("hi"), tried.alias("tried"))
@@ -147,7 +143,7 @@ def _children(splits: DataFrame, k: int, strict: bool, d: int) -> DataFrame:
         node(F.concat("ec", F.lit("0")), n_left, F.col("rows_upto"), F.col("lo0"), left_hi, tried),
         node(F.concat("ec", F.lit("1")), F.col("n") - n_left, m_right, right, F.col("hi0"), tried),
     )
-    one = F.array(node(F.col("ec"), F.col("n"), F.col("m_all"), F.col("lo0"), F.col("hi0"), spent))
+    one = F.array(node(F.col("ec"), F.col("n"), F.col("rows_all"), F.col("lo0"), F.col("hi0"), spent))
     return s.select(F.inline(F.when(F.col("ok"), two).otherwise(one)))
 
 
@@ -270,14 +266,19 @@ def mondrian(
     )
     splittable = (F.floor(F.col("n") / 2) >= k) & (F.col("m") > 1) & F.array_contains("tried", False)
     big = splittable & (F.col("m") > local)
-    rounds, open_big, small, stale, owned = 0, nodes.filter(big), [nodes.filter(splittable & ~big)], 0, base
-    while open_big.limit(1).count():
+    rounds, stale, owned = 0, 0, base
+    open_big, small = nodes.filter(big), [nodes.filter(splittable & ~big)]
+    n_big = int(m > local and n // 2 >= k and m > 1)
+    while n_big:
         rounds += 1
         chosen = open_big.withColumn("dim", _choose(ranges))
         splits = materialize(_splits(tuples, chosen, k, strict, d, bucketed))
         after = _children(splits, k, strict, d)
+        # two numbers per round decide whether to go on
+        n_big, n_small = after.agg(F.count_if(big), F.count_if(splittable & ~big)).first()
         open_big = after.filter(big)
-        small.append(after.filter(splittable & ~big))
+        if n_small:
+            small.append(after.filter(splittable & ~big))
         tuples = _relabel(tuples, splits, strict, d)
         stale += 1
         if stale == REWRITE_EVERY:
@@ -288,9 +289,8 @@ def mondrian(
     rest = small[0]
     for part in small[1:]:
         rest = rest.unionByName(part)
-    # the last state of a class that was tried several times is the one with most tried dimensions
-    final = tuples.select("ec", "w", "tid", *names)
     rest = materialize(rest)
+    final = tuples.select("ec", "w", "tid", *names)
     schema = ", ".join(["ec string", "w bigint", "tid bigint", *[f"{c} double" for c in names], "ec_id string"])
     busy = final.join(rest.select("ec"), "ec", "left_semi")
     done = final.join(rest.select("ec"), "ec", "left_anti").withColumn("ec_id", F.col("ec"))
