@@ -310,6 +310,7 @@ def ncp_percent(classes: DataFrame, qi: list[str], ranges: dict[str, float], siz
         (100.0 * F.sum(loss * F.col(size)) / (F.lit(len(qi)) * F.sum(size))).alias("ncp_percent"),
         F.sum(F.col(size) * F.col(size)).alias("discernibility"),
         F.count(F.lit(1)).alias("n_classes"),
+        F.sum(size).alias("n_records"),
     )
 
 
