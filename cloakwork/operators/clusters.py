@@ -104,12 +104,13 @@ class Clusters:
 
     def assign(self, df: DataFrame) -> DataFrame:
         """Any rows to their cheapest cluster: (key, cluster_id, cost), first cluster on ties."""
-        clipped = clip_to(df.select(*dict.fromkeys([self.key, *self.numeric, *self.categorical])), {c: self.bounds[c] for c in self.numeric})
+        order = (*self.numeric, *self.categorical)
+        clipped = clip_to(df.select(F.col(self.key).alias("_id"), *order), {c: self.bounds[c] for c in self.numeric})
         codes = encode.fit_label_codes(self.boxes, list(self.categorical))
         code = lambda d: codes.apply(d).na.fill(-2, list(self.categorical))
         rows = code(clipped).select(
-            F.col(self.key).alias("qid"),
-            F.array(*[q(c).cast("double") for c in (*self.numeric, *self.categorical)]).alias("v"),
+            F.col("_id").alias("qid"),
+            F.array(*[q(c).cast("double") for c in order]).alias("v"),
             F.lit("").alias("g"),
         )
         raw = self.boxes.withColumns({f"{c}__raw": q(c) for c in self.categorical})

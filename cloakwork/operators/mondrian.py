@@ -233,7 +233,7 @@ def mondrian(
     """Partition the rows of ``df`` into classes of at least ``k`` rows.
 
     ``local_tuples`` is the class size below which a class is finished inside one
-    task; by default an eighth of the tuples, never more than ``LOCAL_TUPLES``.
+    task; by default a quarter of the tuples, never more than ``LOCAL_TUPLES``.
     """
     d, names = len(qi), [f"q{j}" for j in range(len(qi))]
     base = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(qi, names)])
@@ -249,7 +249,7 @@ def mondrian(
     m, n = head["m"], head["n"] or 0
     bounds = bounds_of(base, names)
     ranges = [(bounds[c][1] - bounds[c][0]) if m else 0.0 for c in names]
-    local = max(1, min(LOCAL_TUPLES, m // 8)) if local_tuples is None else local_tuples
+    local = max(1, min(LOCAL_TUPLES, m // 4)) if local_tuples is None else local_tuples
     bucketed = bucket_count(m, tuples_per_bucket) > 1
     tuples = base.withColumn("ec", F.lit("r")).select("ec", "w", "tid", *names)
     if bucketed:

@@ -47,16 +47,17 @@ def _candidates(long: DataFrame, by: list[str], bucketed: bool) -> DataFrame:
     cut = ["bucket"] if bucketed else []
     y, w = F.col("y"), F.col("w")
     freq = long.groupBy(*keys, *cut, "value").agg(
-        F.sum(w).cast("double").alias("n"), F.sum(w * y).alias("s"), F.sum(w * y * y).alias("q")
+        F.sum(w).cast("double").alias("n"), F.sum(w * y).alias("s"), F.sum(w * y * y).alias("q"), F.count(F.lit(1)).alias("r")
     )
-    runs = running_sums(freq, keys, "value", ["n", "s", "q"], "bucket" if bucketed else None)
+    runs = running_sums(freq, keys, "value", ["n", "s", "q", "r"], "bucket" if bucketed else None)
     total = freq.groupBy(*keys).agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"), F.sum("q").alias("tq"))
     spread = lambda n, s, q: q - s * s / n
     n, s, q = F.col("run_n"), F.col("run_s"), F.col("run_q")
     tn, ts, tq = F.col("tn"), F.col("ts"), F.col("tq")
     gain = (spread(tn, ts, tq) - spread(n, s, q) - spread(tn - n, ts - s, tq - q)) / tn
     return runs.filter(F.col("next_value").isNotNull()).join(total, keys).select(
-        *keys, ((F.col("value") + F.col("next_value")) / 2).alias("threshold"), gain.alias("gain"), n.alias("n_left"), tn.alias("n")
+        *keys, ((F.col("value") + F.col("next_value")) / 2).alias("threshold"), gain.alias("gain"), n.alias("n_left"), tn.alias("n"),
+        F.col("run_r").alias("rows_left"), s.alias("s_left"), ts.alias("s"),
     )
 
 
@@ -177,11 +178,11 @@ def _local_split(x: np.ndarray, y: np.ndarray, w: np.ndarray, columns, loss: str
 def _finish_small(d: int, opts: dict):
     """Grow one small node to the end inside a task, with the rules of the rounds."""
 
-    def finish(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        tree, root = key
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree, root = int(pdf["tree"].iloc[0]), pdf["node"].iloc[0]
         x = np.stack([np.asarray(v, float) for v in pdf["x"]])
         y, w = pdf["y"].to_numpy(float), pdf["w"].to_numpy(float)
-        rng = np.random.default_rng([opts["seed"], int(tree), len(root), int(root[1:] or "0", 2)])
+        rng = np.random.default_rng([opts["seed"], tree, len(root), int(root[1:] or "0", 2)])
         out, todo = [], [(root, np.arange(len(y)))]
         while todo:
             node, idx = todo.pop()
@@ -254,56 +255,83 @@ def fit_forest(
     else:
         data = data.withColumn("w", F.lit(1))
     state = owned = materialize(data.drop("id").withColumn("node", F.lit("r")))
-    parts, stale, depth = [], 0, 0
+    w, y = F.col("w"), F.col("y")
+    nodes = state.groupBy("tree", "node").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(w).cast("double").alias("n"), (F.sum(w * y) / F.sum(w)).alias("m")
+    )
+    nodes = materialize(nodes)  # one row per open node
+    value = (F.col("m") + F.lit(centre)).alias("value")
+    finished, small, depth, stale = [], [], 0, 0
     while True:
-        sizes = state.groupBy("tree", "node").agg(
-            F.count(F.lit(1)).alias("rows"), F.sum("w").alias("n"), (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("m")
-        )
-        may = (F.col("n") >= min_split) & F.lit(max_depth is None or depth < max_depth)
-        sizes = materialize(sizes.withColumn("kind", F.when(~may, "leaf").when(F.col("rows") <= local, "small").otherwise("big")))
-        kinds = {r["kind"]: r["count"] for r in sizes.groupBy("kind").count().collect()}
-        done = lambda s: s.select(
-            "tree", "node", F.lit(-1).alias("feature"), F.lit(None).cast("double").alias("threshold"),
-            (F.col("m") + F.lit(centre)).alias("value"), F.col("n").cast("bigint").alias("n"),
-        )
-        if kinds.get("leaf"):
-            parts.append(done(sizes.filter(F.col("kind") == "leaf")))
-        if kinds.get("small"):
-            small = state.join(sizes.filter(F.col("kind") == "small").select("tree", "node"), ["tree", "node"], "left_semi")
-            grown = small.select("tree", "node", "x", "y", "w").groupBy("tree", "node").applyInPandas(_finish_small(d, opts), NODES)
-            parts.append(materialize(grown))
-        if not kinds.get("big"):
+        may = (F.col("n") >= min_split) & (F.col("rows") > 1) & F.lit(max_depth is None or depth < max_depth)
+        big, fits = may & (F.col("rows") > local), may & (F.col("rows") <= local)
+        n_leaf, n_small, n_big = nodes.agg(F.count_if(~may), F.count_if(fits), F.count_if(big)).first()
+        if n_leaf:
+            none = F.lit(None).cast("double").alias("threshold")
+            finished.append(nodes.filter(~may).select("tree", "node", F.lit(-1).alias("feature"), none, value, F.col("n").cast("bigint").alias("n")))
+        if n_small:
+            small.append(nodes.filter(fits).select("tree", "node"))
+        if not n_big:
             break
-        big = sizes.filter(F.col("kind") == "big").select("tree", "node", "n", "m")
-        active = state.join(big.select("tree", "node"), ["tree", "node"], "left_semi")
-        cells = F.arrays_zip("x", "b")
-        long = active.select("tree", "node", "y", "w", _feature_subset(d, m, seed).alias("f") if m < d else F.lit(None).alias("f"), F.posexplode(cells).alias("column", "c"))
+        open_big = nodes.filter(big)
+        subset = _feature_subset(d, m, seed).alias("f") if m < d else F.lit(None).alias("f")
+        active = state.join(open_big.select("tree", "node"), ["tree", "node"])
+        long = active.select("tree", "node", "y", "w", subset, F.posexplode(F.arrays_zip("x", "b")).alias("column", "c"))
         if m < d:
             long = long.filter(F.array_contains("f", F.col("column")))
         long = long.select("tree", "node", "column", F.col("c.x").alias("value"), F.col("c.b").alias("bucket"), "y", "w")
         cand = _candidates(long, ["tree", "node"], buckets > 1).filter((F.col("gain") > 0) & (F.col("gain") >= min_gain))
         best = cand.groupBy("tree", "node").agg(
-            F.max_by(F.struct("column", "threshold"), F.struct("gain", -F.col("column"), -F.col("threshold"))).alias("s")
+            F.max_by(
+                F.struct("column", "threshold", "n_left", "rows_left", "s_left", "s"),
+                F.struct("gain", -F.col("column"), -F.col("threshold")),
+            ).alias("b")
         )
         splits = materialize(
-            big.join(best, ["tree", "node"], "left").select(
-                "tree", "node", F.coalesce("s.column", F.lit(-1)).alias("feature"), F.col("s.threshold").alias("threshold"), "n", "m"
+            open_big.join(best, ["tree", "node"], "left").select(
+                "tree", "node", "rows", "n", "m", F.coalesce("b.column", F.lit(-1)).alias("feature"),
+                "b.threshold", "b.n_left", "b.rows_left", "b.s_left", "b.s",
+            )
+        )
+        finished.append(splits.select("tree", "node", "feature", "threshold", value, F.col("n").cast("bigint").alias("n")))
+        go = splits.filter(F.col("feature") >= 0)
+
+        def child(side, rows, n, s):
+            return F.struct(
+                F.col("tree"), F.concat("node", F.lit(side)).alias("node"), rows.alias("rows"), n.alias("n"), (s / n).alias("m")
+            )
+
+        n_left, s_left = F.col("n_left"), F.col("s_left")
+        nodes = go.select(
+            F.inline(
+                F.array(
+                    child("0", F.col("rows_left"), n_left, s_left),
+                    child("1", F.col("rows") - F.col("rows_left"), F.col("n") - n_left, F.col("s") - s_left),
+                )
             )
         )
-        parts.append(splits.select("tree", "node", "feature", "threshold", (F.col("m") + F.lit(centre)).alias("value"), F.col("n").cast("bigint").alias("n")))
-        go = splits.filter(F.col("feature") >= 0).select("tree", "node", "feature", "threshold")
-        left = F.element_at("x", F.col("feature") + 1) <= F.col("threshold")
-        state = active.join(go, ["tree", "node"]).withColumn("node", F.concat("node", F.when(left, "0").otherwise("1"))).drop("feature", "threshold")
+        side = F.when(F.element_at("x", F.col("feature") + 1) <= F.col("threshold"), "0").otherwise("1")
+        moved = state.join(go.select("tree", "node", "feature", "threshold"), ["tree", "node"], "left")
+        state = moved.withColumn("node", F.when(F.col("feature").isNull(), F.col("node")).otherwise(F.concat("node", side)))
+        state = state.drop("feature", "threshold")
         stale, depth = stale + 1, depth + 1
         if stale == REWRITE_EVERY:
             fresh = materialize(state)
             discard(owned)
             state = owned = fresh
             stale = 0
-    nodes = parts[0]
-    for p in parts[1:]:
-        nodes = nodes.unionByName(p)
-    return Forest(tuple(features), materialize(nodes))
+    if small:
+        rest = small[0]
+        for part in small[1:]:
+            rest = rest.unionByName(part)
+        rows_left = state.select("tree", "node", "x", "y", "w").join(rest, ["tree", "node"])
+        finished.append(rows_left.groupBy("tree", "node").applyInPandas(_finish_small(d, opts), NODES))
+    out = finished[0]
+    for part in finished[1:]:
+        out = out.unionByName(part)
+    out = materialize(out)
+    discard(owned)
+    return Forest(tuple(features), out)
 
 
 def bootstrap_weights(df: DataFrame, key: str, trees: int, seed: int = 42) -> DataFrame:

@@ -233,14 +233,16 @@ def best_split_by_node(spark, sf):
 
 @register(
     "tree_stump_predict",
-    f"""with b as ({_best_sql('part', ['p_size', 'p_partkey'], '(p_retailprice - 1000)', '')}),
-    s as (select p_partkey, p_retailprice, case when b."column" = 'p_size' then p_size <= b.threshold else p_partkey <= b.threshold end as side from part, b)
-    select p_partkey, round(avg(p_retailprice) over (partition by side), 4) as prediction from s""",
+    f"""with b as ({_best_sql('lineitem', ['l_quantity', 'l_discount', 'l_tax'], '(l_extendedprice - 50000)', '')}),
+    s as (select l_orderkey, l_partkey, l_extendedprice, case b."column" when 'l_quantity' then l_quantity when 'l_discount' then l_discount
+      else l_tax end <= b.threshold as side from lineitem, b)
+    select l_orderkey, l_partkey, round(avg(l_extendedprice) over (partition by side), 4) as prediction from s""",
 )
 def tree_stump_predict(spark, sf):
-    part = table(spark, sf, "part")
-    stump = tree.fit_tree(part, "p_partkey", ["p_size", "p_partkey"], "p_retailprice", max_depth=1)
-    return rounded(stump.predict(part.select("p_partkey", "p_size")).select("p_partkey", "prediction"))
+    t = table(spark, sf, "lineitem")
+    features = ["l_quantity", "l_discount", "l_tax"]
+    stump = tree.fit_tree(t, "l_orderkey", features, "l_extendedprice", max_depth=1)
+    return rounded(stump.predict(t.select("l_orderkey", "l_partkey", *features)).select("l_orderkey", "l_partkey", "prediction"))
 
 
 _DRAW = unit_hash_sql("(cast(p_partkey as varchar) || ':' || cast(t + 42 as varchar))", "bootstrap")
