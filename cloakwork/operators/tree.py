@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cloakwork.functions.hashing import poisson_one, unit_hash
 from cloakwork.functions.ranks import add_buckets, bucket_count, exact_quantiles, melt, quantile_bounds, running_sums
+from cloakwork.operators import deviation
 from cloakwork.session import discard, materialize
 
 LOCAL_ROWS = 50_000
@@ -41,37 +42,71 @@ def impurity(df: DataFrame, label: str, by: list[str] | None = None) -> DataFram
     )
 
 
-def _candidates(long: DataFrame, by: list[str], bucketed: bool) -> DataFrame:
-    """Gain of every mid-point threshold from (by..., column, value, y, w[, bucket]) rows."""
+def _moments() -> list[Column]:
+    w, y = F.col("w"), F.col("y")
+    return [F.sum(w).cast("double").alias("n"), F.sum(w * y).alias("s"), F.sum(w * y * y).alias("q"), F.count(F.lit(1)).alias("r")]
+
+
+def _candidates(long: DataFrame, by: list[str], totals: DataFrame, bucketed: bool) -> DataFrame:
+    """Gain of every mid-point threshold from (by..., column, value, y, w[, bucket]) rows.
+
+    ``totals`` has (by..., tn, ts, tq), the moments of each node, which are the same
+    for all of its features.
+    """
     keys = [*by, "column"]
-    cut = ["bucket"] if bucketed else []
-    y, w = F.col("y"), F.col("w")
-    freq = long.groupBy(*keys, *cut, "value").agg(
-        F.sum(w).cast("double").alias("n"), F.sum(w * y).alias("s"), F.sum(w * y * y).alias("q"), F.count(F.lit(1)).alias("r")
-    )
+    freq = long.groupBy(*keys, *(["bucket"] if bucketed else []), "value").agg(*_moments())
     runs = running_sums(freq, keys, "value", ["n", "s", "q", "r"], "bucket" if bucketed else None)
-    total = freq.groupBy(*keys).agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"), F.sum("q").alias("tq"))
-    spread = lambda n, s, q: q - s * s / n
+    runs = runs.filter(F.col("next_value").isNotNull())
+    spread = lambda n, s, q: q - F.try_divide(s * s, n)  # an empty side has no gain
     n, s, q = F.col("run_n"), F.col("run_s"), F.col("run_q")
     tn, ts, tq = F.col("tn"), F.col("ts"), F.col("tq")
     gain = (spread(tn, ts, tq) - spread(n, s, q) - spread(tn - n, ts - s, tq - q)) / tn
-    return runs.filter(F.col("next_value").isNotNull()).join(total, keys).select(
+    if by:
+        runs = runs.join(totals, by)
+    else:
+        runs = runs.withColumns({c: F.lit(v) for c, v in totals.first().asDict().items()})
+    return runs.select(
         *keys, ((F.col("value") + F.col("next_value")) / 2).alias("threshold"), gain.alias("gain"), n.alias("n_left"), tn.alias("n"),
-        F.col("run_r").alias("rows_left"), s.alias("s_left"), ts.alias("s"),
+        F.col("run_r").alias("rows_left"), s.alias("s_left"), q.alias("q_left"),
     )
 
 
-def best_split(df: DataFrame, features: list[str], label: str, by: list[str] | None = None) -> DataFrame:
-    """Feature and threshold with the largest variance reduction (first feature, lowest threshold on ties)."""
+def _strips(rows: int) -> int:
+    return max(1, min(deviation.MOST_STRIPS, -(-rows // deviation.STRIP_ROWS)))
+
+
+def _absolute(long: DataFrame, by: list[str], totals: DataFrame, loss: str) -> DataFrame:
+    """Candidates of an absolute loss in the form of :func:`_candidates`; ``long`` also has yb."""
+    one = long.join(long.groupBy(*by).agg(F.min("column").alias("column")), [*by, "column"])  # each row once
+    whole = deviation.node_deviation(one.select(*by, "y", "yb", "w"), by, loss)
+    found = deviation.candidates(long, by, loss).join(whole, by).join(totals, by)
+    gain = (F.col("whole") - F.col("loss")) / F.col("tn")
+    return found.select(
+        *by, "column", "threshold", gain.alias("gain"), "n_left", F.col("tn").alias("n"), "rows_left", "s_left", "q_left"
+    )
+
+
+def best_split(df: DataFrame, features: list[str], label: str, by: list[str] | None = None, loss: str = "mse") -> DataFrame:
+    """Feature and threshold with the largest loss reduction (first feature, lowest threshold on ties)."""
     by = by or []
     rows = df.count()
     centre = df.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0
-    bounds = quantile_bounds(df, features, bucket_count(rows))
-    work = add_buckets(df.select(*by, *features, (F.col(label).cast("double") - F.lit(centre)).alias("y")), bounds)
-    work = work.withColumn("w", F.lit(1))
-    cand = _candidates(melt(work, features, [*by, "y", "w"], "__b"), by, bucket_count(rows) > 1)
+    buckets = bucket_count(rows) if loss == "mse" else _strips(rows)
+    work = df.select(*by, *features, (F.col(label).cast("double") - F.lit(centre)).alias("y"))
+    work = add_buckets(work, quantile_bounds(work, features if loss == "mse" else [*features, "y"], buckets)).withColumn("w", F.lit(1))
     place = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("column"))
-    best = F.max_by(F.struct("column", "threshold", "gain", "n_left", "n"), F.struct("gain", -place, -F.col("threshold")))
+    if loss == "mse":
+        totals = work.groupBy(*by).agg(*_moments()).select(*by, F.col("n").alias("tn"), F.col("s").alias("ts"), F.col("q").alias("tq"))
+        cand = _candidates(melt(work, features, [*by, "y", "w"], "__b"), by, totals, buckets > 1)
+    else:
+        keys = by or ["_all"]
+        work = work if by else work.withColumn("_all", F.lit(0))
+        totals = work.groupBy(*keys).agg(F.sum("w").cast("double").alias("tn"))
+        long = melt(work.withColumnRenamed("y__b", "yb"), features, [*keys, "y", "yb", "w"], "__b")
+        cand = _absolute(long, keys, totals, loss)
+    best = F.max_by(
+        F.struct("column", "threshold", "gain", "n_left", "n"), F.struct(F.round("gain", 12), -place, -F.col("threshold"))
+    )
     return cand.filter(F.col("gain") > 0).groupBy(*by).agg(best.alias("b")).select(*by, "b.*")
 
 
@@ -141,14 +176,6 @@ def _walker(nodes: pd.DataFrame):
     return walk
 
 
-def _deviation(y: np.ndarray, w: np.ndarray, loss: str) -> float:
-    if loss == "mae":
-        return float((w * np.abs(y - (w * y).sum() / w.sum())).sum())
-    order = np.argsort(y)
-    run = np.cumsum(w[order])
-    return float((w * np.abs(y - y[order][np.searchsorted(run, run[-1] / 2)])).sum())
-
-
 def _local_split(x: np.ndarray, y: np.ndarray, w: np.ndarray, columns, loss: str):
     """Best (gain, feature, threshold) of one small node."""
     best = (0.0, None, None)
@@ -165,10 +192,9 @@ def _local_split(x: np.ndarray, y: np.ndarray, w: np.ndarray, columns, loss: str
             inner = spread(cn[ends], cs[ends], cq[ends]) + spread(n - cn[ends], cs[-1] - cs[ends], cq[-1] - cq[ends])
             gains = (spread(n, cs[-1], cq[-1]) - inner) / n
         else:
-            whole = _deviation(yo, wo, loss)
-            gains = np.array([
-                (whole - _deviation(yo[: e + 1], wo[: e + 1], loss) - _deviation(yo[e + 1 :], wo[e + 1 :], loss)) / n for e in ends
-            ])
+            losses = deviation.threshold_losses(v, yo, wo, loss)[2]
+            whole = deviation.threshold_losses(np.zeros(len(yo)), yo, wo, loss, next_x=1.0)[2][0]
+            gains = (whole - losses) / n
         i = int(np.argmax(gains))
         if gains[i] > best[0] + 1e-12:
             best = (float(gains[i]), j, float((v[ends[i]] + v[ends[i] + 1]) / 2))
@@ -203,6 +229,13 @@ def _finish_small(d: int, opts: dict):
     return finish
 
 
+def _drawn(df: DataFrame, seed: int) -> DataFrame:
+    """Column ``w``, the Poisson draws of row ``id`` by tree ``tree``; rows never drawn are dropped."""
+    draw = F.concat_ws(":", F.col("id").cast("string"), (F.col("tree") + seed).cast("string"))
+    out = df.withColumn("_u", unit_hash(draw, "bootstrap")).withColumn("w", poisson_one(F.col("_u")))
+    return out.filter(F.col("w") > 0).drop("_u")
+
+
 def _feature_subset(d: int, m: int, seed: int) -> Column:
     """Features a node may split on: the m smallest of a hash of (tree, node, feature)."""
     draws = [F.struct(F.xxhash64(F.lit(seed), "tree", "node", F.lit(j)).alias("h"), F.lit(j).alias("j")) for j in range(d)]
@@ -233,34 +266,29 @@ def fit_forest(
         raise ValueError(f"unknown loss {loss}: choose mse, mae or mad")
     rows, centre = df.agg(F.count(F.lit(1)), F.avg(F.col(label).cast("double"))).first()
     local = max(1, min(LOCAL_ROWS, rows // 8)) if local_rows is None else local_rows
-    if loss != "mse":
-        local = max(local, LOCAL_ROWS)
-        if rows > local:
-            raise ValueError(f"{loss} splits are exact up to {LOCAL_ROWS} rows per node; use mse above that")
     m = d if max_features is None else min(d, max_features)
     opts = {"seed": seed, "min_split": min_split, "max_depth": max_depth, "max_features": m, "loss": loss, "min_gain": min_gain, "centre": centre}
-    buckets = bucket_count(rows)
-    bounds = quantile_bounds(df, features, buckets)
-    data = add_buckets(df.select(key, *features, (F.col(label).cast("double") - F.lit(centre)).alias("y")), bounds)
+    buckets = bucket_count(rows) if loss == "mse" else _strips(rows)
+    data = df.select(
+        F.col(key).alias("_id"), *[F.col(f).cast("double").alias(f) for f in features], (F.col(label).cast("double") - F.lit(centre)).alias("_y")
+    )
+    data = add_buckets(data, quantile_bounds(data, [*features, "_y"], buckets))
     data = data.select(
-        F.col(key).alias("id"),
-        "y",
+        F.col("_id").alias("id"),
+        F.col("_y").alias("y"),
+        F.col("_y__b").alias("yb"),
         F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
         F.array(*[F.col(f"{f}__b") for f in features]).alias("b"),
     )
     data = data.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     if bootstrap:
-        draw = F.concat_ws(":", F.col("id").cast("string"), (F.col("tree") + seed).cast("string"))
-        data = data.withColumn("w", poisson_one(unit_hash(draw, "bootstrap"))).filter(F.col("w") > 0)
+        data = _drawn(data, seed)
     else:
         data = data.withColumn("w", F.lit(1))
     state = owned = materialize(data.drop("id").withColumn("node", F.lit("r")))
-    w, y = F.col("w"), F.col("y")
-    nodes = state.groupBy("tree", "node").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(w).cast("double").alias("n"), (F.sum(w * y) / F.sum(w)).alias("m")
-    )
+    nodes = state.groupBy("tree", "node").agg(*_moments()).withColumnRenamed("r", "rows")
     nodes = materialize(nodes)  # one row per open node
-    value = (F.col("m") + F.lit(centre)).alias("value")
+    value = (F.col("s") / F.col("n") + F.lit(centre)).alias("value")
     finished, small, depth, stale = [], [], 0, 0
     while True:
         may = (F.col("n") >= min_split) & (F.col("rows") > 1) & F.lit(max_depth is None or depth < max_depth)
@@ -276,40 +304,37 @@ def fit_forest(
         open_big = nodes.filter(big)
         subset = _feature_subset(d, m, seed).alias("f") if m < d else F.lit(None).alias("f")
         active = state.join(open_big.select("tree", "node"), ["tree", "node"])
-        long = active.select("tree", "node", "y", "w", subset, F.posexplode(F.arrays_zip("x", "b")).alias("column", "c"))
+        long = active.select("tree", "node", "y", "yb", "w", subset, F.posexplode(F.arrays_zip("x", "b")).alias("column", "c"))
         if m < d:
             long = long.filter(F.array_contains("f", F.col("column")))
-        long = long.select("tree", "node", "column", F.col("c.x").alias("value"), F.col("c.b").alias("bucket"), "y", "w")
-        cand = _candidates(long, ["tree", "node"], buckets > 1).filter((F.col("gain") > 0) & (F.col("gain") >= min_gain))
+        long = long.select("tree", "node", "column", F.col("c.x").alias("value"), F.col("c.b").alias("bucket"), "y", "yb", "w")
+        totals = open_big.select("tree", "node", F.col("n").alias("tn"), F.col("s").alias("ts"), F.col("q").alias("tq"))
+        at = ["tree", "node"]
+        cand = _candidates(long, at, totals, buckets > 1) if loss == "mse" else _absolute(long, at, totals, loss)
+        cand = cand.filter((F.col("gain") > 0) & (F.col("gain") >= min_gain))
         best = cand.groupBy("tree", "node").agg(
             F.max_by(
-                F.struct("column", "threshold", "n_left", "rows_left", "s_left", "s"),
-                F.struct("gain", -F.col("column"), -F.col("threshold")),
+                F.struct("column", "threshold", "n_left", "rows_left", "s_left", "q_left"),
+                F.struct(F.round("gain", 12), -F.col("column"), -F.col("threshold")),
             ).alias("b")
         )
         splits = materialize(
             open_big.join(best, ["tree", "node"], "left").select(
-                "tree", "node", "rows", "n", "m", F.coalesce("b.column", F.lit(-1)).alias("feature"),
-                "b.threshold", "b.n_left", "b.rows_left", "b.s_left", "b.s",
+                "tree", "node", "rows", "n", "s", "q", F.coalesce("b.column", F.lit(-1)).alias("feature"),
+                "b.threshold", "b.n_left", "b.rows_left", "b.s_left", "b.q_left",
             )
         )
         finished.append(splits.select("tree", "node", "feature", "threshold", value, F.col("n").cast("bigint").alias("n")))
         go = splits.filter(F.col("feature") >= 0)
 
-        def child(side, rows, n, s):
-            return F.struct(
-                F.col("tree"), F.concat("node", F.lit(side)).alias("node"), rows.alias("rows"), n.alias("n"), (s / n).alias("m")
-            )
+        left = [F.col("rows_left"), F.col("n_left"), F.col("s_left"), F.col("q_left")]
+        right = [F.col(c) - l for c, l in zip(("rows", "n", "s", "q"), left)]
 
-        n_left, s_left = F.col("n_left"), F.col("s_left")
-        nodes = go.select(
-            F.inline(
-                F.array(
-                    child("0", F.col("rows_left"), n_left, s_left),
-                    child("1", F.col("rows") - F.col("rows_left"), F.col("n") - n_left, F.col("s") - s_left),
-                )
-            )
-        )
+        def child(side, values):
+            named = [v.alias(c) for v, c in zip(values, ("rows", "n", "s", "q"))]
+            return F.struct("tree", F.concat("node", F.lit(side)).alias("node"), *named)
+
+        nodes = go.select(F.inline(F.array(child("0", left), child("1", right))))
         side = F.when(F.element_at("x", F.col("feature") + 1) <= F.col("threshold"), "0").otherwise("1")
         moved = state.join(go.select("tree", "node", "feature", "threshold"), ["tree", "node"], "left")
         state = moved.withColumn("node", F.when(F.col("feature").isNull(), F.col("node")).otherwise(F.concat("node", side)))
@@ -337,8 +362,7 @@ def fit_forest(
 def bootstrap_weights(df: DataFrame, key: str, trees: int, seed: int = 42) -> DataFrame:
     """(key, tree, w): how often each tree draws a row, without the rows it never draws."""
     out = df.select(F.col(key).alias("id")).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    draw = F.concat_ws(":", F.col("id").cast("string"), (F.col("tree") + seed).cast("string"))
-    return out.withColumn("w", poisson_one(unit_hash(draw, "bootstrap"))).filter(F.col("w") > 0)
+    return _drawn(out, seed)
 
 
 def fit_tree(df: DataFrame, key: str, features: list[str], label: str, **options) -> Forest:
