@@ -93,12 +93,16 @@ class Clusters:
         rest = labelled.drop(*self.numeric, *self.categorical)
         return rest.join(self._values(), "cluster_id", "left")
 
-    def publish(self, df: DataFrame) -> DataFrame:
+    def publish(self, df: DataFrame, keep_raw: bool = False) -> DataFrame:
         """Member rows with their own cluster's values: the k-anonymous output.
 
-        Rows outside every cluster keep their raw values in extra columns-by-name form.
+        Every training row is a member; other rows belong in :meth:`apply`.  With
+        ``keep_raw`` rows outside all clusters are appended as they are, in their own
+        columns.
         """
         inside = self._replace(df.join(self.members, self.key))
+        if not keep_raw:
+            return inside
         outside = df.join(self.members, self.key, "left_anti")
         return inside.unionByName(outside, allowMissingColumns=True)
 

@@ -231,6 +231,35 @@ def best_split_by_node(spark, sf):
     return out.withColumn("gain", F.round("gain", 2))
 
 
+def _absolute_sql(centre):
+    """Every threshold of two low-cardinality columns, both sides re-aggregated from the rows."""
+    melted = " union all ".join(f"select {i} as pos, '{c}' as col, {c} as v, l_extendedprice as y from lineitem" for i, c in enumerate(["l_tax", "l_discount"]))
+    return f"""with x as ({melted}), d as (select distinct pos, col, v from x),
+    t as (select pos, col, (v + lead(v) over (partition by col order by v)) / 2 as threshold from d),
+    j as (select t.pos, t.col, threshold, v <= threshold as side, y from t join x on t.col = x.col where threshold is not null),
+    c as (select pos, col, threshold, side, {centre}(y) as c from j group by all),
+    l as (select pos, col, threshold, sum(abs(y - c)) as loss, count(*) filter (side) as n_left, count(*) as n
+      from j join c using (pos, col, threshold, side) group by all),
+    w as (select sum(abs(l_extendedprice - (select {centre}(l_extendedprice) from lineitem))) as whole from lineitem)
+    select col as "column", round(threshold, 6) as threshold, round((whole - loss) / n, 4) as gain, n_left::double as n_left, n::double as n from l, w
+    order by whole - loss desc, pos, threshold limit 1"""
+
+
+def _absolute_split(spark, sf, loss):
+    out = tree.best_split(table(spark, sf, "lineitem"), ["l_tax", "l_discount"], "l_extendedprice", loss=loss)
+    return out.withColumns({"gain": F.round("gain", 4), "threshold": F.round("threshold", 6)})
+
+
+@register("best_split_mae", _absolute_sql("avg"))
+def best_split_mae(spark, sf):
+    return _absolute_split(spark, sf, "mae")
+
+
+@register("best_split_mad", _absolute_sql("median"))
+def best_split_mad(spark, sf):
+    return _absolute_split(spark, sf, "mad")
+
+
 @register(
     "tree_stump_predict",
     f"""with b as ({_best_sql('lineitem', ['l_quantity', 'l_discount', 'l_tax'], '(l_extendedprice - 50000)', '')}),

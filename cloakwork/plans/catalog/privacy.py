@@ -382,7 +382,7 @@ def publish_unassigned_raw(spark, sf):
     fixed = clusters.Clusters(
         "c_custkey", ("c_acctbal",), (), bounds_of(c, ["c_acctbal"]), {}, known.select("c_custkey", "cluster_id"), boxes
     )
-    return fixed.publish(c).select("c_custkey", "c_acctbal", "c_acctbal_min", "c_acctbal_max")
+    return fixed.publish(c, keep_raw=True).select("c_custkey", "c_acctbal", "c_acctbal_min", "c_acctbal_max")
 
 
 @register(
