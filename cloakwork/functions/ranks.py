@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cloakwork.session import materialize
 
-ROWS_PER_BUCKET = 500_000
+ROWS_PER_BUCKET = 100_000
 MOST_BUCKETS = 4096
 
 
@@ -89,12 +89,15 @@ def rank_select(
     items: DataFrame,
     by: list[str],
     value: str,
-    targets: DataFrame,
+    targets: DataFrame | list[float],
     weight: str | None = None,
     bucket: str | None = None,
 ) -> DataFrame:
     """Value at a 1-based rank, for every row (by..., rank) of ``targets``.
 
+    ``targets`` may also be a list of probabilities; then the rank follows from the
+    size of each group and ``prob`` and ``frac`` (the way to the next rank) are added.
+
     Adds ``value``, ``below`` and ``upto`` (weight strictly before it and including
     it), ``rows_below`` and ``rows_upto`` (the same in rows), ``next_value`` (the
     following distinct value, null at the end) and the ends of the whole group:
@@ -102,49 +105,78 @@ def rank_select(
     """
     n = F.count(F.lit(1))
     w = F.sum(weight) if weight else n
-    names = list(targets.columns)
-    here = (F.col("upto") >= F.col("rank")) & (F.col("below") < F.col("rank"))
-    found = ["value", "below", "upto", "rows_below", "rows_upto", "next_value", "least", "most", "rows_all"]
     group = Window.partitionBy(*by)
-
-    def located(runs: DataFrame, w0: Column, r0: Column) -> DataFrame:
-        return runs.withColumns(
-            {
-                "upto": w0 + F.col("run_w"),
-                "below": w0 + F.col("run_w") - F.col("w"),
-                "rows_upto": r0 + F.col("run_r"),
-                "rows_below": r0 + F.col("run_r") - F.col("r"),
-            }
-        )
+    found = ["value", "below", "upto", "rows_below", "rows_upto", "next_value", "least", "most", "rows_all"]
+    names = [*by, "prob", "rank", "frac"] if isinstance(targets, list) else list(targets.columns)
+
+    def aimed(df: DataFrame, below: Column, upto: Column, total: Column) -> DataFrame:
+        """Keep the rows whose span (below, upto] holds a target."""
+        if not isinstance(targets, list):
+            return df.join(targets, by).filter((upto >= F.col("rank")) & (below < F.col("rank")))
+        spots = []
+        for p in targets:
+            pos = F.lit(float(p)) * (total - 1)
+            rank = (F.floor(pos) + 1).cast("bigint")
+            spots.append(F.struct(F.lit(float(p)).alias("prob"), rank.alias("rank"), (pos - F.floor(pos)).alias("frac")))
+        hits = F.filter(F.array(*spots), lambda x: (upto >= x["rank"]) & (below < x["rank"]))
+        return df.withColumn("_hit", F.explode(hits)).select("*", "_hit.*").drop("_hit")
 
     if bucket is None:
         freq = items.groupBy(*by, F.col(value).alias("value")).agg(w.alias("w"), n.alias("r"))
         runs = running_sums(freq, by, "value", ["w", "r"]).withColumns(
-            {"least": F.min("value").over(group), "most": F.max("value").over(group), "rows_all": F.sum("r").over(group)}
+            {
+                "least": F.min("value").over(group),
+                "most": F.max("value").over(group),
+                "rows_all": F.sum("r").over(group),
+                "total": F.sum("w").over(group),
+            }
+        )
+        runs = runs.withColumns(
+            {
+                "upto": F.col("run_w"),
+                "below": F.col("run_w") - F.col("w"),
+                "rows_upto": F.col("run_r"),
+                "rows_below": F.col("run_r") - F.col("r"),
+            }
         )
-        zero = F.lit(0).cast("bigint")
-        return located(runs.join(targets, by), zero, zero).filter(here).select(*names, *found)
+        return aimed(runs, F.col("below"), F.col("upto"), F.col("total")).select(*names, *found)
     hist = items.groupBy(*by, bucket).agg(
         w.alias("bw"), n.alias("br"), F.min(value).alias("bmin"), F.max(value).alias("bmax")
     )
     win = Window.partitionBy(*by).orderBy(bucket)
+    edges = hist.withColumns(
+        {
+            "b_w": F.sum("bw").over(win),
+            "b_r": F.sum("br").over(win),
+            "b_next": F.lead("bmin").over(win),
+            "least": F.min("bmin").over(group),
+            "most": F.max("bmax").over(group),
+            "rows_all": F.sum("br").over(group),
+            "total": F.sum("bw").over(group),
+        }
+    )
     hit = (
-        hist.withColumns({"b_w": F.sum("bw").over(win), "b_r": F.sum("br").over(win), "b_next": F.lead("bmin").over(win)})
-        .withColumns({"least": F.min("bmin").over(group), "most": F.max("bmax").over(group), "rows_all": F.sum("br").over(group)})
-        .join(targets, by)
-        .filter((F.col("b_w") >= F.col("rank")) & (F.col("b_w") - F.col("bw") < F.col("rank")))
+        aimed(edges, F.col("b_w") - F.col("bw"), F.col("b_w"), F.col("total"))
         .withColumns({"w0": F.col("b_w") - F.col("bw"), "r0": F.col("b_r") - F.col("br")})
-        .drop("b_w", "bw", "b_r", "br", "bmin", "bmax")
+        .drop("b_w", "bw", "b_r", "br", "bmin", "bmax", "total")
     )
+    hit = materialize(hit)  # one small row per target, read twice below
     freq = (
         items.join(hit.select(*by, bucket).distinct(), [*by, bucket], "left_semi")
         .groupBy(*by, bucket, F.col(value).alias("value"))
         .agg(w.alias("w"), n.alias("r"))
     )
     runs = running_sums(freq, [*by, bucket], "value", ["w", "r"]).join(hit, [*by, bucket])
+    runs = runs.withColumns(
+        {
+            "upto": F.col("w0") + F.col("run_w"),
+            "below": F.col("w0") + F.col("run_w") - F.col("w"),
+            "rows_upto": F.col("r0") + F.col("run_r"),
+            "rows_below": F.col("r0") + F.col("run_r") - F.col("r"),
+        }
+    )
     return (
-        located(runs, F.col("w0"), F.col("r0"))
-        .filter(here)
+        runs.filter((F.col("upto") >= F.col("rank")) & (F.col("below") < F.col("rank")))
         .withColumn("next_value", F.coalesce("next_value", "b_next"))
         .select(*names, *found)
     )
@@ -171,14 +203,7 @@ def exact_quantiles(
     bounds = quantile_bounds(df, cols, buckets)
     long = melt(add_buckets(df.select(*by, *cols), bounds), cols, by, "__b")
     keys = [*by, "column"]
-    pos = F.col("prob") * (F.col("n") - 1)
-    targets = (
-        long.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .select(*keys, "prob", (F.floor(pos) + 1).alias("rank"), (pos - F.floor(pos)).alias("frac"))
-    )
-    found = rank_select(long, keys, "value", targets, bucket="bucket" if buckets > 1 else None)
+    found = rank_select(long, keys, "value", [float(p) for p in probs], bucket="bucket" if buckets > 1 else None)
     after = F.when(F.col("upto") > F.col("rank"), F.col("value")).otherwise(F.coalesce("next_value", "value"))
     return found.select(*keys, "prob", (F.col("value") + F.col("frac") * (after - F.col("value"))).alias("quantile"))
 
