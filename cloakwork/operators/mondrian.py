@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cloakwork.functions.hashing import unit_hash
-from cloakwork.functions.ranks import add_buckets, bucket_count, quantile_bounds, rank_select, rank_within
+from cloakwork.functions.ranks import add_buckets, bucket_count, quantile_bounds, rank_select, rank_within, running_sums
 from cloakwork.operators.profile import bounds_of
 from cloakwork.session import discard, materialize
 
@@ -243,12 +243,13 @@ def mondrian(
         F.count(F.lit(1)).alias("m"),
         F.sum("w").alias("n"),
         F.count_if(sum((F.col(c).isNull().cast("int") for c in names), F.lit(0)) > 0).alias("bad"),
+        *[f(c).alias(f"{c}_{e}") for c in names for e, f in (("lo", F.min), ("hi", F.max))],
     ).first()
     if head["bad"]:
         raise ValueError("quasi-identifiers must not be null: fill or drop them first")
     m, n = head["m"], head["n"] or 0
-    bounds = bounds_of(base, names)
-    ranges = [(bounds[c][1] - bounds[c][0]) if m else 0.0 for c in names]
+    bounds = {c: (head[f"{c}_lo"] or 0.0, head[f"{c}_hi"] or 0.0) for c in names}
+    ranges = [bounds[c][1] - bounds[c][0] for c in names]
     local = max(1, min(LOCAL_TUPLES, m // 4)) if local_tuples is None else local_tuples
     bucketed = bucket_count(m, tuples_per_bucket) > 1
     tuples = base.withColumn("ec", F.lit("r")).select("ec", "w", "tid", *names)
@@ -260,8 +261,8 @@ def mondrian(
         F.lit("r").alias("ec"),
         F.lit(n).cast("bigint").alias("n"),
         F.lit(m).cast("bigint").alias("m"),
-        F.array(*[F.lit(float(bounds[c][0] or 0)) for c in names]).alias("lo"),
-        F.array(*[F.lit(float(bounds[c][1] or 0)) for c in names]).alias("hi"),
+        F.array(*[F.lit(float(bounds[c][0])) for c in names]).alias("lo"),
+        F.array(*[F.lit(float(bounds[c][1])) for c in names]).alias("hi"),
         F.array(*[F.lit(False)] * d).alias("tried"),
     )
     splittable = (F.floor(F.col("n") / 2) >= k) & (F.col("m") > 1) & F.array_contains("tried", False)
@@ -345,10 +346,11 @@ def frequency_set(df: DataFrame, by: list[str], qi: list[str]) -> DataFrame:
 
 def cumulative_to_median(freq: DataFrame, by: list[str]) -> DataFrame:
     """Running counts and the following value, cut at the first value that reaches half of the rows."""
-    win = Window.partitionBy(*by).orderBy("value")
     total = freq.groupBy(*by).agg(F.floor(F.sum("n") / 2).alias("middle"))
-    runs = freq.withColumns({"cumulative": F.sum("n").over(win), "next_value": F.lead("value").over(win)})
-    runs = runs.join(total, by)
+    buckets = bucket_count(freq.count())
+    cuts = quantile_bounds(freq, ["value"], buckets)
+    runs = running_sums(add_buckets(freq, cuts), by, "value", ["n"], "value__b" if buckets > 1 else None).drop("value__b")
+    runs = runs.withColumnRenamed("run_n", "cumulative").join(total, by)
     return runs.filter(F.col("cumulative") - F.col("n") < F.col("middle"))
 
 

@@ -339,9 +339,17 @@ def box_stats_by_group(spark, sf):
     return rounded(profile.box_stats(table(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag"]))
 
 
-@register("date_range", "select min(o_orderdate) as first_day, max(o_orderdate) as last_day from orders")
+@register(
+    "date_range",
+    """select strftime(min(o_orderdate), '%Y-%m-%d') as first_day, strftime(max(o_orderdate), '%Y-%m-%d') as last_day,
+    strftime(min(o_orderdate) filter (o_orderstatus = 'F'), '%Y-%m-%d') as first_filled from orders""",
+)
 def date_range(spark, sf):
-    return table(spark, sf, "orders").agg(F.min("o_orderdate").alias("first_day"), F.max("o_orderdate").alias("last_day"))
+    day, o = lambda c: F.date_format(c, "yyyy-MM-dd"), table(spark, sf, "orders")
+    filled = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate"))
+    return o.agg(
+        day(F.min("o_orderdate")).alias("first_day"), day(F.max("o_orderdate")).alias("last_day"), day(F.min(filled)).alias("first_filled")
+    )
 
 
 @register("drop_named_columns", "select c_nationkey, c_acctbal, c_mktsegment from customer")

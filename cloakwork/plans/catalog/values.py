@@ -80,9 +80,9 @@ def null_token(spark, sf):
     return marked.select("event_id", F.nullif("event_type", F.lit("?")).alias("event_type"))
 
 
-@register("hash_sample", f"select * from orders where {unit_hash_sql('o_orderkey', 42)} < 0.2")
+@register("hash_sample", f"select o_orderkey, o_custkey, o_totalprice from orders where {unit_hash_sql('o_orderkey', 42)} < 0.2")
 def hash_sample(spark, sf):
-    return src.sample(table(spark, sf, "orders"), "o_orderkey", 0.2, 42)
+    return src.sample(table(spark, sf, "orders"), "o_orderkey", 0.2, 42).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @register(

@@ -45,6 +45,7 @@ LOGISTIC_GRID = {
     "c": [0.001, 0.1, 1, 100, 1000],
     "max_iter": [100, 1000, 5000],
 }
+MOST_CLASSES = 1000
 SWEEP_DEFAULTS = {"trees": 100, "max_depth": None, "min_split": 2}
 SWEEP_VALUES = {"trees": [150, 80, 50], "max_depth": [50, 30, 20], "min_split": [15, 10, 5]}
 
@@ -71,7 +72,10 @@ def _classifier(make: Callable) -> Callable:
 
     def fit(problem: Problem, train: DataFrame):
         features = problem.features(train)
-        names = [r[0] for r in train.select(F.col(problem.label).cast("string")).distinct().orderBy(problem.label).collect()]
+        found = train.select(F.col(problem.label).cast("string")).distinct().limit(MOST_CLASSES + 1).collect()
+        if len(found) > MOST_CLASSES:
+            raise ValueError(f"{problem.label} has more than {MOST_CLASSES} classes")
+        names = sorted(r[0] for r in found)
         index = F.array_position(F.array(*[F.lit(v) for v in names]), F.col(problem.label).cast("string")) - 1
         data = _assembled(train, features).select("_x", index.cast("double").alias("_y"))
         model = make(data).fit(data)
