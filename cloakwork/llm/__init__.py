@@ -6,7 +6,18 @@ from cloakwork.llm.common import ORACLES, QUERIES
 
 
 def load_all() -> None:
-    from cloakwork.llm import decontaminate, mixture, ring, rules, secrets, urls  # noqa: F401
+    from cloakwork.llm import (  # noqa: F401
+        decontaminate,
+        licences,
+        mixture,
+        near,
+        personal,
+        ring,
+        rules,
+        secrets,
+        spans,
+        urls,
+    )
 
 
 __all__ = ["ORACLES", "QUERIES", "load_all"]
