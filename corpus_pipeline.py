@@ -6,7 +6,7 @@ before has written and works on all of it:
 1. ``quality``: texts that the weakly supervised rules reject go;
 2. ``near``: one document of each group of near duplicates stays;
 3. ``decontaminate``: documents that hold benchmark passages go;
-4. ``mix``: documents that the mix does not draw on go, the others stay whole;
+4. ``mix``: documents are left out or repeated as the mix takes them;
 5. ``shard``: every document gets its shard and its slot.
 
 Stages 1 to 4 return the columns of ``documents``.  Tables between the stages lie in
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakwork.llm import decontaminate, mixture, near, ring, rules
-from cloakwork.llm.common import guarded, same, table
+from cloakwork.llm.common import guarded, table
 from cloakwork.session import materialize
 
 
@@ -36,16 +36,21 @@ def benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents of which the mix takes at least a word; texts without words are not drawn on.
+    """Every document as often as the mix takes its words, rounded to whole documents.
 
-    A document that the mix takes in part or several times stays once and whole: what
-    the mix takes of it is its weight, not another text.
+    A source above its target loses documents, one below it repeats some, so the words
+    of each source come within half a document of what the mix takes.  Rows equal in
+    key, text and source get equal numbers of copies; texts without words are not drawn.
     """
     named = docs.withColumn("_crc", F.xxhash64(F.coalesce("text", F.lit(""))))
-    got = mixture.taken(mixture.sized(docs)).groupBy("doc_id", "crc", "source").agg(F.sum("taken").alias("taken"))
-    left_out = materialize(got.filter("taken = 0").select("doc_id", F.col("crc").alias("_crc"), "source"))
-    side = guarded(left_out, left_out.count())
-    return named.join(side, same(named, side, ["doc_id", "_crc", "source"]), "left_anti").drop("_crc")
+    got = mixture.taken(mixture.sized(docs)).groupBy("doc_id", "crc", "source").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
+    other = got.select("doc_id", F.col("crc").alias("_crc"), "source", copies.alias("_copies")).filter("_copies <> 1")
+    other = materialize(other)
+    side = guarded(other, other.count()).select(F.col("doc_id").alias("_id"), F.col("_crc").alias("_c"), F.col("source").alias("_s"), "_copies")
+    on = named["doc_id"].eqNullSafe(side["_id"]) & (named["_crc"] == side["_c"]) & named["source"].eqNullSafe(side["_s"])
+    met = named.join(side, on, "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    return met.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
