@@ -39,6 +39,17 @@ def text_key(text: Column | str) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("second"), text).alias("k2")]
 
 
+def hidden(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The same rows with columns c0, c1, ..., so that added names cannot clash; the new name of each column."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(x) for c, x in names.items()]), names
+
+
+def shown(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Only the original columns, under their names."""
+    return df.select(*[F.col(x).alias(c) for c, x in names.items()])
+
+
 def guarded(side: DataFrame, rows: int) -> DataFrame:
     """Mark a written table of narrow rows for broadcast only while it is small."""
     return F.broadcast(side) if rows <= BROADCAST_ROWS else side

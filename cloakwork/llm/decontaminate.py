@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakwork.llm.common import register, table
+from cloakwork.llm.common import hidden, register, shown, table
 from cloakwork.session import materialize
 
 N = 13
@@ -85,7 +85,7 @@ def _hits_by_join(df: DataFrame, windows: DataFrame, lengths: list[int]) -> Data
     cols = [c for c in df.columns if not c.startswith("_w")]
     rows = materialize(df.select(*cols, "_words").withColumn("_row", F.monotonically_increasing_id()))
     hashed = window_hashes(rows.select("_row", "_words"), lengths)
-    each = [F.transform(f"_w{k}", lambda h, i, k=k: F.struct(i.alias("at"), F.lit(k).alias("length"), h.alias("hash"))) for k in lengths]
+    each = [F.expr(f"transform(_w{k}, (h, i) -> named_struct('at', i, 'length', {k}, 'hash', h))") for k in lengths]
     places = hashed.select("_row", F.explode(F.concat(*each)).alias("_p")).select("_row", "_p.*")
     maybe = places.join(windows.select("length", "hash").distinct(), ["length", "hash"], "left_semi")
     maybe = maybe.groupBy("_row").agg(F.collect_list(F.struct("at", "length")).alias("_maybe"))
@@ -125,17 +125,20 @@ def contaminated(df: DataFrame) -> Column:
 
 def drop_documents(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """Remove contaminated rows; the columns stay as they are."""
-    df = annotate(docs, materialize(test_windows(items)), text)
-    return df.filter(~contaminated(df)).select(*docs.columns)
+    plain, names = hidden(docs)
+    df = annotate(plain, materialize(test_windows(items)), names[text])
+    return shown(df.filter(~contaminated(df)), names)
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """Cut the covered words out of the texts; what stands between the words stays."""
-    df = annotate(docs, materialize(test_windows(items)), text)
-    pieces = F.regexp_extract_all(F.col(text), F.lit(PIECES), F.lit(0))
-    first = F.when(F.regexp_like(F.col(text), F.lit(rf"^{PIECES.split('|')[0]}")), 0).otherwise(1)
+    plain, names = hidden(docs)
+    value = names[text]
+    df = annotate(plain, materialize(test_windows(items)), value)
+    pieces = F.regexp_extract_all(F.col(value), F.lit(PIECES), F.lit(0))
+    first = F.when(F.regexp_like(F.col(value), F.lit(rf"^{PIECES.split('|')[0]}")), 0).otherwise(1)
     keep = F.filter(pieces, lambda p, i: (i % 2 != first) | ~F.array_contains("hit_words", F.floor(i / 2).cast("int")))
-    return df.withColumn(text, F.when(F.size("hit_words") > 0, F.array_join(keep, "")).otherwise(F.col(text))).select(*docs.columns)
+    return shown(df.withColumn(value, F.when(F.size("hit_words") > 0, F.array_join(keep, "")).otherwise(F.col(value))), names)
 
 
 SQL = rf"""

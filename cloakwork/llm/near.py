@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakwork.llm.common import guarded, register, same, table, text_key
+from cloakwork.llm.common import guarded, hidden, register, same, shown, table, text_key
 from cloakwork.session import materialize
 
 SHINGLE = 5
@@ -148,7 +148,9 @@ def chunks(values: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(values)
 
 
-@F.pandas_udf("n long, bands array<long>, sketch binary")
+SIGNED = "n long, bands array<long>, sketch binary"
+
+
 def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     place = mix(np.arange(701, 701 + ROWS, dtype=np.uint64) * _GOLD) | np.uint64(1)
     for batch in batches:
@@ -165,7 +167,6 @@ def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["n", "bands", "sketch"])
 
 
-@F.pandas_udf("double")
 def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     """Share of equal registers in two sketches."""
     if not len(a):
@@ -191,7 +192,6 @@ def overlap(a: list[bytes], b: list[bytes]) -> list[float]:
     return out
 
 
-@F.pandas_udf("double")
 def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     x, y = ([v.encode("utf-8", "surrogatepass") for v in s] for s in (a, b))
     out: list[float] = []
@@ -206,10 +206,10 @@ def linked(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, similarity:
     two = sketches.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     near = pairs.join(one, "a").join(two, "b")
     near = near.filter((F.col("na") >= similarity * F.col("nb")) & (F.col("nb") >= similarity * F.col("na")))
-    near = near.filter(_agreement("sa", "sb") >= similarity - SLACK).select("a", "b")
+    near = near.filter(F.pandas_udf(_agreement, "double")("sa", "sb") >= similarity - SLACK).select("a", "b")
     both = near.join(texts.select(F.col("k").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(texts.select(F.col("k").alias("b"), F.col("text").alias("tb")), "b")
-    return materialize(both.filter(_overlap("ta", "tb") >= similarity).select("a", "b"))
+    return materialize(both.filter(F.pandas_udf(_overlap, "double")("ta", "tb") >= similarity).select("a", "b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -240,7 +240,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     table gives an empty one.
     """
     ids = docs.select(F.col(key).alias("doc_id"), *text_key(text))
-    uniq = docs.select(*text_key(text), _signed(text).alias("s")).dropDuplicates(["k1", "k2"])
+    uniq = docs.select(*text_key(text), F.pandas_udf(_signed, SIGNED)(text).alias("s")).dropDuplicates(["k1", "k2"])
     uniq = materialize(uniq.select(F.struct("k1", "k2").alias("k"), "s.*"))
     bands = uniq.select("k", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(F.min("k").alias("leader"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
@@ -280,17 +280,15 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", similar
     goes = ~order.eqNullSafe(F.col("first"))
     marks = materialize(each.select("doc_id", "k1", "k2", goes.alias("goes"), "c").filter("goes or c > 1"))
     n = marks.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("goes")).alias("repeated")).first()
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    named = docs.select(*[F.col(c).alias(x) for c, x in zip(docs.columns, names, strict=True)])
-    id_, value = names[docs.columns.index(key)], names[docs.columns.index(text)]
-    named = named.select("*", F.col(id_).alias("doc_id"), *text_key(value))
+    plain, names = hidden(docs)
+    named = plain.select("*", F.col(names[key]).alias("doc_id"), *text_key(names[text]))
     side = guarded(marks, n["n"])
     cols = ["k1", "k2", "doc_id"]
     kept = named.join(side, same(named, side, cols), "left_anti")
     if n["repeated"]:
         twice = marks.filter("not goes")
         kept = kept.unionByName(named.join(twice, same(named, twice, cols), "left_semi").dropDuplicates(cols))
-    return kept.select(*[F.col(x).alias(c) for c, x in zip(docs.columns, names, strict=True)])
+    return shown(kept, names)
 
 
 @register("op5_bag_minhash")

@@ -24,10 +24,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakwork.llm.common import guarded, register, table, text_key
+from cloakwork.llm.common import guarded, hidden, register, shown, table, text_key
 from cloakwork.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -104,7 +104,7 @@ def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = ["entity", "term", "word", "k1", "n"]
 
     def flush() -> pd.DataFrame:
-        out = pd.DataFrame([(None, _long(t), None, None, n) for t, n in counted.items()], columns=names)
+        out = pd.DataFrame([(None, _long(t), None, None, n) for t, n in counted.items()], columns=names, dtype=object)
         counted.clear()
         return out
 
@@ -122,7 +122,7 @@ def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     rows.append((e, None, None, k1, 1))
                     rows += [(e, _long(t), t, k1, 1) for t in terms]
         if rows:
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names, dtype=object)  # 64-bit hashes beside nulls
     if counted:
         yield flush()
 
@@ -159,7 +159,6 @@ def all_spans(text: str, terms: list[str] | None) -> list[tuple[int, int, int]]:
 SCHEMA = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_terms long, clean string"
 
 
-@F.pandas_udf(SCHEMA)
 def _report(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     names = (*KINDS, "term")
     for texts, lists in batches:
@@ -190,17 +189,14 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     marks = disclosing(docs, text)
     df = docs.drop(*names).withColumn("_k", text_key(text)[0])
     side = guarded(marks.select(F.col("k1").alias("_k"), F.col("terms").alias("_terms")), marks.count())
-    return df.join(side, "_k", "left").withColumn("_r", _report(text, "_terms")).select("*", "_r.*").drop("_k", "_terms", "_r")
+    return df.join(side, "_k", "left").withColumn("_r", F.pandas_udf(_report, SCHEMA)(text, "_terms")).select("*", "_r.*").drop("_k", "_terms", "_r")
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """Replace personal data and disclosing terms by the name of their kind; the columns stay."""
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    named = docs.select(*[F.col(c).alias(x) for c, x in zip(docs.columns, names, strict=True)])
-    value = names[docs.columns.index(text)]
-    df = find(named, value)
-    kept: list[Column] = [F.coalesce("clean", x).alias(c) if x == value else F.col(x).alias(c) for c, x in zip(docs.columns, names, strict=True)]
-    return df.select(*kept)
+    plain, names = hidden(docs)
+    df = find(plain, names[text])
+    return shown(df.withColumn(names[text], F.coalesce("clean", names[text])), names)
 
 
 @register("op4_disclosing_terms")

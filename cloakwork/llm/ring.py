@@ -29,8 +29,8 @@ from cloakwork.session import materialize
 SHARDS = 8
 VNODES = 16
 TICKS = 4096
-CELLS = 64  # per size class; sizes are classed by powers of two
-CLASSES = 40
+CELLS = 256  # per size class; sizes are classed by powers of four
+CLASSES = 20
 SLACK = 0.002
 COPIES = 4096  # equal rows numbered by one piece of a sequence
 
@@ -87,7 +87,7 @@ def _listed(values: list[int]) -> Column:
 
 
 def _cell(size: str, h: Column) -> Column:
-    rank = F.lit(CLASSES - 1) - F.least(F.floor(F.log2(F.col(size).cast("double"))), F.lit(CLASSES - 1))
+    rank = F.lit(CLASSES - 1) - F.least(F.floor(F.log2(F.col(size).cast("double")) / 2), F.lit(CLASSES - 1))
     return (rank * CELLS + F.pmod(F.shiftrightunsigned(h, 20), F.lit(CELLS))).cast("int")
 
 

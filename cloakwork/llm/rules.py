@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakwork.llm.common import register, table
+from cloakwork.llm.common import hidden, register, shown, table
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -154,9 +154,8 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows whose text is judged good; the columns stay as they are."""
-    named = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])  # no clash with the added names
-    df = judged(named, f"c{docs.columns.index(text)}").filter("kept")
-    return df.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    plain, names = hidden(docs)
+    return shown(judged(plain, names[text]).filter("kept"), names)
 
 
 @register("op9_quality_votes")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakwork.llm.common import guarded, register, same, table, text_key
+from cloakwork.llm.common import guarded, hidden, register, same, table, text_key
 from cloakwork.session import materialize
 
 SPAN, WORDS, LONG, CUT = 3, 12, 24, 8
@@ -68,7 +68,9 @@ def runs(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-@F.pandas_udf("array<struct<h:long,start:int,end:int>>")
+RUNS = "array<struct<h:long,start:int,end:int>>"
+
+
 def _runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         yield pd.Series([[{"h": h, "start": s, "end": e} for h, s, e in runs(x or "")] for x in batch])
@@ -80,22 +82,22 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     ``spans`` are merged (start, end) pairs in code points.  Rows equal in key and text
     count as one occurrence.
     """
-    occ = docs.select(F.col(key).alias("doc_id"), text_key(text)[0], F.explode(_runs(text)).alias("r"))
+    occ = docs.select(F.col(key).alias("doc_id"), text_key(text)[0], F.explode(F.pandas_udf(_runs, RUNS)(text)).alias("r"))
     occ = occ.select("r.h", "doc_id", "k1", "r.start", "r.end")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "start")
     first = occ.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("final"))
-    again = materialize(first.filter("first <> final or (first <=> final) = false").select("h", "first"))
+    again = materialize(first.filter(~F.col("first").eqNullSafe(F.col("final"))).select("h", "first"))
     later = occ.join(again, "h").filter(~place.eqNullSafe(F.col("first")))
     spans = later.groupBy("doc_id", "k1").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("s"))
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
 
-    def add(acc, x):
-        prior = F.element_at(acc, -1)
-        joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(prior["start"].alias("start"), F.greatest(prior["end"], x["end"]).alias("end"))))
-        return F.when((F.size(acc) > 0) & (x["start"] <= F.try_element_at(acc, F.lit(-1))["end"]), joined).otherwise(F.concat(acc, F.array(x)))
+    def add(done, x):
+        last = F.try_element_at(done, F.lit(-1))
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
+        joined = F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(wider))
+        return F.when(x["start"] <= last["end"], joined).otherwise(F.concat(done, F.array(x)))
 
-    prior_safe = F.aggregate("s", none, lambda acc, x: F.when(F.size(acc) == 0, F.array(x)).otherwise(add(acc, x)))
-    return materialize(spans.select("doc_id", "k1", prior_safe.alias("spans")))
+    return materialize(spans.select("doc_id", "k1", F.aggregate("s", none, add).alias("spans")))
 
 
 def cut(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -106,10 +108,9 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """
     marks = repeated(docs, key, text)
     n = marks.count()
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    named = docs.select(*[F.col(c).alias(x) for c, x in zip(docs.columns, names, strict=True)])
-    value = names[docs.columns.index(text)]
-    named = named.select("*", F.col(names[docs.columns.index(key)]).alias("doc_id"), text_key(value)[0])
+    plain, names = hidden(docs)
+    value = names[text]
+    named = plain.select("*", F.col(names[key]).alias("doc_id"), text_key(value)[0])
     side = guarded(marks, n)
     df = named.join(side, same(named, side, ["k1", "doc_id"]), "left").drop("doc_id", "k1")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -120,7 +121,7 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         lambda acc: F.concat(acc["out"], F.substring(F.col(value), acc["at"] + 1, F.length(value))),
     )
     df = df.withColumn(value, F.when(F.col("spans").isNull(), F.col(value)).otherwise(kept))
-    out = [F.col(x).alias(c) for c, x in zip(docs.columns, names, strict=True) if c != "spans"]
+    out = [F.col(x).alias(c) for c, x in names.items() if c != "spans"]
     return df.select(*out, "spans")
 
 

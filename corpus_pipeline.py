@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakwork.llm import decontaminate, mixture, near, ring, rules
-from cloakwork.llm.common import guarded, table
+from cloakwork.llm.common import guarded, hidden, same, shown, table
 from cloakwork.session import materialize
 
 
@@ -42,15 +42,14 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     of each source come within half a document of what the mix takes.  Rows equal in
     key, text and source get equal numbers of copies; texts without words are not drawn.
     """
-    named = docs.withColumn("_crc", F.xxhash64(F.coalesce("text", F.lit(""))))
     got = mixture.taken(mixture.sized(docs)).groupBy("doc_id", "crc", "source").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    other = got.select("doc_id", F.col("crc").alias("_crc"), "source", copies.alias("_copies")).filter("_copies <> 1")
-    other = materialize(other)
-    side = guarded(other, other.count()).select(F.col("doc_id").alias("_id"), F.col("_crc").alias("_c"), F.col("source").alias("_s"), "_copies")
-    on = named["doc_id"].eqNullSafe(side["_id"]) & (named["_crc"] == side["_c"]) & named["source"].eqNullSafe(side["_s"])
-    met = named.join(side, on, "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
-    return met.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    other = materialize(got.select("doc_id", "crc", "source", copies.alias("copies")).filter("copies <> 1"))
+    side = guarded(other, other.count())
+    plain, names = hidden(docs)
+    named = plain.select("*", F.col(names["doc_id"]).alias("doc_id"), F.col(names["source"]).alias("source"), F.xxhash64(F.coalesce(names["text"], F.lit(""))).alias("crc"))
+    met = named.join(side, same(named, side, ["crc", "doc_id", "source"]), "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    return shown(met.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))), names)
 
 
 def shard(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
