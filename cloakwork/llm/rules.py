@@ -2,9 +2,8 @@
 
 Rules look at measures of a text and vote keep (1), reject (-1) or abstain (0).
 Which rules can be trusted is not set by hand: expectation-maximisation over the
-counts of vote patterns estimates for every rule how often it votes each way on good
-and on bad texts, and the share of good texts.  The posterior probability of being
-good decides.  With R rules there are at most 3^R patterns, whatever the number of
+counts of vote patterns estimates how often each rule is right, and the posterior
+probability of being good, given all votes and accuracies, decides.  With R rules there are at most 3^R patterns, whatever the number of
 texts, so the model is fitted on a table of fixed size that Spark counts.
 
 Texts that fail the base rule (fewer than 10 words, or over 20 % of the words inside
@@ -28,8 +27,8 @@ SYMBOLS = "#*$%&|<>"
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long, n_letters long, n_lines long, n_ended long, n_distinct long"
 NAMES = [c.split()[0] for c in MEASURES.split(", ")]
 CLOSE, ROUNDS = 1e-9, 200
-PRIOR = 0.85  # share of good texts that the fit starts from
-ACCURACY = 0.8  # accuracy of every rule that the fit starts from
+ACCURACY, TRUST = 0.9, 20  # accuracy of every rule that the fit starts from, and the votes that say so
+LEAST, MOST = 0.55, 0.995
 KEEP = 0.5
 
 
@@ -71,65 +70,64 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("_m", run(text))
 
 
-def _vote(good: Column, bad: Column) -> Column:
-    return F.when(bad, -1).when(good, 1).otherwise(0)
-
-
 def votes(m: str = "_m") -> dict[str, Column]:
-    """Each rule's vote on the measures; between its two bounds a rule abstains."""
+    """Each rule's vote on the measures.
+
+    Every fault has a rule that rejects or abstains; one rule speaks for running prose
+    and abstains otherwise.  A rule that would praise the mere absence of its fault
+    would outvote the one rule that sees another fault.
+    """
     v = {c: F.col(f"{m}.{c}") for c in NAMES}
     n, lines, letters = v["n_words"], F.greatest(v["n_lines"], F.lit(1)), F.greatest(v["n_letters"], F.lit(1))
     per_word = F.greatest(n, F.lit(1))
-    return {
-        "length": _vote(n >= 30, n < 10),
-        "word_length": _vote(v["word_chars"].between(3 * n, 9 * n), (v["word_chars"] < 2 * n) | (v["word_chars"] > 14 * n) | (n == 0)),
-        "symbols": _vote(v["n_symbols"] / per_word <= 0.05, v["n_symbols"] / per_word > 0.1),
-        "lines": _vote(v["n_dup_lines"] / lines <= 0.1, v["n_dup_lines"] / lines > 0.3),
-        "repeats": _vote(v["n_repeat_words"] / per_word <= 0.05, v["n_repeat_words"] / per_word > 0.2),
-        "capitals": _vote(v["n_upper"] / letters <= 0.2, v["n_upper"] / letters > 0.5),
-        "endings": _vote((v["n_ended"] / lines >= 0.5) & (n > 0), v["n_ended"] / lines < 0.1),
-        "variety": _vote((v["n_distinct"] / per_word >= 0.3) | (n >= 300), (v["n_distinct"] / per_word < 0.15) & (n < 300)),
+    faults = {
+        "length": n < 10,
+        "word_length": (v["word_chars"] < 2 * n) | (v["word_chars"] > 14 * n),
+        "symbols": v["n_symbols"] / per_word > 0.1,
+        "lines": v["n_dup_lines"] / lines > 0.5,
+        "repeats": v["n_repeat_words"] / per_word > 0.2,
+        "capitals": v["n_upper"] / letters > 0.5,
+        "endings": (v["n_lines"] >= 3) & (v["n_ended"] / lines < 0.1),
+        "variety": (v["n_distinct"] / per_word < 0.15) & (n < 300),
     }
+    prose = (n >= 10) & (v["n_ended"] / lines >= 0.5) & (v["n_symbols"] / per_word <= 0.05)
+    prose = prose & (v["n_upper"] / letters <= 0.2) & v["word_chars"].between(3 * n, 9 * n)
+    return {k: F.when(bad, -1).otherwise(0) for k, bad in faults.items()} | {"prose": F.when(prose, 1).otherwise(0)}
 
 
-def fit(patterns: dict[tuple, int]) -> tuple[float, list[dict]]:
-    """Share of good texts and, per rule, P(vote | good) and P(vote | bad), by expectation-maximisation.
+def fit(patterns: dict[tuple, int]) -> list[float]:
+    """Accuracy of every rule (how often it is right when it votes), by expectation-maximisation.
 
-    Starts from rules of equal accuracy, so good stays good; one extra text per vote
-    keeps probabilities off zero.  The sums run in the order of the patterns, so the
-    result is the same in every run.
+    Good and bad are equally likely before any vote, abstentions say nothing, and a rule
+    is never taken to be worse than chance, so good cannot turn into bad.  ``TRUST``
+    imagined votes of accuracy ``ACCURACY`` keep rules that hardly vote in place.  Sums
+    run in the order of the patterns, so every run gives the same result.
     """
     items = sorted(patterns.items())
-    width = len(items[0][0]) if items else 0
-    share = PRIOR
-    tables = [{v: (0.5, 0.5) if v == 0 else (ACCURACY / 2, (1 - ACCURACY) / 2)[:: 1 if v == 1 else -1] for v in (-1, 0, 1)} for _ in range(width)]
+    accuracies = [ACCURACY] * (len(items[0][0]) if items else 0)
     for _ in range(ROUNDS):
-        good_sum, seen = 0.0, [{v: [1.0, 1.0] for v in (-1, 0, 1)} for _ in range(width)]
-        total = 0
+        right, cast = [ACCURACY * TRUST] * len(accuracies), [float(TRUST)] * len(accuracies)
         for votes_, count in items:
-            p = posterior(votes_, share, tables)
-            good_sum, total = good_sum + p * count, total + count
-            for t, v in zip(seen, votes_, strict=True):
-                t[v][0] += p * count
-                t[v][1] += (1 - p) * count
-        if not total:
+            p = posterior(votes_, accuracies)
+            for j, v in enumerate(votes_):
+                if v:
+                    right[j] += count * (p if v > 0 else 1 - p)
+                    cast[j] += count
+        new = [min(max(r / c, LEAST), MOST) for r, c in zip(right, cast, strict=True)]
+        moved = max((abs(x - y) for x, y in zip(new, accuracies, strict=True)), default=0.0)
+        accuracies = new
+        if moved < CLOSE:
             break
-        new = (good_sum + 1) / (total + 2)
-        tables = [{v: (c[0] / sum(x[0] for x in t.values()), c[1] / sum(x[1] for x in t.values())) for v, c in t.items()} for t in seen]
-        if abs(new - share) < CLOSE:
-            share = new
-            break
-        share = new
-    return share, tables
+    return accuracies
+
+
+def weight(accuracy: float) -> float:
+    return math.log(accuracy) - math.log(1 - accuracy)
 
 
-def posterior(votes_: tuple, share: float, tables: list[dict]) -> float:
-    """Probability of a good text given its votes; abstentions say nothing."""
-    odds = math.log(share) - math.log(1 - share)
-    for t, v in zip(tables, votes_, strict=True):
-        if v:
-            odds += math.log(t[v][0]) - math.log(t[v][1])
-    return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
+def posterior(votes_: tuple, accuracies: list[float]) -> float:
+    """Probability of a good text given its votes."""
+    return 1 / (1 + math.exp(-sum(v * weight(a) for v, a in zip(votes_, accuracies, strict=True))))
 
 
 def judged(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -142,11 +140,9 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     rules = votes()
     counted = measured(docs.select(text), text).groupBy(*[v.alias(k) for k, v in rules.items()]).count()
     patterns = {tuple(r[k] for k in rules): r["count"] for r in counted.collect()}  # at most 3^rules rows
-    share, tables = fit(patterns)
-    odds = F.lit(math.log(share) - math.log(1 - share))
-    for (_, vote), t in zip(rules.items(), tables, strict=False):
-        lean = {v: math.log(t[v][0]) - math.log(t[v][1]) for v in (-1, 1)}
-        odds = odds + F.when(vote == 1, lean[1]).when(vote == -1, lean[-1]).otherwise(0.0)
+    odds = F.lit(0.0)
+    for vote, accuracy in zip(rules.values(), fit(patterns), strict=False):
+        odds = odds + vote * F.lit(weight(accuracy))
     n, repeat = F.col("_m.n_words"), F.col("_m.n_repeat_words")
     df = measured(docs, text).withColumns({"base_failed": (n < 10) | (100 * repeat > 20 * n), "quality": 1 / (1 + F.exp(-odds))})
     return df.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP))
