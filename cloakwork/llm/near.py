@@ -14,10 +14,12 @@ numpy.
 equal bands meet in buckets.  First every text is compared with the leader of the
 buckets that it shares most with one leader; links found that way join a group of any
 size with one comparison per text.  Then only buckets that still hold several classes
-are looked at: all pairs of different classes in them are candidates.  No candidate is
-dropped but by two safe tests: the sizes must allow the similarity, and registers must
-not put it ``SLACK`` below the threshold (over five standard errors).  The rest is
-verified by the overlap of the multisets.
+are looked at.  Of the texts in them, the shingles that no other such text has are
+counted; they bound what a text can share with any partner, so most texts of a large
+group that are not linked yet turn out to be alone, or to fit only few others, before
+any pair is formed.  Pairs of different classes that this bound allows are candidates,
+those whose registers put them ``SLACK`` below the threshold (over five standard
+errors) go, and the rest is verified by the overlap of the multisets.
 
 A pair of the threshold similarity is missed by all bands with a probability of
 (1 - 0.8^6)^36 = 2e-5.
@@ -176,14 +178,18 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x == y).mean(axis=1))
 
 
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts, and where each text's tokens end; the j-th occurrence of a shingle is a token of its own."""
+    doc, sh, count = shingles(texts)
+    copy = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    sizes = np.bincount(doc, weights=count, minlength=len(texts)).astype(np.int64)
+    return mix(np.repeat(sh, count) + copy.astype(np.uint64) * _GOLD), np.concatenate(([0], np.cumsum(sizes)))
+
+
 def overlap(a: list[bytes], b: list[bytes]) -> list[float]:
     """Weighted Jaccard similarity of the pairs (a[i], b[i])."""
     known = {t: i for i, t in enumerate(dict.fromkeys([*a, *b]))}
-    doc, sh, count = shingles(list(known))
-    # the j-th occurrence of a shingle is a token of its own
-    copy = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    token = mix(np.repeat(sh, count) + copy.astype(np.uint64) * _GOLD)
-    ends = np.concatenate(([0], np.cumsum(np.bincount(doc, weights=count, minlength=len(known)).astype(np.int64))))
+    token, ends = tokens(list(known))
     out = []
     for x, y in zip(a, b, strict=True):
         s, t = (token[ends[known[v]] : ends[known[v] + 1]] for v in (x, y))
@@ -192,6 +198,15 @@ def overlap(a: list[bytes], b: list[bytes]) -> list[float]:
     return out
 
 
+def _tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in batches:
+        values, out = [(x or "").encode("utf-8", "surrogatepass") for x in batch], []
+        for a, b in chunks(values):
+            token, ends = tokens(values[a:b])
+            out += [token[ends[i] : ends[i + 1]].view(np.int64) for i in range(b - a)]
+        yield pd.Series(out)
+
+
 def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     x, y = ([v.encode("utf-8", "surrogatepass") for v in s] for s in (a, b))
     out: list[float] = []
@@ -257,9 +272,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     known = members.join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
     mixed = known.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
     left = materialize(known.join(mixed, "band", "left_semi").join(sketches.select("k", "n"), "k").select("band", "k", "root", "n"))
+    asked = texts.join(left.select("k").distinct(), "k", "left_semi").select("k", F.explode(F.pandas_udf(_tokens, "array<long>")("text")).alias("token"))
+    lone = asked.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("k").alias("k")).filter("c = 1")
+    lone = lone.groupBy("k").agg(F.count(F.lit(1)).alias("own"))
+    left = left.join(lone, "k", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+    left = materialize(left.filter(F.col("most") >= similarity * F.col("n")))
     x, y = left.alias("x"), left.alias("y")
+    most, sizes = F.least("x.most", "y.most"), F.col("x.n") + F.col("y.n")
     met = x.join(y, F.col("x.band") == F.col("y.band")).filter("x.k < y.k and x.root <> y.root")
-    met = met.filter((F.col("x.n") >= similarity * F.col("y.n")) & (F.col("y.n") >= similarity * F.col("x.n")))
+    met = met.filter(most >= similarity * (sizes - most))
     pairs = materialize(met.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct())
     more = linked(pairs, texts, sketches, similarity)
     roots = components(roots.select(F.col("k").alias("a"), F.col("root").alias("b")).union(more))
