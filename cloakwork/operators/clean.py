@@ -52,7 +52,7 @@ def clip_to(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
 
 
 def month_means(df: DataFrame, date: str | Column, cols: list[str]) -> DataFrame:
-    """Fitted fill values per month: (ym, <col>__fill).
+    """Fitted fill values: (ym, month, <col>__fill), one row per month and, with null ym, per calendar month.
 
     The first choice is the mean of that year-month; a month without data falls back
     to the mean of the same calendar month over all years, taken after the first
@@ -66,20 +66,23 @@ def month_means(df: DataFrame, date: str | Column, cols: list[str]) -> DataFrame
     )
     filled = lambda i: F.sum(F.col(f"m_{i}") * F.col("n")) / F.sum(F.when(F.col(f"m_{i}").isNotNull(), F.col("n")))
     calendar = months.groupBy(F.month("ym").alias("month")).agg(*[filled(i).alias(f"c_{i}") for i in range(len(cols))])
-    return (
-        months.withColumn("month", F.month("ym"))
-        .join(calendar, "month")
-        .select("ym", *[F.coalesce(f"m_{i}", f"c_{i}").alias(f"{c}__fill") for i, c in enumerate(cols)])
-    )
+    each = months.withColumn("month", F.month("ym")).join(calendar, "month")
+    each = each.select("ym", "month", *[F.coalesce(f"m_{i}", f"c_{i}").alias(f"{c}__fill") for i, c in enumerate(cols)])
+    unseen = calendar.select(F.lit(None).cast(each.schema["ym"].dataType).alias("ym"), "month", *[F.col(f"c_{i}").alias(f"{c}__fill") for i, c in enumerate(cols)])
+    return each.unionByName(unseen)
 
 
 def month_mean_impute(df: DataFrame, date: str, cols: list[str], fitted: DataFrame | None = None) -> DataFrame:
     """Fill nulls by month means; pass ``fitted`` from the training rows to avoid leaks.
 
+    A month that the fitted rows do not have takes the mean of its calendar month.
     The fitted table has one row per month on record (hundreds), so it is broadcast
     by size and a month that holds most of the rows causes no skew.
     """
     fitted = month_means(df, date, cols) if fitted is None else fitted
-    out = df.withColumn("ym", F.date_trunc("month", F.col(date))).join(fitted, "ym", "left")
-    out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"{c}__fill")) for c in cols})
-    return out.drop("ym", *[f"{c}__fill" for c in cols])
+    own = fitted.filter(F.col("ym").isNotNull()).drop("month")
+    season = fitted.filter(F.col("ym").isNull()).select(F.col("month").alias("_month"), *[F.col(f"{c}__fill").alias(f"{c}__season") for c in cols])
+    out = df.withColumns({"ym": F.date_trunc("month", F.col(date)), "_month": F.month(F.col(date))})
+    out = out.join(own, "ym", "left").join(season, "_month", "left")
+    out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"{c}__fill"), F.col(f"{c}__season")) for c in cols})
+    return out.drop("ym", "_month", *[f"{c}__{x}" for c in cols for x in ("fill", "season")])

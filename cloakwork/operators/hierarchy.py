@@ -51,10 +51,12 @@ def group_lca(df: DataFrame, by: list[str], col: str, closed: DataFrame) -> Data
     """Deepest ancestor shared by all values of a group.
 
     Values are counted per group first, so the join with the closure sees one row per
-    distinct value; the answer is the deepest ancestor that covers the whole group.
+    distinct value; the answer is the deepest ancestor that covers the whole group, null
+    for a group with a value that the tree does not know.
     """
     counts = df.groupBy(*by, q(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     size = counts.groupBy(*by).agg(F.sum("n").alias("size"))
     cover = counts.join(closed, "value").groupBy(*by, "ancestor", "level").agg(F.sum("n").alias("covered"))
-    full = cover.join(size, by).filter(F.col("covered") == F.col("size"))
-    return full.groupBy(*by).agg(F.max_by("ancestor", "level").alias("lca"), F.max("level").alias("lca_level"), F.first("size").alias("n"))
+    full = size.join(cover, by, "left")
+    whole = F.when(F.col("covered") == F.col("size"), F.col("level"))
+    return full.groupBy(*by, "size").agg(F.max_by("ancestor", whole).alias("lca"), F.max(whole).alias("lca_level")).select(*by, "lca", "lca_level", F.col("size").alias("n"))

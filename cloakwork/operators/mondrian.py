@@ -23,11 +23,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cloakwork.functions.hashing import unit_hash
-from cloakwork.functions.ranks import add_buckets, bucket_count, quantile_bounds, rank_select, rank_within, running_sums
+from cloakwork.functions.ranks import add_buckets, bucket_count, number_rows, quantile_bounds, rank_select, rank_within, running_sums
 from cloakwork.operators.profile import bounds_of
 from cloakwork.session import discard, materialize
 
 LOCAL_TUPLES = 100_000
+TIED_TUPLES = 100_000  # tied tuples that are ranked together
 REWRITE_EVERY = 3
 
 
@@ -118,7 +119,7 @@ def _splits(tuples: DataFrame, nodes: DataFrame, k: int, strict: bool, d: int, b
     out = out.withColumns({"ok": F.col("least") < F.col("most"), "need": F.col("rank") - F.col("below")})
     tied = out.filter(F.col("ok") & (F.col("need") < F.col("upto") - F.col("below")))
     tied = tied.select("ec", F.col("value").alias("v"), "need")
-    ties = items.join(tied, ["ec", "v"]).select("ec", "tid", "w", F.shiftright("tid", 33).alias("part"))
+    ties = items.join(tied, ["ec", "v"]).select("ec", "tid", "w", F.floor(F.col("tid") / TIED_TUPLES).alias("part"))
     shared = rank_select(ties, ["ec"], "tid", tied.select("ec", F.col("need").alias("rank")), "w", "part" if bucketed else None)
     shared = shared.select("ec", F.col("value").alias("cut_tid"), (F.col("rank") - F.col("below")).alias("cut_left"))
     return out.join(shared, "ec", "left")
@@ -238,7 +239,8 @@ def mondrian(
     d, names = len(qi), [f"q{j}" for j in range(len(qi))]
     base = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(qi, names)])
     base = base.groupBy(*names).agg(F.count(F.lit(1)).alias("w"))
-    base = materialize(base.withColumn("tid", F.monotonically_increasing_id()))
+    # tied tuples of a relaxed cut are dealt in the order of their values, whatever the partitioning
+    base = materialize(base.withColumn("tid", F.monotonically_increasing_id())) if strict else materialize(number_rows(base, names, "tid"))
     head = base.agg(
         F.count(F.lit(1)).alias("m"),
         F.sum("w").alias("n"),

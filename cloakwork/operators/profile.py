@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cloakwork.functions.ranks import exact_quantiles
 from cloakwork.functions.scalar import coerce_number
+from cloakwork.session import materialize
 
 
 def _whole() -> Window:
@@ -88,13 +89,14 @@ def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Count and percent per class next to the largest and smallest class."""
-    counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")))
+    total, most, least = counts.agg(F.sum("n"), F.max("n"), F.min("n")).first()  # three numbers
     return counts.select(
         "label",
         "n",
-        (100.0 * F.col("n") / F.sum("n").over(_whole())).alias("percent"),
-        F.max("n").over(_whole()).alias("majority"),
-        F.min("n").over(_whole()).alias("minority"),
+        (100.0 * F.col("n") / F.lit(total)).alias("percent"),
+        F.lit(most).alias("majority"),
+        F.lit(least).alias("minority"),
     )
 
 

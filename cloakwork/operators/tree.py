@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -195,8 +197,9 @@ def _local_split(x: np.ndarray, y: np.ndarray, w: np.ndarray, columns, loss: str
             losses = deviation.threshold_losses(v, yo, wo, loss)[2]
             whole = deviation.threshold_losses(np.zeros(len(yo)), yo, wo, loss, next_x=1.0)[2][0]
             gains = (whole - losses) / n
+        gains = np.round(gains, 12)  # as the rounds compare them
         i = int(np.argmax(gains))
-        if gains[i] > best[0] + 1e-12:
+        if gains[i] > best[0]:
             best = (float(gains[i]), j, float((v[ends[i]] + v[ends[i] + 1]) / 2))
     return best
 
@@ -208,7 +211,6 @@ def _finish_small(d: int, opts: dict):
         tree, root = int(pdf["tree"].iloc[0]), pdf["node"].iloc[0]
         x = np.stack([np.asarray(v, float) for v in pdf["x"]])
         y, w = pdf["y"].to_numpy(float), pdf["w"].to_numpy(float)
-        rng = np.random.default_rng([opts["seed"], tree, len(root), int(root[1:] or "0", 2)])
         out, todo = [], [(root, np.arange(len(y)))]
         while todo:
             node, idx = todo.pop()
@@ -216,7 +218,7 @@ def _finish_small(d: int, opts: dict):
             value = (w[idx] * y[idx]).sum() / n
             gain, j, at = 0.0, None, None
             if n >= opts["min_split"] and (opts["max_depth"] is None or len(node) - 1 < opts["max_depth"]):
-                pick = range(d) if opts["max_features"] >= d else np.sort(rng.choice(d, opts["max_features"], replace=False))
+                pick = _subset_of(d, opts["max_features"], opts["seed"], tree, node)
                 gain, j, at = _local_split(x[idx], y[idx], w[idx], pick, opts["loss"])
             if j is None or gain < opts["min_gain"]:
                 out.append((tree, node, -1, np.nan, value + opts["centre"], int(n)))
@@ -229,6 +231,13 @@ def _finish_small(d: int, opts: dict):
     return finish
 
 
+def _subset_of(d: int, m: int, seed: int, tree: int, node: str) -> list[int]:
+    """The same features as :func:`_feature_subset`, for a node that is finished inside a task."""
+    if m >= d:
+        return list(range(d))
+    return sorted(sorted(range(d), key=lambda j: hashlib.md5(f"{seed}:{tree}:{node}:{j}".encode()).hexdigest())[:m])
+
+
 def _drawn(df: DataFrame, seed: int) -> DataFrame:
     """Column ``w``, the Poisson draws of row ``id`` by tree ``tree``; rows never drawn are dropped."""
     draw = F.concat_ws(":", F.col("id").cast("string"), (F.col("tree") + seed).cast("string"))
@@ -238,8 +247,9 @@ def _drawn(df: DataFrame, seed: int) -> DataFrame:
 
 def _feature_subset(d: int, m: int, seed: int) -> Column:
     """Features a node may split on: the m smallest of a hash of (tree, node, feature)."""
-    draws = [F.struct(F.xxhash64(F.lit(seed), "tree", "node", F.lit(j)).alias("h"), F.lit(j).alias("j")) for j in range(d)]
-    return F.transform(F.slice(F.array_sort(F.array(*draws)), 1, m), lambda s: s["j"])
+    name = F.concat_ws(":", F.lit(str(seed)), F.col("tree").cast("string"), F.col("node"))
+    draws = [F.concat(F.md5(F.concat(name, F.lit(f":{j}"))), F.lit(f":{j}")) for j in range(d)]
+    return F.transform(F.slice(F.array_sort(F.array(*draws)), 1, m), lambda s: F.substring_index(s, ":", -1).cast("int"))
 
 
 def fit_forest(

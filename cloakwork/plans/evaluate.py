@@ -95,10 +95,14 @@ def random_forest(
     n_estimators: int = 100, max_depth: int | None = 5, max_features: str = "sqrt", seed: int = 42,
     min_samples_leaf: int = 1, min_samples_split: float = 2,
 ) -> Callable:
-    """Spark ML forest.  Depth is limited to 30; ``min_samples_split`` has no counterpart and is accepted only
-    so that a whole grid can be passed."""
+    """Spark ML forest.  It grows to a depth of 30 at most and has no least size of a split node; other settings
+    are refused rather than fitted as something else (the forest of ``operators.tree`` honours them)."""
+    if max_depth is None or max_depth > 30:
+        raise ValueError("the library forest grows to a depth of 30 at most")
+    if min_samples_split != 2:
+        raise ValueError("the library forest has no min_samples_split")
     make = lambda data: RandomForestClassifier(
-        featuresCol="_x", labelCol="_y", numTrees=n_estimators, maxDepth=min(max_depth or 30, 30),
+        featuresCol="_x", labelCol="_y", numTrees=n_estimators, maxDepth=max_depth,
         featureSubsetStrategy=max_features, minInstancesPerNode=min_samples_leaf, seed=seed,
     )
     return _classifier(make)
@@ -226,9 +230,10 @@ def fit_score(
     start = time.time()
     predict = model(problem, train)
     seconds = time.time() - start
-    out = score(problem, predict(valid), kind).withColumn("part", F.lit("valid"))
+    judged = lambda part: materialize(predict(part).select(problem.label, "prediction"))  # every metric reads it
+    out = score(problem, judged(valid), kind).withColumn("part", F.lit("valid"))
     if with_train:
-        out = out.unionByName(score(problem, predict(train), kind).withColumn("part", F.lit("train")))
+        out = out.unionByName(score(problem, judged(train), kind).withColumn("part", F.lit("train")))
     return out, seconds
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cloakwork.functions import scalar
-from cloakwork.operators import clean, encode
+from cloakwork.operators import clean, encode, hierarchy
 from cloakwork.operators.encode import Mapping, Steps
 from cloakwork.plans import presets
 from cloakwork.roles import bound_columns, dtype_histogram, numeric_columns, text_columns
@@ -66,6 +66,23 @@ def test_month_without_data_takes_the_calendar_month(spark):
     assert out["2000-01-09"] == 1.0 and out["2002-01-02"] == pytest.approx((1 + 1 + 5) / 3) and out["2002-02-02"] is None
 
 
+def test_month_unseen_in_training_takes_the_calendar_month(spark):
+    rows = [("2000-01-05", 1.0), ("2001-01-03", 5.0), ("2001-02-01", 9.0)]
+    train = spark.createDataFrame(rows, "d string, x double").withColumn("d", F.to_date("d"))
+    new = spark.createDataFrame([("2002-01-07", None), ("2002-02-07", 2.0), ("2002-03-01", None)], "d string, x double")
+    new = new.withColumn("d", F.to_date("d"))
+    out = clean.month_mean_impute(new, "d", ["x"], clean.month_means(train, "d", ["x"]))
+    assert out.columns == new.columns
+    assert {str(r["d"]): r["x"] for r in out.collect()} == {"2002-01-07": 3.0, "2002-02-07": 2.0, "2002-03-01": None}
+
+
+def test_group_with_unknown_value_keeps_a_row(spark):
+    tree = spark.createDataFrame([("all", None, 0), ("x", "all", 1), ("y", "all", 1)], "value string, parent string, level int")
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x"), (2, "y"), (3, "x"), (3, "lost"), (4, "lost")], "g int, v string")
+    got = {r["g"]: (r["lca"], r["n"]) for r in hierarchy.group_lca(df, ["g"], "v", hierarchy.closure(tree)).collect()}
+    assert got == {1: ("x", 2), 2: ("all", 2), 3: (None, 2), 4: (None, 1)}
+
+
 def test_missing_limit(spark):
     cols = [f"c{i}" for i in range(20)]
     rows = [(i, *[None if j < i else 1.0 for j in range(20)]) for i in (14, 15, 16)]

@@ -55,6 +55,15 @@ def test_tree_equals_recursion(spark, local):
     assert joined == {i: pytest.approx(v, abs=1e-9) for i, v in got.items()}
 
 
+def test_feature_subsets_do_not_depend_on_where_a_node_is_finished(spark):
+    x, y = data(200)
+    df, found = frame(spark, x, y), []
+    for local in (0, 20, 400):
+        model = tree.fit_forest(df, "id", ["a", "b", "c"], "y", trees=3, max_depth=4, max_features=2, local_rows=local)
+        found.append(sorted((r["tree"], r["node"], r["feature"], r["threshold"] and round(r["threshold"], 9), r["n"]) for r in model.nodes.collect() if r["feature"] >= 0))
+    assert found[0] == found[1] == found[2]
+
+
 @pytest.mark.parametrize("loss", ["mse", "mae", "mad"])
 def test_split_of_every_loss(spark, loss):
     x, y = data(120, seed=8)
