@@ -138,12 +138,61 @@ def mondrian_first_split(spark, sf):
     return mondrian.first_splits(table(spark, sf, "lineitem"), LINE_QI, 5)
 
 
-@register("mondrian_strict")
+def _recursive_splits(source: str, q0: str, q1: str, k: int, strict: bool) -> str:
+    """Row-wise recursion over two columns: every step splits all open classes by one median."""
+    side = "{v} <= s{i}" if strict else "r{i} <= half"
+    stage = []
+    for i, v in ((0, "v0"), (1, "v1")):
+        left = side.format(v=v, i=i)
+        stage.append(
+            f"""count(*) filter ({left}) over c as n{i}, min({v}) filter (not ({left})) over c as x{i}, {left} as left{i}"""
+        )
+    fits = (
+        "half >= {k} and x{i} is not null and n{i} >= {k} and n - n{i} >= {k}" if strict else "half >= {k} and lo{i} < hi{i}"
+    )
+    ok = [fits.format(i=i, k=k) for i in (0, 1)]
+    lows = lambda i: f"case when left{i} then lo{i} else x{i} end"
+    highs = lambda i: f"case when left{i} then s{i} else hi{i} end"
+    # v0 is the wider column, v1 the other one; f says which of the two that is
+    chosen = {
+        "a0": f"case when ok0 then {lows(0)} when ok1 then lo0 end",
+        "b0": f"case when ok0 then {highs(0)} when ok1 then hi0 end",
+        "a1": f"case when ok0 then w1a when ok1 then {lows(1)} end",
+        "b1": f"case when ok0 then w1b when ok1 then {highs(1)} end",
+    }
+    return f"""
+with recursive base as (select cast({q0} as double) as q0, cast({q1} as double) as q1 from {source}),
+rng as (select max(q0) - min(q0) as r0, max(q1) - min(q1) as r1, min(q0) as l0, max(q0) as h0, min(q1) as l1, max(q1) as h1 from base),
+t as (
+  select q0, q1, 'r' as ec, l0, h0, l1, h1, r0, r1, false as done from base, rng
+  union all
+  select q0, q1, case when ok0 then ec || case when left0 then '0' else '1' end when ok1 then ec || case when left1 then '0' else '1' end else ec end,
+    case when f = 0 then a0 else a1 end, case when f = 0 then b0 else b1 end,
+    case when f = 0 then a1 else a0 end, case when f = 0 then b1 else b0 end, r0, r1, not (ok0 or ok1)
+  from (select *, {', '.join(f'{e} as {c}' for c, e in chosen.items())} from (
+    select *, {ok[0]} as ok0, {ok[1]} as ok1 from (
+      select *, {', '.join(stage)} from (
+        select *, max(v0) filter (r0_ = half) over c as s0, max(v1) filter (r1_ = half) over c as s1, r0_ as r0x, r1_ as r1x,
+          min(v0) over c as lo0, max(v0) over c as hi0, min(v1) over c as lo1, max(v1) over c as hi1 from (
+          select *, row_number() over (partition by ec order by v0, q0, q1) as r0_, row_number() over (partition by ec order by v1, q0, q1) as r1_ from (
+            select *, case when f = 0 then q0 else q1 end as v0, case when f = 0 then q1 else q0 end as v1,
+              case when f = 0 then l1 else l0 end as w1a, case when f = 0 then h1 else h0 end as w1b from (
+              select *, count(*) over (partition by ec) as n, count(*) over (partition by ec) // 2 as half,
+                case when (case when h1 - l1 = r1 then 1.0 else (h1 - l1) / r1 end) > (case when h0 - l0 = r0 then 1.0 else (h0 - l0) / r0 end) then 1 else 0 end as f
+              from t where not done)))
+        window c as (partition by ec))
+      window c as (partition by ec)))))
+select ec as ec_id, count(*) as n, min(q0) as {q0}_min, max(q0) as {q0}_max, min(q1) as {q1}_min, max(q1) as {q1}_max
+from t where done group by ec
+""".replace("r0 <= half", "r0x <= half").replace("r1 <= half", "r1x <= half")
+
+
+@register("mondrian_strict", _recursive_splits("customer", "c_nationkey", "c_acctbal", 5, True))
 def mondrian_strict(spark, sf):
     return mondrian.mondrian(table(spark, sf, "customer"), list(CUSTOMER.qi), 5).table()
 
 
-@register("mondrian_relaxed")
+@register("mondrian_relaxed", _recursive_splits("customer", "c_nationkey", "c_acctbal", 5, False))
 def mondrian_relaxed(spark, sf):
     return mondrian.mondrian(table(spark, sf, "customer"), list(CUSTOMER.qi), 5, strict=False).table()
 
