@@ -1,6 +1,5 @@
 """Registered queries against their SQL, and the pipeline against its stages done plainly."""
 
-import math
 import re
 from collections import Counter, defaultdict
 
@@ -8,7 +7,9 @@ import pytest
 
 import corpus_pipeline
 from cloakwork import llm
-from cloakwork.llm import near, rules
+from cloakwork.llm import rules
+
+from .test_brute import brute_classes, brute_hits
 
 llm.load_all()
 
@@ -30,8 +31,6 @@ def test_query_returns_every_row(spark, sf, name):
 
 
 def test_pipeline(spark, sf):
-    from test_brute import brute_classes, brute_hits
-
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
     state = docs
@@ -73,4 +72,3 @@ def test_pipeline(spark, sf):
             for r in after:
                 slots[r["shard"]].append(r["slot"])
             assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    assert math.isfinite(near.SIMILARITY)
