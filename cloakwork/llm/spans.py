@@ -1,11 +1,11 @@
 """Substring deduplication over sliding runs of sentences.
 
 A run starts at every sentence and takes as many as needed to hold at least ``SPAN``
-sentences and ``WORDS`` words.  All runs are hashed; a hash that occurs more than once
+sentences and ``WORDS`` words; a text of fewer sentences but ``LONG`` words is one run.  All runs are hashed; a hash that occurs more than once
 anywhere has a first occurrence (least key, text, place), and every sentence covered by
 another occurrence is removed.  Sentences longer than ``LONG`` words are cut after
-words chosen by their hash, so that a passage inside a long sentence is cut alike
-wherever it stands.
+words chosen by their hash (at the latest after twice as many), so that a passage
+inside a long sentence is cut alike wherever it stands.
 
 Only (hash, key, place) rows are shuffled, combined on the map side first; a passage
 that a third of the texts share is one hash with one first occurrence.  Texts are read
@@ -42,7 +42,7 @@ def sentences(text: str) -> list[tuple[int, int, tuple]]:
         begin, held = m.start(), []
         for w in _WORD.finditer(text, m.start(), m.end()):
             held.append(w[0])
-            if xxhash.xxh32_intdigest(w[0]) % CUT == 0:
+            if xxhash.xxh32_intdigest(w[0]) % CUT == 0 or len(held) == 2 * LONG:
                 out.append((begin, w.end(), held))
                 begin, held = w.end(), []
         if held:
@@ -59,7 +59,7 @@ def runs(text: str) -> list[tuple[int, int, int]]:
         while j < len(parts) and (j - i < SPAN or held < WORDS):
             held += len(parts[j][2])
             j += 1
-        if j - i < SPAN or held < WORDS:
+        if (j - i < SPAN and (i or held < LONG)) or held < WORDS:
             break
         joined = "\n".join([" ".join(p[2]) for p in parts[i:j]])
         h = xxhash.xxh64_intdigest(joined.encode("utf-8", "surrogatepass"))
@@ -103,7 +103,7 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 def cut(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Add ``spans`` (removed stretches, null where there are none) and cut them out of the text.
 
-    A null text stays null and an empty one empty; a text of fewer than three sentences
+    A null text stays null and an empty one empty; a short text of fewer than three sentences
     has no run and stays whole.  Columns named ``spans`` are replaced.
     """
     marks = repeated(docs, key, text)
