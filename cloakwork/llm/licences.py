@@ -1,6 +1,6 @@
 """Licence scan by TF-IDF cosine, with inheritance along directories.
 
-Templates and lines of text are sparse vectors of word counts times inverse document
+Templates and lines of text are sparse vectors of damped word counts (1 + ln) times inverse document
 frequency over the templates; a word of no template has the highest weight.  A line
 whose cosine with a template reaches ``THRESHOLD`` carries that licence.  Only lines
 with an anchor word can: for every template the heaviest words are anchors until the
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cloakwork.llm.common import guarded, register, table
 from cloakwork.session import materialize
 
-THRESHOLD = 0.6
+THRESHOLD = 0.75
 WORD = "[a-z0-9]+"
 
 # fixed values: public licence notices, one line each, by SPDX identifier
@@ -42,6 +42,10 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
 ]
+# fixed values: function words of several languages and digits, poor anchors
+COMMON = frozenset(
+    "a all and any are as at be by can for from in is it its no not of on only or such that the then there this to under use was were with without you mit des 0 1 2 3 4".split()
+)
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)(\.[a-z]+)?$"
 
 
@@ -52,18 +56,18 @@ def model(templates: list[tuple[str, str]]) -> tuple[dict[str, float], float, li
     idf = {w: math.log((1 + len(bags)) / (1 + n)) + 1 for w, n in df.items()}
     vectors = []
     for b in bags:
-        raw = {w: n * idf[w] for w, n in b.items()}
+        raw = {w: (1 + math.log(n)) * idf[w] for w, n in b.items()}
         norm = math.sqrt(sum(v * v for v in raw.values()))
         vectors.append({w: v / norm for w, v in raw.items()})
     return idf, math.log(1 + len(bags)) + 1, vectors
 
 
 def anchors(vectors: list[dict[str, float]], threshold: float) -> list[str]:
-    """Words of which every line that can reach the threshold has one."""
+    """Words of which every line that can reach the threshold has one; common words only where the others do not do."""
     out: set[str] = set()
     for v in vectors:
         rest = sum(x * x for w, x in v.items() if w not in out)
-        for w, x in sorted(v.items(), key=lambda p: (-p[1], p[0])):
+        for w, x in sorted(v.items(), key=lambda p: (p[0] in COMMON, -p[1], p[0])):
             if rest < (threshold * 0.999) ** 2:
                 break
             if w not in out:
@@ -86,7 +90,7 @@ def score(lines: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thresh
     weights = _table(lines, [(w, k, x) for k, v in enumerate(vectors) for w, x in sorted(v.items())], ["word", "k", "x"])
     each = lines.select("line", F.explode(F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))).alias("word"))
     each = each.groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf")).join(F.broadcast(words), "word", "left")
-    each = materialize(each.withColumn("y", F.col("tf") * F.coalesce("idf", F.lit(unknown))).select("line", "word", "y"))
+    each = materialize(each.withColumn("y", (1 + F.ln("tf")) * F.coalesce("idf", F.lit(unknown))).select("line", "word", "y"))
     norms = each.groupBy("line").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("norm"))
     dots = each.join(F.broadcast(weights), "word").groupBy("line", "k").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
     near = dots.join(norms, "line").withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("cosine") >= threshold)

@@ -382,7 +382,7 @@ def test_colliding_digests_are_told_apart(tmp_path):
 def cosine(line):
     idf, unknown, vectors = licences.model(licences.TEMPLATES)
     bag = Counter(re.findall(licences.WORD, line.lower()))
-    v = {w: n * idf.get(w, unknown) for w, n in bag.items()}
+    v = {w: (1 + math.log(n)) * idf.get(w, unknown) for w, n in bag.items()}
     norm = math.sqrt(sum(x * x for x in v.values()))
     return max(((round(sum(x * t.get(w, 0) for w, x in v.items()) / norm, 9), -k) for k, t in enumerate(vectors)), default=(0, 0)) if norm else (0, 0)
 
