@@ -11,15 +11,15 @@ little more than one draw per shingle.  All texts of a chunk are drawn together
 numpy.
 
 **Search.**  Equal texts are one text.  Registers are grouped into bands; texts with
-equal bands meet in buckets.  First every text is compared with the leader of the
-buckets that it shares most with one leader; links found that way join a group of any
-size with one comparison per text.  Then only buckets that still hold several classes
-are looked at.  Of the texts in them, the shingles that no other such text has are
-counted; they bound what a text can share with any partner, so most texts of a large
-group that are not linked yet turn out to be alone, or to fit only few others, before
-any pair is formed.  Pairs of different classes that this bound allows are candidates,
-those whose registers put them ``SLACK`` below the threshold (over five standard
-errors) go, and the rest is verified by the overlap of the multisets.
+equal bands meet in buckets.  Of the texts in buckets, the shingles that no other such
+text has are counted; they bound what a text can share with any partner, and texts that
+cannot reach the threshold with anyone leave.  In a few turns every text is compared
+with one leader of another class: that of the buckets it shares most with one leader.
+Links found that way join a group of any size with a few comparisons per text.  Then
+only buckets that still hold several classes are looked at: their pairs of different
+classes that the bound allows are candidates, those whose registers put them ``SLACK``
+below the threshold (four standard errors) go, and the rest is verified by the
+overlap of the multisets.
 
 A pair of the threshold similarity is missed by all bands with a probability of
 (1 - 0.8^6)^36 = 2e-5.
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakwork.llm.common import guarded, hidden, register, same, shown, table, text_key
@@ -43,7 +43,9 @@ from cloakwork.session import materialize
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 36, 6
-SLACK = 0.16
+PACKED = -(-BANDS * ROWS // 7)
+SLACK = 0.11
+STARS, SPREAD = 4, 0.05  # turns of star links, and how far a turn may look past the best leader
 CHUNK = 1 << 20  # bytes of text drawn together
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -150,7 +152,7 @@ def chunks(values: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(values)
 
 
-SIGNED = "n long, bands array<long>, sketch binary"
+SIGNED = "n long, bands array<long>, sketch array<long>"
 
 
 def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -164,18 +166,23 @@ def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             sizes = np.bincount(doc, weights=count, minlength=b - a).astype(np.int64)
             bands = (bits.reshape(b - a, BANDS, ROWS) * place).sum(axis=2, dtype=np.uint64)
             bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD).view(np.int64)
-            sketch = (mix(bits) >> np.uint64(56)).astype(np.uint8)
-            rows += [(int(s), w if s else [], k.tobytes()) for s, w, k in zip(sizes, bands, sketch, strict=True)]
+            # a byte per register, seven to an integer that is never negative
+            sketch = np.zeros((b - a, PACKED * 7), np.uint64)
+            sketch[:, : BANDS * ROWS] = mix(bits) >> np.uint64(56)
+            sketch = (sketch.reshape(b - a, PACKED, 7) << (np.arange(7, dtype=np.uint64) * np.uint64(8))).sum(axis=2, dtype=np.uint64).view(np.int64)
+            rows += [(int(s), w if s else [], k) for s, w, k in zip(sizes, bands, sketch, strict=True)]
         yield pd.DataFrame(rows, columns=["n", "bands", "sketch"])
 
 
-def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Share of equal registers in two sketches."""
-    if not len(a):
-        return pd.Series([], dtype=float)
-    x = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), -1)
-    y = np.frombuffer(b"".join(b), np.uint8).reshape(len(b), -1)
-    return pd.Series((x == y).mean(axis=1))
+def _agreement(x: str, y: str) -> Column:
+    """Share of equal registers in two sketches, in bit operations: zero bytes of the difference."""
+    low = int.from_bytes(b"\x7f" * 7, "little")
+    equal = F.lit(-(PACKED * 7 - BANDS * ROWS))  # the padding is always equal
+    for i in range(PACKED):
+        diff = F.get(F.col(x), F.lit(i)).bitwiseXOR(F.get(F.col(y), F.lit(i)))
+        filled = (diff.bitwiseAND(F.lit(low)) + F.lit(low)).bitwiseOR(diff).bitwiseOR(F.lit(low))
+        equal = equal + F.lit(56) - F.bit_count(filled)
+    return equal / F.lit(float(BANDS * ROWS))
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +228,7 @@ def linked(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, similarity:
     two = sketches.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     near = pairs.join(one, "a").join(two, "b")
     near = near.filter((F.col("na") >= similarity * F.col("nb")) & (F.col("nb") >= similarity * F.col("na")))
-    near = near.filter(F.pandas_udf(_agreement, "double")("sa", "sb") >= similarity - SLACK).select("a", "b")
+    near = near.filter(_agreement("sa", "sb") >= similarity - SLACK).select("a", "b")
     both = near.join(texts.select(F.col("k").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(texts.select(F.col("k").alias("b"), F.col("text").alias("tb")), "b")
     return materialize(both.filter(F.pandas_udf(_overlap, "double")("ta", "tb") >= similarity).select("a", "b"))
@@ -247,6 +254,42 @@ def components(edges: DataFrame) -> DataFrame:
     return materialize(roots.union(edges.select(F.col("v").alias("k"), F.col("v").alias("root"))).distinct())
 
 
+def _allowed(similarity: float) -> Column:
+    """Sizes and unshared shingles of x and y leave room for the similarity."""
+    most = F.least("x.most", "y.most")
+    return most >= similarity * (F.col("x.n") + F.col("y.n") - most)
+
+
+def _unshared(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """(k, own): how many tokens of each text in ``roots`` (k, root) no text of another root in it has."""
+    each = texts.join(roots, "k").select("k", "root", F.explode(F.pandas_udf(_tokens, "array<long>")("text")).alias("token"))
+    each = materialize(each)
+    lone = each.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 = r1").select("token")
+    return each.join(lone, "token").groupBy("k").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _bounded(left: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Add ``most``, the tokens that a text can share with texts of other roots; texts that cannot reach anyone leave."""
+    own = _unshared(texts, left.select("k", "root").distinct())
+    left = left.join(own, "k", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+    return materialize(left.filter(F.col("most") >= similarity * F.col("n")))
+
+
+def _stars(left: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """At most one pair (a, b) per text: with the leader of another class that it shares most buckets with.
+
+    The text with the fewest unshared tokens leads a bucket, so it is close to many;
+    every turn draws leaders anew among the better half.
+    """
+    order = F.struct((F.col("n") - F.col("most")) / F.col("n") + F.pmod(F.xxhash64("k", F.lit(turn)), F.lit(1000)) / 1000 * SPREAD * turn, "k")
+    leaders = left.groupBy("band").agg(F.min(F.struct(order.alias("o"), "k", "root", "n", "most")).alias("l"))
+    y = leaders.select("band", "l.k", "l.root", "l.n", "l.most").alias("y")
+    met = left.alias("x").join(y, F.col("x.band") == F.col("y.band")).filter("x.root <> y.root").filter(_allowed(similarity))
+    best = met.groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    best = best.groupBy("a").agg(F.max(F.struct("c", "b")).alias("m"))
+    return materialize(best.select("a", F.col("m.b").alias("b")))
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row (doc_id, k1, k2, root) per row of ``docs``; equal roots are one class.
 
@@ -258,32 +301,34 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     uniq = docs.select(*text_key(text), F.pandas_udf(_signed, SIGNED)(text).alias("s")).dropDuplicates(["k1", "k2"])
     uniq = materialize(uniq.select(F.struct("k1", "k2").alias("k"), "s.*"))
     bands = uniq.select("k", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.min("k").alias("leader"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    members = materialize(bands.join(buckets, "band"))
-    best = members.filter("k <> leader").groupBy("k", "leader").agg(F.count(F.lit(1)).alias("c"))
-    best = best.groupBy("k").agg(F.max(F.struct("c", "leader")).alias("m")).select(F.col("k").alias("a"), F.col("m.leader").alias("b"))
+    buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band")
+    members = materialize(bands.join(buckets, "band", "left_semi"))
     wanted = materialize(members.select("k").distinct().select("k.*"))
     n = wanted.count()
     texts = docs.select(*text_key(text), F.col(text).alias("text")).join(guarded(wanted, n), ["k1", "k2"], "left_semi")
     texts = materialize(texts.dropDuplicates(["k1", "k2"]).select(F.struct("k1", "k2").alias("k"), "text"))
     sketches = uniq.select("k", "n", "sketch")
-    links = linked(materialize(best), texts, sketches, similarity)
-    roots = components(links)
-    known = members.join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
-    mixed = known.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
-    left = materialize(known.join(mixed, "band", "left_semi").join(sketches.select("k", "n"), "k").select("band", "k", "root", "n"))
-    asked = texts.join(left.select("k").distinct(), "k", "left_semi").select("k", F.explode(F.pandas_udf(_tokens, "array<long>")("text")).alias("token"))
-    lone = asked.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("k").alias("k")).filter("c = 1")
-    lone = lone.groupBy("k").agg(F.count(F.lit(1)).alias("own"))
-    left = left.join(lone, "k", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
-    left = materialize(left.filter(F.col("most") >= similarity * F.col("n")))
+    left = members.join(sketches.select("k", "n"), "k").select("band", "k", "n", F.col("k").alias("root"))
+    left = _bounded(left, texts, similarity)
+    links = None
+    for turn in range(STARS):
+        found = linked(_stars(left, turn, similarity), texts, sketches, similarity)
+        links = found if links is None else materialize(links.union(found))
+        roots = components(links)
+        left = left.drop("root").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
+        mixed = left.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
+        left = materialize(left.join(mixed, "band", "left_semi"))
+    left = _bounded(left.drop("most"), texts, similarity)
+    left = left.join(uniq.select("k", "bands", "sketch"), "k").withColumn("at", F.array_position("bands", F.col("band")))
     x, y = left.alias("x"), left.alias("y")
-    most, sizes = F.least("x.most", "y.most"), F.col("x.n") + F.col("y.n")
     met = x.join(y, F.col("x.band") == F.col("y.band")).filter("x.k < y.k and x.root <> y.root")
-    met = met.filter(most >= similarity * (sizes - most))
-    pairs = materialize(met.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct())
+    met = met.filter(_allowed(similarity)).filter(_agreement("x.sketch", "y.sketch") >= similarity - SLACK)
+    before = F.lit(False)  # a pair is formed in the first bucket that it shares
+    for i in range(BANDS - 1):
+        before = before | ((F.col("x.at") > i + 1) & (F.get("x.bands", F.lit(i)) == F.get("y.bands", F.lit(i))))
+    pairs = materialize(met.filter(~before).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")))
     more = linked(pairs, texts, sketches, similarity)
-    roots = components(roots.select(F.col("k").alias("a"), F.col("root").alias("b")).union(more))
+    roots = components(links.union(more))
     flat = roots.select(F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2"), "root")
     ids = ids.join(flat, ["k1", "k2"], "left")
     return materialize(ids.withColumn("root", F.coalesce("root", F.struct("k1", "k2"))).select("doc_id", "k1", "k2", "root"))
