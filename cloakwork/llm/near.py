@@ -314,6 +314,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     for turn in range(STARS):
         found = linked(_stars(left, turn, similarity), texts, sketches, similarity)
         links = found if links is None else materialize(links.union(found))
+        if found.isEmpty():
+            break
         roots = components(links)
         left = left.drop("root").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
         mixed = left.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
