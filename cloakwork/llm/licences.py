@@ -5,6 +5,8 @@ frequency over the templates; a word of no template has the highest weight.  A l
 whose cosine with a template reaches ``THRESHOLD`` carries that licence.  Only lines
 with an anchor word can: for every template the heaviest words are anchors until the
 rest of its vector is too short to reach the threshold, so the filter loses nothing.
+Before words are exploded a line is also dropped where the known words cannot make up
+enough of its length, a bound from above that loses nothing either.
 Equal lines are scored once, however many files hold them.
 
 A licence line that speaks for its directory (in a licence file, or as the caller says)
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from cloakwork.llm.common import guarded, register, table
 from cloakwork.session import materialize
 
-THRESHOLD = 0.75
+THRESHOLD = 0.6
 WORD = "[a-z0-9]+"
 
 # fixed values: public licence notices, one line each, by SPDX identifier
@@ -76,6 +78,26 @@ def anchors(vectors: list[dict[str, float]], threshold: float) -> list[str]:
     return sorted(out)
 
 
+def reachable(line: str, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> Column:
+    """False only for lines below the threshold: their words of no template alone leave too little for the others."""
+    idf, unknown, _ = model(templates)
+    weight = F.create_map(*[F.lit(x) for p in sorted(idf.items()) for x in p])
+    words = F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
+
+    def bound(words):
+        known = F.filter(words, lambda w: F.map_contains_key(weight, w))
+        squares = F.transform(
+            F.array_distinct(known),
+            lambda w: F.pow((1 + F.ln(F.size(known) - F.size(F.array_remove(known, w)))) * F.element_at(weight, w), F.lit(2.0)),
+        )
+        inside = F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)
+        others = F.size(F.array_distinct(words)) - F.size(F.array_distinct(known))
+        outside = others * F.lit(unknown**2)  # a word that comes more than once weighs more
+        return inside >= (threshold * 0.999) ** 2 * (inside + outside)
+
+    return F.get(F.transform(F.array(words), bound), F.lit(0))
+
+
 def _table(df: DataFrame, rows: list[tuple], names: list[str]) -> DataFrame:
     """A small fixed table as plan literals."""
     quoted = [", ".join(f"'{v}'" if isinstance(v, str) else f"{v!r}{'D' if isinstance(v, float) else ''}" for v in r) for r in rows]
@@ -119,7 +141,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", speaks: Colum
     speaks = F.regexp_like("path", F.lit(LICENCE_FILE)) if speaks is None else speaks
     rows = files.select(F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), F.col(text).alias("text"))
     cand = rows.filter(F.regexp_like("text", F.lit(may))).select("path", F.posexplode(F.split("text", "\n")).alias("number", "line"))
-    cand = materialize(cand.filter(F.regexp_like("line", F.lit(may))))
+    cand = materialize(cand.filter(F.regexp_like("line", F.lit(may))).filter(reachable("line")))
     scored = materialize(score(cand.select("line").distinct()))
     held = materialize(cand.join(guarded(scored, scored.count()), "line"))
     own = held.groupBy("path").agg(F.max(F.struct("cosine", "licence")).alias("o"))

@@ -417,6 +417,19 @@ def test_licence_scores(spark, sf):
     assert got == want and len(want) >= len(licences.TEMPLATES)
 
 
+def test_licence_weak_lines(spark):
+    """Lines between 0.6 and 0.75 count, and the bound on a line before its words are exploded loses none."""
+    lines = ["MIT License", "GNU General Public License", "licensed under the the the the terms of the license", "the of it", "plain words only", ""]
+    lines += [t[:n] + " in some other words" for _, t in licences.TEMPLATES for n in (30, 60, 90)]
+    df = spark.createDataFrame([(x,) for x in lines], "line string").withColumn("may", licences.reachable("line"))
+    may = {r["line"]: r["may"] for r in df.collect()}
+    assert all(may[x] for x in lines if cosine(x)[0] >= licences.THRESHOLD) and not may["plain words only"]
+    df = spark.createDataFrame([(str(i), x) for i, x in enumerate(lines)], "path string, text string")
+    got = {r["path"]: r["cosine"] for r in licences.scan(df).filter("origin = 'own'").collect()}
+    want = {str(i): cosine(x)[0] for i, x in enumerate(lines) if cosine(x)[0] >= 0.6}
+    assert got == want and min(want.values()) < 0.75
+
+
 # -- 9: rules ------------------------------------------------------------------------
 
 
