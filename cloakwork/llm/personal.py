@@ -1,19 +1,21 @@
 """Personal data, and the terms that give it away.
 
 Four kinds of personal data are found by their form.  Each distinct value is an entity.
-A term that stands within ``NEAR`` words of an entity may reveal it even when the value
+A term that stands in the documents of an entity may reveal it even when the value
 itself is masked: over the whole corpus the documents with the entity, with the term,
-and with the term near the entity are counted.  The term discloses the entity when
+and with both are counted, wherever in the document they stand.  The term discloses the
+entity when
 
     PMI(entity; term) >= DISCLOSURE * IC(entity),   IC(e) = log2(N / n(e)),
     PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t)))
 
 that is, when knowing the term tells (nearly) all there is to know about the entity,
-and at least ``SUPPORT`` different texts say so.  Such terms are marked in the texts
-they come from and generalised by :func:`sanitise`.
+and at least ``SUPPORT`` different texts say so.  Such terms are marked in every text
+that holds them, with or without the entity, and generalised by :func:`sanitise`.
 
-Term counts are combined per task before they are shuffled, and only terms that stand
-near an entity somewhere are shuffled at all.
+Term counts are combined per task before they are shuffled.  Terms meet entities only in
+texts with an entity that ``SUPPORT`` texts have.  Few disclosing words travel to the
+tasks as a set; beyond ``TOLD`` of them the words of the texts are joined with them.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,7 @@ NEAR = 8
 DISCLOSURE = 0.95
 SUPPORT = 2
 HELD = 200_000  # terms counted by a task before it passes them on
+TOLD = 50_000  # disclosing words that are sent to the tasks as a set
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
@@ -91,6 +94,17 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> dict[str, set[str]
     return out
 
 
+def outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """The terms of a text that touch none of the found values."""
+    values, i, reach = sorted((s, e) for _, s, e in spans), 0, -1
+    for m in _TERM.finditer(text):
+        while i < len(values) and values[i][0] < m.end():
+            reach = max(reach, values[i][1])
+            i += 1
+        if reach <= m.start():
+            yield m
+
+
 def _long(text: str) -> int:
     import xxhash
 
@@ -98,13 +112,17 @@ def _long(text: str) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+def _longs(words: pd.Series) -> pd.Series:
+    return words.map(_long)
+
+
 def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (entity, term, word, k1, n): a term near an entity, an entity (term null), a term count (entity null)."""
+    """Rows (entity, term, k1, n): an entity (term null), a term count (entity null)."""
     counted: Counter = Counter()
-    names = ["entity", "term", "word", "k1", "n"]
+    names = ["entity", "term", "k1", "n"]
 
     def flush() -> pd.DataFrame:
-        out = pd.DataFrame([(None, _long(t), None, None, n) for t, n in counted.items()], columns=names, dtype=object)
+        out = pd.DataFrame([(None, _long(t), None, n) for t, n in counted.items()], columns=names, dtype=object)
         counted.clear()
         return out
 
@@ -115,45 +133,57 @@ def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counted.update({w.lower() for w in _TERM.findall(text)})
             if len(counted) > HELD:
                 yield flush()
-            spans = base_spans(text)
-            if spans:
-                for entity, terms in contexts(text, spans).items():
-                    e = _long(entity)
-                    rows.append((e, None, None, k1, 1))
-                    rows += [(e, _long(t), t, k1, 1) for t in terms]
+            rows += [(_long(e), None, k1, 1) for e in {f"{KINDS[k]}:{text[a:b].lower()}" for k, a, b in base_spans(text)}]
         if rows:
             yield pd.DataFrame(rows, columns=names, dtype=object)  # 64-bit hashes beside nulls
     if counted:
         yield flush()
 
 
+def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (k1, word): the distinct terms of each text outside its values."""
+    for batch in batches:
+        rows = []
+        for k1, text in zip(batch["k1"], batch["text"], strict=True):
+            text = text or ""
+            rows += [(k1, w) for w in {m[0].lower() for m in outside(text, base_spans(text))}]
+            if len(rows) > HELD:
+                yield pd.DataFrame(rows, columns=["k1", "word"])
+                rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=["k1", "word"])
+
+
 def disclosing(docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """(k1, terms): for each text the terms in it that disclose an entity near them; written."""
+    """(word): the distinct terms that disclose an entity; written."""
     rows = docs.select(text_key(text)[0], F.col(text).alias("text"))
-    seen = materialize(rows.mapInPandas(_evidence, "entity long, term long, word string, k1 long, n long"))
+    seen = materialize(rows.mapInPandas(_evidence, "entity long, term long, k1 long, n long"))
     total = docs.count()
-    near = materialize(seen.filter("entity is not null and term is not null").groupBy("entity", "term", "word", "k1").agg(F.sum("n").alias("n")))
-    pairs = near.groupBy("entity", "term", "word").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
-    pairs = materialize(pairs)
+    held = materialize(seen.filter("term is null").groupBy("entity", "k1").agg(F.sum("n").alias("n")))
+    entities = held.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
+    entities = materialize(entities.filter(F.col("texts") >= support).drop("texts"))
+    held = materialize(held.join(guarded(entities.select("entity"), entities.count()), "entity", "left_semi"))
+    texts = materialize(held.select("k1").distinct())
+    words = rows.join(guarded(texts, texts.count()), "k1", "left_semi").mapInPandas(_terms, "k1 long, word string").distinct()
+    pairs = held.join(words, "k1").groupBy("entity", "word").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"))
+    pairs = pairs.filter(F.col("texts") >= support)
+    pairs = materialize(pairs.withColumn("term", F.pandas_udf(_longs, "long")("word")))
     asked = materialize(pairs.select("term").distinct())
     counts = seen.filter("entity is null").select("term", "n").join(guarded(asked, asked.count()), "term", "left_semi")
     counts = counts.groupBy("term").agg(F.sum("n").alias("n_term"))
-    entities = seen.filter("term is null").groupBy("entity").agg(F.sum("n").alias("n_entity"))
     told = pairs.join(counts, "term").join(entities, "entity")
     information = F.log2(F.lit(float(total)) / F.col("n_entity"))
     shared = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
-    told = told.filter((information > 0) & (shared >= disclosure * information)).select("entity", "term", "word")
-    return materialize(near.join(told, ["entity", "term", "word"]).groupBy("k1").agg(F.array_sort(F.collect_set("word")).alias("terms")))
+    return materialize(told.filter((information > 0) & (shared >= disclosure * information)).select("word").distinct())
 
 
-def all_spans(text: str, terms: list[str] | None) -> list[tuple[int, int, int]]:
+def all_spans(text: str, terms: Collection[str] | None) -> list[tuple[int, int, int]]:
     """Base spans and the places of disclosing terms (kind 4), by kind and start."""
     base = base_spans(text)
     if terms is None or not len(terms):
         return base
-    wanted = set(terms)
-    found = [(4, m.start(), m.end()) for m in _TERM.finditer(text) if m[0].lower() in wanted]
-    return base + [t for t in found if not any(s < t[2] and t[1] < e for _, s, e in base)]
+    wanted = terms if isinstance(terms, frozenset) else set(terms)
+    return base + [(4, m.start(), m.end()) for m in outside(text, base) if m[0].lower() in wanted]
 
 
 SCHEMA = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_terms long, clean string"
@@ -186,8 +216,18 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     the added ones are replaced.
     """
     names = [c.split()[0] for c in SCHEMA.split(", ")]
-    marks = disclosing(docs, text)
-    df = docs.drop(*names).withColumn("_k", text_key(text)[0])
+    told = disclosing(docs, text)
+    df = docs.drop(*names)
+    if told.count() <= TOLD:
+        every = docs.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in told.collect()))
+
+        def report(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            return _report((texts, [every.value] * len(texts)) for texts in batches)
+
+        return df.withColumn("_r", F.pandas_udf(report, SCHEMA)(text)).select("*", "_r.*").drop("_r")
+    rows = docs.select(text_key(text)[0], F.col(text).alias("text")).mapInPandas(_terms, "k1 long, word string").distinct()
+    marks = materialize(rows.join(told, "word").groupBy("k1").agg(F.array_sort(F.collect_set("word")).alias("terms")))
+    df = df.withColumn("_k", text_key(text)[0])
     side = guarded(marks.select(F.col("k1").alias("_k"), F.col("terms").alias("_terms")), marks.count())
     return df.join(side, "_k", "left").withColumn("_r", F.pandas_udf(_report, SCHEMA)(text, "_terms")).select("*", "_r.*").drop("_k", "_terms", "_r")
 

@@ -219,6 +219,23 @@ def test_disclosing_terms(spark, messy, empty):
     assert personal.sanitise(messy).columns == messy.columns
 
 
+@pytest.mark.parametrize("told", [personal.TOLD, 0])
+def test_disclosing_terms_everywhere(spark, monkeypatch, told):
+    """Terms far from the entity count, and are marked in texts far from it and without it."""
+    monkeypatch.setattr(personal, "TOLD", told)
+    far = " ".join(f"filler{'abcdefghijklmnopqrst'[j]}" for j in range(20))
+    data = [(i, f"zorbium {far} jo.doe@mail.com end") for i in range(12)]
+    data += [(i, f"jo.doe@mail.com {far} plain{'abcdefgh'[i - 12]}") for i in range(12, 20)]
+    data += [(20, f"Zorbium without the value, {far}"), *[(30 + i, f"{far} other words number {i}") for i in range(400)]]
+    docs = spark.createDataFrame([*data, (900, "quark jo@x.org far zorbium"), (901, None)], "doc_id long, text string")
+    # in the end log2(13 * 424 / (21 * 15)) is just over 0.95 of log2(424 / 21)
+    docs = docs.union(spark.createDataFrame([(902, f"zorbium {far} {far} jo.doe@mail.com")], "doc_id long, text string"))
+    found = {r["doc_id"]: r for r in personal.find(docs).collect()}
+    clean = {r["doc_id"]: r["text"] for r in personal.sanitise(docs).collect()}
+    assert all("orbium" not in clean[i] for i in (0, 11, 20, 900, 902)) and found[20]["n_terms"] == 1
+    assert found[30]["n_terms"] == 0 and "filler" in clean[0] and clean[901] is None
+
+
 # -- 5: near duplicates --------------------------------------------------------------
 
 
