@@ -63,6 +63,29 @@ def test_long_sentence_is_cut_alike():
     assert a & b
 
 
+def test_every_passage_of_51_words_shares_a_run():
+    """Spliced inside lines of two hosts, with sentences of any length; most of its words are covered."""
+    import random
+
+    rnd = random.Random(7)
+
+    def words(n, stop):
+        return " ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(1, 5))) + ("." if rnd.random() < stop else "") for _ in range(n))
+
+    def passage(parts):  # sentences of given lengths
+        return " ".join(words(n, 0) + "." for n in parts)
+
+    cases = [words(51, stop) for stop in (0, 0.02, 0.05, 0.08, 0.2) for _ in range(400)]
+    cases += [passage(p) for p in ((18, 18, 18), (20, 24, 24, 20), (11, 11, 11, 11, 11), (12, 13, 13, 13)) for _ in range(100)]
+    for inner in cases:
+        hosts = [words(rnd.randint(1, 9), 0) + " " + inner.rstrip(".") + " " + words(rnd.randint(1, 9), 0) for _ in range(2)]
+        a, b = ({h: (s, e) for h, s, e in spans.runs(x)} for x in hosts)
+        assert set(a) & set(b), inner
+        for h in set(a) & set(b):
+            (s, e), (u, v) = a[h], b[h]
+            assert hosts[0][s:e].split() == hosts[1][u:v].split()
+
+
 # -- 2: ring -------------------------------------------------------------------------
 
 
