@@ -18,7 +18,7 @@ with one leader of another class: that of the buckets it shares most with one le
 Links found that way join a group of any size with a few comparisons per text.  Then
 only buckets that still hold several classes are looked at: their pairs of different
 classes that the bound allows are candidates, those whose registers put them ``SLACK``
-below the threshold (four standard errors) go, and the rest is verified by the
+below the threshold (over five standard errors) go, and the rest is verified by the
 overlap of the multisets.
 
 A pair of the threshold similarity is missed by all bands with a probability of
@@ -44,7 +44,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 36, 6
 PACKED = -(-BANDS * ROWS // 7)
-SLACK = 0.11
+SLACK = 0.16
 STARS, SPREAD = 4, 0.05  # turns of star links, and how far a turn may look past the best leader
 CHUNK = 1 << 20  # bytes of text drawn together
 

@@ -262,6 +262,12 @@ def test_disclosing_terms_everywhere(spark, monkeypatch, told):
 # -- 5: near duplicates --------------------------------------------------------------
 
 
+def test_slack_drops_no_pair_at_the_threshold():
+    n, p = near.BANDS * near.ROWS, near.SIMILARITY
+    missed = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n) if k < (p - near.SLACK) * n)
+    assert missed < 1e-6
+
+
 def grams(t):
     w = (t or "").encode().split()
     return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
