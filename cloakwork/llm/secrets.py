@@ -8,15 +8,17 @@ opened twice, so nested or repeating encodings end.  Every character of a layer
 the span of the original text it came from, so a finding in any depth is reported by
 its place in the original.
 
-Work and memory of a text grow with its length and the layers in it; a compressed
-layer that would unpack to more than ``LAYER_BYTES`` is left closed and counted in
-``n_refused`` (a guard against archive bombs).
+A base64 run is decoded in its four phases, so it may be glued to other characters, and
+with its following lines where it is wrapped; bytes that are no UTF-8 are read as Latin-1.
+
+A compressed layer that unpacks to more than ``LAYER_BYTES`` is read in pieces, each with
+the end of the one before, and counted in ``n_refused`` (the name is older): it is not
+held as a whole, but scanned to its end.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from cloakwork.llm.common import register, table
 
 LAYER_BYTES = 1 << 24
+PIECE, OVERLAP = 1 << 20, 1 << 12
 KINDS = ("assign", "access", "hex")
 # fixed values: names that an assignment must carry
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -41,6 +44,8 @@ _PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
 _ESCAPE = re.compile(r"\\u[0-9a-fA-F]{4}|\\x[0-9a-fA-F]{2}")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 
+_LINE = re.compile(r"[ \t]*\r?\n[ \t>]*([A-Za-z0-9+/_-]+={0,2})(?=[ \t]*(?:\r?\n|$))")
+
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the secrets in a plain text, by start, then by kind as listed.
@@ -116,35 +121,115 @@ def _escapes(text: str, spots: list) -> Iterator[tuple[str, list]]:
             yield "".join(parts) + text[at:], where + spots[at : len(text)]
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """Contents of zlib or gzip data; None when there is more than the allowed size."""
-    opened = zlib.decompressobj(47)
-    out = opened.decompress(data, LAYER_BYTES + 1)
-    return None if len(out) > LAYER_BYTES else out
+class _Same:
+    """Places of a layer whose characters all stand for one stretch."""
 
+    def __init__(self, place: tuple[int, int], n: int):
+        self.place, self.n = place, n
 
-def _wrapped(text: str, spots: list) -> Iterator[tuple[str | None, list]]:
-    """What base64 runs hold, compressed or not; None for a refused layer."""
-    for m in _BASE64.finditer(text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    def __getitem__(self, i):
+        return [self.place] * len(range(*i.indices(self.n))) if isinstance(i, slice) else self.place
+
+
+def _stream(data: bytes) -> Iterator[bytes]:
+    """Contents of zlib or gzip data, of all members, in pieces; what came before an error counts."""
+    while data:
+        opened, got = zlib.decompressobj(47), False
         try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
+            while data and not opened.eof:
+                out = opened.decompress(data, PIECE)
+                data = opened.unconsumed_tail
+                if out:
+                    got = True
+                    yield out
+            while not opened.eof and (out := opened.decompress(b"", PIECE)):
+                yield out
+        except zlib.error:
+            return
+        data = opened.unused_data if got and opened.unused_data[:2] == b"\x1f\x8b" else b""
+
+
+def _pieces(data: bytes) -> Iterator[tuple[bytes, bool]]:
+    """Unpacked data as a whole, or beyond LAYER_BYTES in overlapping pieces; whether it is the start of a large one.
+
+    Blanks are squeezed in the pieces; an open base64 run is carried on up to PIECE.
+    """
+    held, size, large, begun = [], 0, False, False
+    for out in _stream(data):
+        held.append(out)
+        size += len(out)
+        if size > LAYER_BYTES or large:
+            large = True
+            text = re.sub(rb" {2,}", b" ", b"".join(held))
+            yield text, not begun
+            begun = True
+            run = re.search(rb"[A-Za-z0-9+/_=\r\n-]*\Z", text[-PIECE:])[0]
+            held, size = [text[-OVERLAP - (len(run) if len(run) < PIECE else 0) :]], 0
+    if not large and held:
+        yield b"".join(held), False
+
+
+def _runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, characters) of base64 runs, and of wrapped ones with their lines joined."""
+    covered = 0
+    for m in _BASE64.finditer(text):
+        yield m.start(), m.end(), m[0]
+        if m.start() < covered or m[0].endswith("="):
             continue
-        place = (spots[m.start()][0], spots[m.end() - 1][1])
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
+        lines, at, width = [m[0]], m.end(), None
+        while line := _LINE.match(text, at):
+            width = width or len(line[1])
+            if len(line[1]) > width:
+                break
+            lines.append(line[1])
+            at = line.end()
+            if len(line[1]) < width or line[1].endswith("="):
+                break
+        if len(lines) > 1:
+            covered = at
+            yield m.start(), at, "".join(lines)
+
+
+def _opens(layer: str) -> bool:
+    """Whether a layer that is no UTF-8 or out of phase holds a secret or something to open."""
+    return bool(_BASE64.search(layer) or _PERCENT.search(layer) or _ESCAPE.search(layer) or base_spans(layer))
+
+
+def _wrapped(text: str, spots: list) -> Iterator[tuple[str | None, list]]:
+    """What base64 runs hold, compressed or not; None beside a layer that is read in pieces."""
+    for start, end, run in _runs(text):
+        run = run.rstrip("=").replace("-", "+").replace("_", "/")
+        place = (spots[start][0], spots[end - 1][1])
+        after = [m.end() for m in re.finditer("[+/]", run)]
+        for phase in range(4):
+            part = run[phase:]
+            part = part[: len(part) - (len(part) % 4 == 1)]
+            data = base64.b64decode(part + "=" * (-len(part) % 4))
+            heads = {0, *((q - phase) // 4 * 3 for q in after if q % 4 == phase), *(m.start() for m in re.finditer(b"\x1f\x8b\x08", data))}
+            for h in sorted(heads):
+                if data[h : h + 2] != b"\x1f\x8b" and not (data[h : h + 1] == b"\x78" and int.from_bytes(data[h : h + 2]) % 31 == 0):
+                    continue
+                for out, large in _pieces(data[h:]):
+                    if large:
+                        yield None, []
+                    try:
+                        layer = out.decode()
+                    except UnicodeDecodeError:
+                        layer = out.decode("latin-1")
+                    yield layer, _Same(place, len(layer))
             try:
-                data = _unpacked(data)
-            except zlib.error:
-                pass
-            if data is None:
-                yield None, []
-                continue
-        try:
-            layer = data.decode()
-        except UnicodeDecodeError:
-            continue
-        yield layer, [place] * len(layer)
+                layer = data.decode()
+            except UnicodeDecodeError:
+                layer = data.decode("latin-1")
+                if not _opens(layer):
+                    continue
+            if not phase or _opens(layer):
+                yield layer, _Same(place, len(layer))
+
+
+def _inner(text: str, spots: list) -> Iterator[tuple[str | None, list]]:
+    yield from _escapes(text, spots)
+    yield from _wrapped(text, spots)
 
 
 def scan(text: str) -> dict:
@@ -153,20 +238,22 @@ def scan(text: str) -> dict:
     spans, layers, refused = {(s, e, k) for s, e, k in base}, 0, 0
     if "%" in text or "\\" in text or _BASE64.search(text):
         seen = {hashlib.sha256(text.encode()).digest()}
-        work = [(text, _Places())]
+        work = [_inner(text, _Places())]  # open layers, one inside the other
         while work:
-            layer, spots = work.pop()
-            for inner, where in (*_escapes(layer, spots), *_wrapped(layer, spots)):
-                if inner is None:
-                    refused += 1
-                    continue
-                digest = hashlib.sha256(inner.encode("utf-8", "surrogatepass") + repr(where[:1] + where[-1:]).encode()).digest()
-                if not inner or digest in seen:
-                    continue
-                seen.add(digest)
-                layers += 1
-                spans |= {(where[s][0], where[e - 1][1], k) for s, e, k in base_spans(inner)}
-                work.append((inner, where))
+            inner, where = next(work[-1], ("", None))
+            if where is None:
+                work.pop()
+                continue
+            if inner is None:
+                refused += 1
+                continue
+            digest = hashlib.sha256(inner.encode("utf-8", "surrogatepass") + repr(where[:1] + where[-1:]).encode()).digest()
+            if not inner or digest in seen:
+                continue
+            seen.add(digest)
+            layers += 1
+            spans |= {(where[s][0], where[e - 1][1], k) for s, e, k in base_spans(inner)}
+            work.append(_inner(inner, where))
     ordered = sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
     return {"base": base, "all": ordered, "layers": layers, "refused": refused}
 
