@@ -8,7 +8,9 @@ from cloakwork.llm.common import ORACLES, QUERIES
 def load_all() -> None:
     from cloakwork.llm import (  # noqa: F401
         decontaminate,
+        divergence,
         licences,
+        middles,
         mixture,
         near,
         personal,

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_lists(text: str, size: int = 1 << 20, lower: bool = False) -> Iterator[list[bytes]]:
+    """Stretches between ASCII blanks, in lists that stand for ``size`` bytes and one word at most; ``lower`` maps A-Z."""
+    data = text.encode("utf-8", "surrogatepass")
+    at = 0
+    while at < len(data):
+        blank = _BLANK.search(data, at + size)
+        end = blank.start() if blank else len(data)
+        piece = data[at:end]
+        yield (piece.lower() if lower else piece).split()
+        at = end
+
+
 def text_key(text: Column | str) -> list[Column]:
     """Two 64-bit hashes that stand for a text (null counts as empty)."""
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
