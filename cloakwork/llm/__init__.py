@@ -9,6 +9,7 @@ def load_all() -> None:
     from cloakwork.llm import (  # noqa: F401
         decontaminate,
         divergence,
+        language,
         licences,
         middles,
         mixture,
