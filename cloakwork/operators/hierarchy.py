@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cloakwork.functions.ranks import number_rows
 from cloakwork.operators.encode import q
+from cloakwork.session import materialize
 
 ENTRY = "name string, entries map<string, struct<name: string, gen: string, level: int>>"
 
@@ -60,3 +62,35 @@ def group_lca(df: DataFrame, by: list[str], col: str, closed: DataFrame) -> Data
     full = size.join(cover, by, "left")
     whole = F.when(F.col("covered") == F.col("size"), F.col("level"))
     return full.groupBy(*by, "size").agg(F.max_by("ancestor", whole).alias("lca"), F.max(whole).alias("lca_level")).select(*by, "lca", "lca_level", F.col("size").alias("n"))
+
+
+def depth(tree: DataFrame) -> int:
+    """The deepest level, the root being 0."""
+    return tree.agg(F.max("level")).first()[0] or 0
+
+
+def paths(tree: DataFrame) -> DataFrame:
+    """(value, code, path): every node with its number and the numbers from the root down to it; written.
+
+    Nodes are numbered along the tree, parents first, so a subtree is a range of numbers
+    and the common ancestor of two nodes is the common start of their paths.
+    """
+    up = closure(tree).groupBy("value").agg(F.array_sort(F.collect_list(F.struct("level", "ancestor"))).alias("up"))
+    found = materialize(number_rows(up.select("value", "up", F.col("up.ancestor").alias("names")), ["names"], "code"))
+    broken = found.filter(F.col("up.level") != F.sequence(F.lit(0), F.size("up") - 1)).select("value").first()
+    if broken:
+        raise ValueError(f"the levels above {broken['value']!r} do not lead to the root one by one")
+    steps = found.select("value", "code", F.posexplode("names").alias("at", "ancestor"))
+    steps = steps.join(found.select(F.col("value").alias("ancestor"), F.col("code").alias("number")), "ancestor")
+    listed = F.array_sort(F.collect_list(F.struct("at", "number")))
+    return materialize(steps.groupBy("value", "code").agg(F.transform(listed, lambda s: s["number"]).alias("path")))
+
+
+def with_paths(df: DataFrame, col: str, known: DataFrame, width: int, name: str) -> DataFrame:
+    """Add the path of a column's value, filled up with -1; a value that the tree does not know stands at the root."""
+    side = known.select(F.col("value").alias("_value"), F.col("path").alias("_path"))
+    root = F.array(F.lit(0).cast("bigint"))  # the root is numbered first
+    filled = F.coalesce("_path", root)
+    out = df.join(side, q(col).cast("string") == F.col("_value"), "left")
+    out = out.withColumn(name, F.concat(filled, F.array_repeat(F.lit(-1).cast("bigint"), F.lit(width) - F.size(filled))))
+    return out.drop("_value", "_path")

@@ -88,20 +88,33 @@ class Metric:
 class Boxes:
     """Clusters as boxes [lo.., hi.., category codes] under the stretch cost of a row.
 
-    Row vectors are [numbers.., category codes]; code -1 is a generalized category and
-    never equals anything.  A cell is bounded by its smallest upper and largest lower
-    ends and, where all its clusters agree, by the category.
+    Row vectors are [numbers.., category codes].  A category takes as many codes as its
+    tree has levels, from the root down; ``tables`` holds its cost by the number of
+    codes that agree from the front (one code that costs 1/2 when equal and 1 when not,
+    where there is no tree).  Code -1, a generalized category, never equals anything.
+    A cell is bounded by its smallest upper and largest lower ends and by the ranges of
+    its codes.
     """
 
     spans: np.ndarray
     weights: np.ndarray
     pivots: np.ndarray | None = None
     summary: dict = field(default_factory=dict)
+    tables: list[np.ndarray] | None = None
 
     @property
     def d(self) -> int:
         return len(self.spans)
 
+    def _categories(self) -> list[tuple[float, np.ndarray, slice]]:
+        """Weight, cost table and place among the codes of every category."""
+        at, out = 0, []
+        flat = np.array([1.0, 0.5])
+        for w, costs in zip(self.weights[self.d :], self.tables or [flat] * (len(self.weights) - self.d), strict=True):
+            out.append((w, costs, slice(at, at + len(costs) - 1)))
+            at += len(costs) - 1
+        return out
+
     def _stretch(self, x, lo, hi) -> np.ndarray:
         w = np.where(self.spans > 0, self.weights[: self.d] / np.where(self.spans > 0, self.spans, 1), 0.0)
         return (np.maximum(hi, x) - np.minimum(lo, x)) * w
@@ -133,13 +146,13 @@ class Boxes:
         cells = self.summary.get("", [])
         names = np.array([c for c, _, _ in cells])
         floor = np.empty((len(points), len(cells)))
+        codes = points[:, d:]
         for i, (_, least, most) in enumerate(cells):
             cost = self._stretch(points[:, :d], most[:d], least[d : 2 * d])
             cost = np.maximum(cost, 0).sum(axis=1)
-            for c in range(2 * d, len(least)):
-                code = points[:, d + c - 2 * d]
-                maybe = (code >= least[c]) & (code <= most[c]) & (code >= 0)
-                cost = cost + self.weights[c - d] * np.where(maybe, 0.5, 1.0)
+            maybe = (codes >= least[2 * d :]) & (codes <= most[2 * d :]) & (codes >= 0)
+            for w, costs, at in self._categories():
+                cost = cost + w * costs[np.logical_and.accumulate(maybe[:, at], axis=1).sum(axis=1)]
             floor[:, i] = cost
         for row, b in zip(floor, best):
             out.append(names[row <= b * (1 + 1e-9) + 1e-12].tolist())
@@ -152,9 +165,12 @@ class Boxes:
             if self.spans[j] > 0:
                 x, lo, hi = points[:, j, None], data[None, :, j], data[None, :, d + j]
                 out += self.weights[j] * (np.maximum(hi, x) - np.minimum(lo, x)) / self.spans[j]
-        for c in range(2 * d, data.shape[1]):
-            same = (points[:, c - d, None] == data[None, :, c]) & (data[None, :, c] >= 0)
-            out += self.weights[c - d] * np.where(same, 0.5, 1.0)
+        for w, costs, at in self._categories():
+            agree, same = np.zeros(out.shape, np.int64), np.ones(out.shape, bool)
+            for c in range(at.start, at.stop):
+                same &= (points[:, d + c, None] == data[None, :, 2 * d + c]) & (data[None, :, 2 * d + c] >= 0)
+                agree += same
+            out += w * costs[agree]
         return out
 
 

@@ -423,7 +423,7 @@ def utility_compare(spark, sf):
     """The same models on raw rows and on rows recoded inside each fold."""
     p = _customer_problem(spark, sf)
     p = Problem(p.df.withColumn("c_nationkey", F.col("c_nationkey").cast("string")), p.key, p.label)
-    recode = lambda df: clusters.fit_clusters(df, p.key, ["c_acctbal"], ["c_nationkey"], 5)
+    recode = lambda df: clusters.fit_clusters(df, p.key, ["c_acctbal"], ["c_nationkey"], 5, block_rows=500)
     make = lambda anonymizer: lambda: presets.anonymizing(("c_nationkey",), (p.key, p.label, "fold"), anonymizer)
     variants = {"original": make(None), "anonymized": make(recode)}
     models = {"random_forest": MODELS["random_forest"]}

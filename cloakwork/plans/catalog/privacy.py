@@ -454,7 +454,7 @@ def microaggregate_groups(spark, sf):
 
 def _fit(spark, sf, output):
     c = table(spark, sf, "customer")
-    return c, clusters.fit_clusters(c, "c_custkey", ["c_acctbal", "c_nationkey"], ["c_mktsegment"], 5, output=output)
+    return c, clusters.fit_clusters(c, "c_custkey", ["c_acctbal", "c_nationkey"], ["c_mktsegment"], 5, block_rows=500, output=output)
 
 
 @register("local_recode")
@@ -469,12 +469,127 @@ def microaggregate(spark, sf):
     return fitted.publish(c)
 
 
+def _greedy_sql(rows, k, loss, state, start, grown):
+    """The greedy, block by block and row by row: every step of a block takes the first free row or the cheapest one.
+
+    ``rows`` has (id, block, x, ...); a state row holds the numbers used so far and the cluster as it is.
+    """
+    fresh = f"s.size % {k} = 0"
+    keep = ", ".join(f"case when {fresh} then {s0} else {g} end as {c}" for c, s0, g in zip(state, start, grown))
+    return f"""with recursive p as ({rows}), g as (select max(x) - min(x) as span from p),
+    s as (
+      select block, []::bigint[] as used, -1 as cluster, 0 as size, cast(null as bigint) as pick, {", ".join(f"cast(null as {t}) as {c}" for c, t in state.items())}
+      from (select distinct block from p)
+      union all
+      select s.block, list_append(s.used, p.id), s.cluster + case when {fresh} then 1 else 0 end, s.size % {k} + 1, p.id, {keep}
+      from s join p on p.block = s.block and not list_contains(s.used, p.id), g
+      qualify row_number() over (partition by s.block order by case when {fresh} then 0 else round({loss}, 9) end, p.id) = 1),
+    m as (select pick as c_custkey, block || ':' || lpad(cast(cluster as varchar), 6, '0') as cluster_id from s where pick is not null)"""
+
+
+_TREE_GREEDY = _greedy_sql(
+    """select c_custkey as id, cast(c_custkey // 50 as varchar) as block, c_acctbal as x, n_name as n, r_name as r
+      from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey""",
+    5,
+    "(greatest(s.hi, p.x) - least(s.lo, p.x)) / g.span + 0.5 * case when s.n = p.n then 0.0 when s.r = p.r then 0.5 else 1.0 end",
+    {"lo": "double", "hi": "double", "n": "varchar", "r": "varchar"},
+    ["p.x", "p.x", "p.n", "p.r"],
+    ["least(s.lo, p.x)", "greatest(s.hi, p.x)", "case when s.n = p.n then s.n end", "case when s.r = p.r then s.r end"],
+)
+
+
+def _block(df):
+    """Blocks of fifty neighbouring keys, so that SQL can follow the greedy."""
+    return df.withColumn("block", F.expr("c_custkey div 50"))
+
+
+@register(
+    "tree_greedy",
+    f"""{_TREE_GREEDY}
+    select c_custkey, cluster_id, min(x) over c as "c_acctbal_min", max(x) over c as "c_acctbal_max",
+      case when min(n) over c = max(n) over c then n when min(r) over c = max(r) over c then r else 'all' end as n_name
+    from m join p on p.id = m.c_custkey window c as (partition by cluster_id)""",
+)
+def tree_greedy(spark, sf):
+    """Clusters whose nations go up to their region, and beyond that to the root."""
+    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = _block(c.select("c_custkey", "c_acctbal", "n_name"))
+    trees = {"n_name": _nation_tree(spark, sf)}
+    fitted = clusters.fit_clusters(c, "c_custkey", ["c_acctbal"], ["n_name"], 5, {"n_name": 0.5}, block="block", trees=trees)
+    return fitted.publish(c).select("c_custkey", "cluster_id", "c_acctbal_min", "c_acctbal_max", "n_name")
+
+
+_FLAT_GREEDY = _greedy_sql(
+    "select c_custkey as id, cast(c_custkey // 50 as varchar) as block, c_acctbal as x, c_mktsegment as n from customer",
+    5,
+    "(greatest(s.hi, p.x) - least(s.lo, p.x)) / g.span + case when s.n = p.n then 0.5 else 1.0 end",
+    {"lo": "double", "hi": "double", "n": "varchar"},
+    ["p.x", "p.x", "p.n"],
+    ["least(s.lo, p.x)", "greatest(s.hi, p.x)", "case when s.n = p.n then s.n end"],
+)
+
+
+def _fit_block(spark, sf, output):
+    c = _block(table(spark, sf, "customer"))
+    return c, clusters.fit_clusters(c, "c_custkey", ["c_acctbal"], ["c_mktsegment"], 5, block="block", output=output)
+
+
+@register(
+    "local_recode_block",
+    f"""{_FLAT_GREEDY}
+    select c_custkey, cluster_id, min(x) over c as "c_acctbal_min", max(x) over c as "c_acctbal_max",
+      case when min(n) over c = max(n) over c then n else '*' end as c_mktsegment
+    from m join p on p.id = m.c_custkey window c as (partition by cluster_id)""",
+)
+def local_recode_block(spark, sf):
+    c, fitted = _fit_block(spark, sf, "box")
+    return fitted.publish(c).select("c_custkey", "cluster_id", "c_acctbal_min", "c_acctbal_max", "c_mktsegment")
+
+
+@register(
+    "microaggregate_block",
+    f"""{_FLAT_GREEDY},
+    f as (select cluster_id, n, count(*) as w from m join p on p.id = m.c_custkey group by all),
+    o as (select cluster_id, n as mode from f qualify row_number() over (partition by cluster_id order by w desc, n) = 1)
+    select c_custkey, cluster_id, round(avg(x) over (partition by cluster_id), 4) as c_acctbal, mode as c_mktsegment
+    from m join p on p.id = m.c_custkey join o using (cluster_id)""",
+)
+def microaggregate_block(spark, sf):
+    c, fitted = _fit_block(spark, sf, "mean")
+    return rounded(fitted.publish(c).select("c_custkey", "cluster_id", "c_acctbal", "c_mktsegment"))
+
+
+@register(
+    "tree_assign",
+    f"""{_TREE_GREEDY},
+    b as (select cluster_id, min(x) as lo, max(x) as hi, case when min(n) = max(n) then min(n) end as n, case when min(r) = max(r) then min(r) end as r
+      from m join p on p.id = m.c_custkey group by 1),
+    a as (select s_suppkey, least(greatest(s_acctbal, (select min(x) from p)), (select max(x) from p)) as x, n_name as n, r_name as r
+      from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey),
+    j as (select s_suppkey, cluster_id, (greatest(hi, a.x) - least(lo, a.x)) / span
+        + 0.5 * case when b.n = a.n then 0.0 when b.r = a.r then 0.5 else 1.0 end as cost from a, b, g)
+    select s_suppkey, arg_min(cluster_id, (round(cost, 9), cluster_id)) as cluster_id, round(min(cost), 6) as cost from j group by 1""",
+)
+def tree_assign(spark, sf):
+    """Suppliers to the cheapest cluster of customers."""
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    c = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    c = _block(c.select("c_custkey", "c_acctbal", "n_name"))
+    trees = {"n_name": _nation_tree(spark, sf)}
+    fitted = clusters.fit_clusters(c, "c_custkey", ["c_acctbal"], ["n_name"], 5, {"n_name": 0.5}, block="block", trees=trees)
+    s = table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    out = fitted.assign(s.select(F.col("s_suppkey").alias("c_custkey"), F.col("s_acctbal").alias("c_acctbal"), "n_name"))
+    return rounded(out.withColumnRenamed("c_custkey", "s_suppkey"), 6)
+
+
 @register(
     "local_recode_gate",
-    "select true as all_at_least_k, count(*) as n_rows from customer",
+    """select cast(c_custkey // 60 as varchar) as block, greatest(1, count(*) // 7) as clusters, least(7, count(*)) as least, count(*) as n_rows
+    from customer group by 1""",
 )
 def local_recode_gate(spark, sf):
-    """Every published cluster has at least k rows and no row is lost."""
-    _, fitted = _fit(spark, sf, "box")
-    sizes = fitted.members.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.min(F.col("n") >= 5).alias("all_at_least_k"), F.sum("n").alias("n_rows"))
+    """Blocks of sixty rows make clusters of seven, the rows left over join them, and no row is lost."""
+    c = table(spark, sf, "customer").withColumn("block", F.expr("c_custkey div 60"))
+    fitted = clusters.fit_clusters(c, "c_custkey", ["c_acctbal", "c_nationkey"], ["c_mktsegment"], 7, block="block")
+    sizes = fitted.members.groupBy(F.substring_index("cluster_id", ":", 1).alias("block"), "cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy("block").agg(F.count(F.lit(1)).alias("clusters"), F.min("n").alias("least"), F.sum("n").alias("n_rows"))
