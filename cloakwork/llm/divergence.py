@@ -1,9 +1,10 @@
 """How far the sources of a language are apart, by chunk factorization.
 
-Texts are counted in chunks between blanks.  A chunk that stands in a million texts is
-taken apart into terms once: tasks pass on (language, source, chunk) counts, the
-distinct chunks of the whole corpus are tokenized, and their terms are joined back to
-the counts.  A term's occurrences are the sum over its chunks.
+Texts are counted in chunks between blanks, A-Z lower-cased and without the ASCII
+characters at their ends that no term has.  A chunk that stands in a million texts is
+taken apart into terms once: tasks pass on (language, chunk) counts, a number for each
+source beside them, the distinct chunks of the whole corpus are tokenized, and their
+terms are joined back to the counts.  A term's occurrences are the sum over its chunks.
 
 The documents of a term are those of its chunks together, each counted once.  For the
 question whether there are ``least`` of them the sizes of the chunks mostly decide: one
@@ -33,61 +34,68 @@ from cloakwork.session import materialize
 
 LEAST, TOP = 10, 10
 UNIT = 1_000_000_000
-HELD, HELD_BYTES = 100_000, 1 << 25  # chunks that a task counts before it passes them on, and their bytes
+HELD, HELD_BYTES = 150_000, 1 << 25  # chunks that a task counts before it passes them on, and their bytes
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-COUNTS = "lang string, source string, chunk string, n long, docs long, ids array<long>"
+BARE = bytes(c for c in range(128) if not chr(c).isalpha())
+COUNTS = "lang string, chunk string, docs long, ids array<long>, sources array<string>, n array<long>"
 
 
 def _counted(least: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list] = {}
+        held: dict[tuple, list] = {}  # documents, the last of them, the first ones, occurrences by source
         size = 0
 
         def flush() -> pa.RecordBatch:
-            langs, sources, chunks = zip(*held, strict=True)
-            n, docs, ids = zip(*held.values(), strict=True)
+            langs, chunks = zip(*held, strict=True)
+            docs, _, ids, counts = zip(*held.values(), strict=True)
             columns = [
                 pa.array(langs, pa.string()),
-                pa.array(sources, pa.string()),
                 pa.array(chunks, pa.binary()).cast(pa.string()),
-                pa.array(n, pa.int64()),
                 pa.array(docs, pa.int64()),
                 pa.array([i if d < least else None for i, d in zip(ids, docs, strict=True)], pa.list_(pa.int64())),
+                pa.array([list(c) for c in counts], pa.list_(pa.string())),
+                pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())),
             ]
             held.clear()
-            return pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "n", "docs", "ids"])
+            return pa.RecordBatch.from_arrays(columns, ["lang", "chunk", "docs", "ids", "sources", "n"])
 
         for batch in batches:
             for i in range(batch.num_rows):
                 lang, source, row, text = (batch.column(c)[i].as_py() for c in ("lang", "source", "row", "text"))
                 own: Counter = Counter()
-                for words in word_lists(text):
+                for words in word_lists(text, lower=True):
                     own.update(words)
-                for chunk, n in own.items():
-                    known = held.get((lang, source, chunk))
+                for word, n in own.items():
+                    chunk = word.strip(BARE)
+                    if not chunk:
+                        continue
+                    known = held.get((lang, chunk))
                     if known is None:
-                        held[(lang, source, chunk)] = [n, 1, [row]]
+                        held[(lang, chunk)] = [1, row, [row], {source: n}]
                         size += len(chunk)
-                        if len(held) >= HELD or size >= HELD_BYTES:
-                            yield flush()
-                            size = 0
                     else:
-                        known[0] += n
-                        known[1] += 1
-                        if known[1] < least:
-                            known[2].append(row)
+                        known[3][source] = known[3].get(source, 0) + n
+                        if known[1] != row:
+                            known[0] += 1
+                            known[1] = row
+                            if known[0] < least:
+                                known[2].append(row)
+                if len(held) >= HELD or size >= HELD_BYTES:
+                    yield flush()
+                    size = 0
         if held:
             yield flush()
 
     return count
 
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """(chunk, term, k): the terms of each distinct chunk and how often they stand in it."""
-    terms = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    each = chunks.select("chunk").distinct().select("chunk", F.explode(terms).alias("term"))
-    return each.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("k"))
+def chunk_terms(parts: DataFrame) -> DataFrame:
+    """(chunk, langs, terms): of each distinct chunk its documents by language, and its terms, repeated ones repeatedly."""
+    # tasks have counted before; a chunk has one row per language and task, so none is hot
+    by_lang = parts.select("chunk", "lang", "docs").repartition("chunk").groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
+    each = by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("langs"))
+    return each.withColumn("terms", F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0)))
 
 
 def term_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -98,17 +106,22 @@ def term_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFra
     rows = docs.select("lang", "source", F.monotonically_increasing_id().alias("row"), "text")
     # row numbers live in this one written table only, so a repeated task cannot mix them up
     parts = materialize(rows.mapInArrow(_counted(least), COUNTS))
-    sums = materialize(parts.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
-    terms = materialize(chunk_terms(sums))
-    by_lang = sums.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
-    bounds = by_lang.join(terms, "chunk").groupBy("lang", "term").agg(F.max("docs").alias("most"), F.sum("docs").alias("all"))
+    chunks = materialize(chunk_terms(parts))
+    each = chunks.withColumn("of", F.explode("langs")).select("chunk", "of.lang", "of.docs", "terms")
+    bounds = each.withColumn("term", F.explode(F.array_distinct("terms"))).groupBy("lang", "term").agg(F.max("docs").alias("most"), F.sum("docs").alias("all"))
     bounds = materialize(bounds.filter(F.col("all") >= least))
-    between = bounds.filter(F.col("most") < least).select("lang", "term").join(terms.select("chunk", "term"), "term")
-    few = parts.filter(F.col("docs") < least).select("lang", "chunk", "ids").join(between, ["lang", "chunk"])
+    between = bounds.filter(F.col("most") < least).select("lang", "term")
+    pairs = each.select("lang", "chunk", F.explode("terms").alias("term"))
+    some = each.filter(F.col("docs") < least).select("lang", "chunk", F.explode(F.array_distinct("terms")).alias("term"))
+    few = materialize(some.join(guarded(between, between.count()), ["lang", "term"]))
+    few = parts.filter(F.col("docs") < least).select("lang", "chunk", "ids").join(guarded(few, few.count()), ["lang", "chunk"])
     few = few.select("lang", "term", F.explode("ids").alias("row")).distinct().groupBy("lang", "term").agg(F.count(F.lit(1)).alias("all"))
     kept = materialize(bounds.filter(F.col("most") >= least).select("lang", "term").unionByName(few.filter(F.col("all") >= least).select("lang", "term")))
-    counts = sums.join(terms, "chunk").groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("k")).alias("count"))
-    return materialize(counts.join(kept, ["lang", "term"])), kept
+    wanted = pairs.join(guarded(kept, kept.count()), ["lang", "term"]).groupBy("lang", "chunk", "term").agg(F.count(F.lit(1)).alias("k"))
+    wanted = materialize(wanted)
+    met = parts.select("lang", "chunk", "sources", "n").join(guarded(wanted, wanted.count()), ["lang", "chunk"])
+    each = met.withColumn("of", F.explode(F.arrays_zip("sources", "n"))).select("lang", F.col("of.sources").alias("source"), "term", (F.col("of.n") * F.col("k")).alias("n"))
+    return materialize(each.groupBy("lang", "source", "term").agg(F.sum("n").alias("count"))), kept
 
 
 def share(count: Column, n: Column, terms: Column) -> Column:

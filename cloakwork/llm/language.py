@@ -40,8 +40,8 @@ from cloakwork.llm.common import hidden, register, table, word_lists
 from cloakwork.session import materialize, scratch_root
 
 ORDER = 2
-CHUNK = 1 << 21  # tokens numbered together
-SHARD = 1 << 21  # entries of a file, about
+CHUNK = 1 << 19  # tokens numbered together
+SHARD = 1 << 20  # entries of a file, about
 RANGE = 1 << 20  # numbers whose sums one task adds up
 HELD = 200_000  # words that a task counts before it passes them on
 END = b"\n"  # no word has a blank in it
@@ -530,7 +530,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = np.zeros((4, len(texts)), np.longdouble)
-            for codes, rows, words in _chunks(((i, text or "") for i, text in enumerate(texts)), model.order, CHUNK // 2):
+            for codes, rows, words in _chunks(((i, text or "") for i, text in enumerate(texts)), model.order):
                 p, c = model.probabilities(codes, words)
                 at = np.flatnonzero(rows >= 0)
                 first = np.flatnonzero(np.diff(rows[at], prepend=-1))
