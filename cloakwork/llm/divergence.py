@@ -21,7 +21,6 @@ own size.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,58 +33,90 @@ from cloakwork.session import materialize
 
 LEAST, TOP = 10, 10
 UNIT = 1_000_000_000
-HELD, HELD_BYTES = 150_000, 1 << 25  # chunks that a task counts before it passes them on, and their bytes
+HELD, HELD_WORDS = 4_000_000, 400_000  # occurrences that a task keeps before it adds them up, and different words
+HELD_BYTES = 1 << 25  # of these words
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 BARE = bytes(c for c in range(128) if not chr(c).isalpha())
 COUNTS = "lang string, chunk string, docs long, ids array<long>, sources array<string>, n array<long>"
 
 
+class Chunks(dict):
+    """Numbers of words by their chunk; a word without a chunk is 0."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.numbers: dict[bytes, int] = {b"": 0}
+        self.size = 0
+
+    def __missing__(self, word: bytes) -> int:
+        chunk = word.strip(BARE)
+        self[word] = n = self.numbers.setdefault(chunk, len(self.numbers))
+        self.size += len(word)
+        return n
+
+
+class Held:
+    """Occurrences of one language: their chunks in order, and row, source and length of each text."""
+
+    def __init__(self) -> None:
+        self.chunks, self.found = Chunks(), []
+        self.rows, self.sources, self.lengths = [], [], []
+
+    def add(self, row: int, source: str, text: str) -> int:
+        n = 0
+        for words in word_lists(text, lower=True):
+            self.found.append(np.fromiter(map(self.chunks.__getitem__, words), np.int32, len(words)))
+            n += len(words)
+        self.rows.append(row)
+        self.sources.append(source)
+        self.lengths.append(n)
+        return n
+
+    def summed(self, lang: str, least: int) -> pa.RecordBatch:
+        """A row per chunk: its documents, their numbers while few, its occurrences by source."""
+        code = np.concatenate(self.found) if self.found else np.zeros(0, np.int32)
+        doc = np.repeat(np.arange(len(self.rows), dtype=np.int32), self.lengths)
+        order = np.argsort(code, kind="stable")  # the texts of a chunk stay in order
+        code, doc = code[order], doc[order]
+        first = np.flatnonzero((np.diff(code, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
+        n = np.diff(np.append(first, len(code)))
+        code, doc = code[first], doc[first]
+        n, doc, code = n[code > 0], doc[code > 0], code[code > 0]
+        chunk, docs = np.unique(code, return_counts=True)
+        few = np.repeat(docs < least, docs)
+        rows = np.array(self.rows, np.int64)[doc[few]]
+        names, source = np.unique(np.array(self.sources, dtype=object), return_inverse=True)
+        pair, back = np.unique(code.astype(np.int64) * len(names) + source[doc], return_inverse=True)
+        sums = np.bincount(back, n, len(pair)).astype(np.int64)
+        held = np.searchsorted(pair // len(names), np.append(chunk, np.iinfo(np.int32).max)).astype(np.int32)
+        ends = np.append(0, np.cumsum(np.where(docs < least, docs, 0))).astype(np.int32)
+        texts = pa.array(list(self.chunks.numbers), pa.binary()).take(pa.array(chunk)).cast(pa.string())
+        columns = [
+            pa.array([lang] * len(chunk), pa.string()),
+            texts,
+            pa.array(docs.astype(np.int64)),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(rows)),
+            pa.ListArray.from_arrays(pa.array(held), pa.array(names.tolist(), pa.string()).take(pa.array(pair % len(names)))),
+            pa.ListArray.from_arrays(pa.array(held), pa.array(sums)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "chunk", "docs", "ids", "sources", "n"])
+
+
 def _counted(least: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list] = {}  # documents, the last of them, the first ones, occurrences by source
+        held: dict[str, Held] = {}
         size = 0
-
-        def flush() -> pa.RecordBatch:
-            langs, chunks = zip(*held, strict=True)
-            docs, _, ids, counts = zip(*held.values(), strict=True)
-            columns = [
-                pa.array(langs, pa.string()),
-                pa.array(chunks, pa.binary()).cast(pa.string()),
-                pa.array(docs, pa.int64()),
-                pa.array([i if d < least else None for i, d in zip(ids, docs, strict=True)], pa.list_(pa.int64())),
-                pa.array([list(c) for c in counts], pa.list_(pa.string())),
-                pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())),
-            ]
-            held.clear()
-            return pa.RecordBatch.from_arrays(columns, ["lang", "chunk", "docs", "ids", "sources", "n"])
-
         for batch in batches:
             for i in range(batch.num_rows):
                 lang, source, row, text = (batch.column(c)[i].as_py() for c in ("lang", "source", "row", "text"))
-                own: Counter = Counter()
-                for words in word_lists(text, lower=True):
-                    own.update(words)
-                for word, n in own.items():
-                    chunk = word.strip(BARE)
-                    if not chunk:
-                        continue
-                    known = held.get((lang, chunk))
-                    if known is None:
-                        held[(lang, chunk)] = [1, row, [row], {source: n}]
-                        size += len(chunk)
-                    else:
-                        known[3][source] = known[3].get(source, 0) + n
-                        if known[1] != row:
-                            known[0] += 1
-                            known[1] = row
-                            if known[0] < least:
-                                known[2].append(row)
-                if len(held) >= HELD or size >= HELD_BYTES:
-                    yield flush()
-                    size = 0
-        if held:
-            yield flush()
+                own = held.setdefault(lang, Held())
+                size += own.add(row, source, text)
+                words = sum(len(h.chunks) for h in held.values()) if len(own.chunks) > HELD_WORDS // 8 else 0
+                if size >= HELD or words >= HELD_WORDS or own.chunks.size >= HELD_BYTES:
+                    yield from (h.summed(name, least) for name, h in held.items())
+                    held, size = {}, 0
+        yield from (h.summed(name, least) for name, h in held.items())
 
     return count
 
