@@ -42,7 +42,7 @@ from cloakwork.session import materialize, scratch_root
 ORDER = 2
 CHUNK = 1 << 19  # tokens numbered together
 SHARD = 1 << 20  # entries of a file, about
-RANGE = 1 << 20  # numbers whose sums one task adds up
+RANGE = 1 << 18  # numbers whose sums one task adds up
 HELD = 200_000  # words that a task counts before it passes them on
 END = b"\n"  # no word has a blank in it
 FOLDS, HELD_OUT = 7, 2
@@ -70,13 +70,24 @@ def unmix(x: np.ndarray) -> np.ndarray:
 
 
 def packed(*columns: np.ndarray) -> bytes:
-    """Columns of 64-bit numbers by byte planes; planes of zeros vanish when the shuffle compresses."""
-    return b"".join(c.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    """Columns of 64-bit numbers by byte planes, without the planes that are all zero."""
+    out = [np.array([len(columns[0])], "<u8").tobytes()]
+    for c in columns:
+        planes = c.astype("<u8").view(np.uint8).reshape(-1, 8).T
+        used = planes.any(axis=1)
+        out += [np.packbits(used).tobytes(), planes[used].tobytes()]
+    return b"".join(out)
 
 
 def unpacked(block: bytes, width: int) -> list[np.ndarray]:
-    planes = np.frombuffer(block, np.uint8).reshape(width, 8, -1)
-    return [np.ascontiguousarray(p.T).view("<u8").reshape(-1).astype(np.uint64) for p in planes]
+    size, at, out = int(np.frombuffer(block, "<u8", 1)[0]), 8, []
+    for _ in range(width):
+        used = np.flatnonzero(np.unpackbits(np.frombuffer(block, np.uint8, 1, at)))
+        planes = np.zeros((size, 8), np.uint8)
+        planes[:, used] = np.frombuffer(block, np.uint8, len(used) * size, at + 1).reshape(len(used), size).T
+        out.append(planes.view("<u8").reshape(-1).astype(np.uint64))
+        at += 1 + len(used) * size
+    return out
 
 
 def _store(root: str) -> tuple[fs.FileSystem, str]:
