@@ -141,6 +141,10 @@ class Clusters:
         outside = df.join(self.members, self.key, "left_anti")
         return inside.unionByName(outside, allowMissingColumns=True)
 
+    def on_training(self, df: DataFrame) -> DataFrame:
+        """The rows of the fit, every one with the values of its own cluster, in the columns of :meth:`apply`."""
+        return self.publish(df).drop("cluster_id")
+
     def assign(self, df: DataFrame) -> DataFrame:
         """Any rows to their cheapest cluster: (key, cluster_id, cost), first cluster on ties."""
         order = (*self.numeric, *self.flat, *self.trees)

@@ -227,7 +227,9 @@ class Steps:
 
     ``steps`` are functions from the rows seen so far to a fitted model.  A step
     listed in ``train_only`` (a resampler) changes the training rows and is skipped
-    when other rows pass through.
+    when other rows pass through.  A model that treats the rows it was fitted on in
+    another way than new ones has ``on_training``: an anonymizer gives its members
+    their own group, and assigns only unseen rows.
     """
 
     steps: list
@@ -240,7 +242,7 @@ class Steps:
         for make in self.steps:
             model = make(df)
             fitted.models.append(model)
-            df = model.apply(df)
+            df = model.on_training(df) if hasattr(model, "on_training") else model.apply(df)
         return fitted, df
 
     def apply(self, df: DataFrame) -> DataFrame:

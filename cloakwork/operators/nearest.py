@@ -283,11 +283,18 @@ def knn_classify(
     outvotes everything else.  The smaller label wins ties.
     """
     near = search(test, train, Metric(p), k).join(labels, "did")
-    if weights == "distance":
-        exact = F.max((F.col("score") == 0).cast("int")).over(Window.partitionBy("qid"))
-        vote = F.when(F.col("exact") == 1, (F.col("score") == 0).cast("double")).otherwise(1.0 / F.col("score"))
-        near = near.withColumn("exact", exact).withColumn("vote", F.when(F.col("score") == 0, 1.0).otherwise(vote))
-    else:
-        near = near.withColumn("vote", F.lit(1.0))
-    votes = near.groupBy("qid", "label").agg(F.sum("vote").alias("vote"))
-    return votes.groupBy("qid").agg(F.min_by("label", F.struct(-F.col("vote"), F.col("label"))).alias("prediction"))
+    return votes(near, [(k, weights)]).withColumnRenamed("p0", "prediction")
+
+
+def votes(near: DataFrame, settings: list[tuple[int, str]]) -> DataFrame:
+    """(qid, p0, p1, ...): the majority label of the first k neighbours for each (k, weights).
+
+    ``near`` has (qid, label, score, rank) down to the largest k.  A query's nearest
+    neighbour shows whether it has an exact hit, so one look serves every k.
+    """
+    near = near.withColumn("exact", F.min("score").over(Window.partitionBy("qid")) == 0)
+    weighted = F.when(F.col("score") == 0, 1.0).when(F.col("exact"), 0.0).otherwise(1.0 / F.col("score"))
+    vote = {"uniform": F.lit(1.0), "distance": weighted}
+    counted = near.groupBy("qid", "label").agg(*[F.sum(F.when(F.col("rank") <= k, vote[w])).alias(f"v{i}") for i, (k, w) in enumerate(settings)])
+    best = [F.min_by("label", F.when(F.col(f"v{i}").isNotNull(), F.struct(-F.col(f"v{i}"), F.col("label")))).alias(f"p{i}") for i in range(len(settings))]
+    return counted.groupBy("qid").agg(*best)

@@ -305,3 +305,47 @@ def _mi(c):
 def mutual_info_binned(spark, sf):
     out = select.mutual_information(table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], "l_returnflag")
     return rounded(out, 8)
+
+
+_MI_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _digamma(x):
+    y = f"({x} + 10.0)"
+    steps = " - ".join(f"1.0 / ({x} + {i})" for i in range(10))
+    return f"(ln({y}) - 1 / (2 * {y}) - 1 / (12 * {y} * {y}) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6) - {steps})"
+
+
+#: The third neighbour among sorted rows: the best of four windows of three steps; nearer rows by running counts.
+_NEIGHBOUR_SQL = f"""with x as ({" union all ".join(f"select '{c}' as col, {c}::double as v, l_returnflag as cls from lineitem" for c in _MI_COLUMNS)}),
+    l as (select col, cls, v, count(*) over (partition by col, cls) as size, lag(v, 1) over w as a1, lag(v, 2) over w as a2, lag(v, 3) over w as a3,
+      lead(v, 1) over w as b1, lead(v, 2) over w as b2, lead(v, 3) over w as b3 from x window w as (partition by col, cls order by v)),
+    d as (select col, cls, v, size, least(coalesce(v - a3, 'inf'::double), coalesce(greatest(v - a2, b1 - v), 'inf'::double),
+      coalesce(greatest(v - a1, b2 - v), 'inf'::double), coalesce(b3 - v, 'inf'::double)) as d
+      from (select col, cls, v, size, a1, a2, a3, b1, b2, b3 from l where size > 3)),
+    c as (select col, v, n, sum(n) over (partition by col order by v) as le from (select col, v, count(*) as n from x group by 1, 2)),
+    q as (select distinct col, v, d, case when d > 0 then v - d else v end as lo, case when d > 0 then v + d else v end as hi from d),
+    lo as (select q.col, q.v, q.d, coalesce(c.le, 0) as le from q asof left join c on q.col = c.col and q.lo >= c.v),
+    hi as (select q.col, q.v, q.d, coalesce(c.le, 0) as lt from q asof left join c on q.col = c.col and q.hi > c.v),
+    m as (select d.col, d.size, case when d.d > 0 then hi.lt - lo.le else c.n end as m
+      from d join lo using (col, v, d) join hi using (col, v, d) join c on c.col = d.col and c.v = d.v),
+    s as (select col, count(*)::double as n, {_digamma("3.0")} - avg({_digamma("size")}) - avg({_digamma("m")}) as own from m group by 1),
+    i as (select col as "column", round(greatest(0, {_digamma("n")} + own), 8) as mutual_information from s)"""
+
+
+@register("mutual_info_neighbours", f"{_NEIGHBOUR_SQL} select * from i")
+def mutual_info_neighbours(spark, sf):
+    return rounded(select.neighbour_information(table(spark, sf, "lineitem"), _MI_COLUMNS, "l_returnflag"), 8)
+
+
+@register(
+    "select_k_best_mi",
+    f"""{_NEIGHBOUR_SQL}, k as (select "column" from i order by mutual_information desc, "column" limit 2)
+    select l_orderkey, l_linenumber, {", ".join(f"case when '{c}' in (select * from k) then {c} end as {c}" for c in _MI_COLUMNS)} from lineitem""",
+)
+def select_k_best_mi(spark, sf):
+    """Rows with the two columns that tell most about the return flag; the others are null."""
+    t = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", *_MI_COLUMNS)
+    kept, names = select.select_best(t, _MI_COLUMNS, "l_returnflag", 2)
+    gone = {c: F.lit(None).cast("double") for c in _MI_COLUMNS if c not in names}
+    return kept.withColumns(gone).select("l_orderkey", "l_linenumber", *_MI_COLUMNS)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cloakwork.functions.hashing import unit_hash_sql
-from cloakwork.operators import balance, clusters, encode, folds, metrics, nearest, tree
+from cloakwork.operators import balance, clusters, encode, folds, forest, metrics, nearest, tree
 from cloakwork.operators.encode import Steps
 from cloakwork.plans import evaluate, presets
 from cloakwork.plans.catalog import register
@@ -274,6 +274,55 @@ def tree_stump_predict(spark, sf):
     return rounded(stump.predict(t.select("l_orderkey", "l_partkey", *features)).select("l_orderkey", "l_partkey", "prediction"))
 
 
+_FLAGS = ("A", "N", "R")
+_GINI_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _gini_ctes(src, features, label, classes):
+    """The gain of every threshold of every column, as table g."""
+    melted = " union all ".join(f"select {i} as pos, '{c}' as col, {c}::double as v, {label} as y from {src}" for i, c in enumerate(features))
+    counts = ", ".join(f"count(*) filter (y = '{c}')::double as k{i}" for i, c in enumerate(classes))
+    runs = ", ".join(f"sum(k{i}) over w as l{i}, sum(k{i}) over a as t{i}" for i in range(len(classes)))
+    squares = lambda f: " + ".join(f"({f(i)}) ** 2" for i in range(len(classes)))
+    left, right, whole = squares(lambda i: f"l{i}"), squares(lambda i: f"t{i} - l{i}"), squares(lambda i: f"t{i}")
+    return f"""x as ({melted}), f as (select pos, col, v, count(*)::double as n, {counts} from x group by all),
+    r as (select pos, col, v, sum(n) over w as cn, sum(n) over a as tn, lead(v) over w as nv, {runs} from f
+      window w as (partition by col order by v), a as (partition by col)),
+    g as (select *, (v + nv) / 2 as threshold, (({left}) / cn + ({right}) / (tn - cn) - ({whole}) / tn) / tn as gain from r where nv is not null)"""
+
+
+_FIRST = "order by round(gain, 12) desc, pos, threshold limit 1"
+
+
+def _gini_sql(src, features, label, classes):
+    return f"""with {_gini_ctes(src, features, label, classes)}
+    select col as "column", threshold, round(gain, 9) as gain, cn as n_left, tn as n from g {_FIRST}"""
+
+
+@register("gini_split", _gini_sql("lineitem", _GINI_COLUMNS, "l_returnflag", _FLAGS))
+def gini_split(spark, sf):
+    """The first split of a classification tree."""
+    return rounded(forest.best_split(table(spark, sf, "lineitem"), _GINI_COLUMNS, "l_returnflag"), 9, ["gain"])
+
+
+_STUMP = _gini_sql("lineitem", _GINI_COLUMNS, "l_returnflag", _FLAGS)
+
+
+@register(
+    "gini_stump_predict",
+    f"""with b as ({_STUMP}), s as (select l_orderkey, l_linenumber, l_returnflag as y, case b."column" when 'l_quantity' then l_quantity
+      when 'l_extendedprice' then l_extendedprice when 'l_discount' then l_discount else l_tax end <= b.threshold as side from lineitem, b),
+    c as (select side, y, count(*) as n from s group by 1, 2),
+    m as (select side, y as prediction from c qualify row_number() over (partition by side order by n desc, y) = 1)
+    select l_orderkey, l_linenumber, prediction from s join m using (side)""",
+)
+def gini_stump_predict(spark, sf):
+    t = table(spark, sf, "lineitem")
+    keyed = t.withColumn("id", F.concat_ws(":", "l_orderkey", "l_linenumber"))
+    stump = forest.fit(keyed, "id", _GINI_COLUMNS, "l_returnflag", trees=1, max_depth=1, bootstrap=False)
+    return stump.predict(t.select("l_orderkey", "l_linenumber", *_GINI_COLUMNS)).select("l_orderkey", "l_linenumber", "prediction")
+
+
 _DRAW = unit_hash_sql("(cast(p_partkey as varchar) || ':' || cast(t + 42 as varchar))", "bootstrap")
 
 
@@ -323,8 +372,8 @@ def _part_problem(spark, sf):
 
 
 MODELS = {
-    "random_forest": evaluate.random_forest(20, 5),
-    "logistic_regression": evaluate.logistic_regression(max_iter=50),
+    "random_forest": evaluate.random_forest(100),
+    "logistic_regression": evaluate.logistic_regression(),
     "knn": evaluate.knn(5),
 }
 
@@ -336,95 +385,183 @@ def _valid_means(scores):
 
 @register("cv_compare")
 def cv_compare(spark, sf):
+    """Three classifiers on five folds."""
     p = _customer_problem(spark, sf)
     steps = lambda: Steps([lambda df: encode.fit_standard(df, p.features(df))])
-    scores = evaluate.cross_validate(p, MODELS, folds.kfold(p.df, p.key, 3), "scaled", steps)
+    scores = evaluate.cross_validate(p, MODELS, folds.kfold(p.df, p.key, 5), "scaled", steps)
     return _valid_means(scores)
 
 
 @register("cv_regression")
 def cv_regression(spark, sf):
+    """Boosting, the library's forest and the own one, 100 trees each on five folds."""
     p = _part_problem(spark, sf)
     steps = lambda: presets.car_price((p.key, p.label))
     models = {
-        "boosting": evaluate.gradient_boosting(10, 3),
-        "forest": evaluate.forest_regression(10, 5),
-        "exact_forest": evaluate.exact_forest(trees=5, max_depth=6),
+        "boosting": evaluate.gradient_boosting(),
+        "forest": evaluate.forest_regression(),
+        "own_forest": evaluate.own_forest_regression(),
     }
-    return _valid_means(evaluate.cross_validate(p, models, folds.kfold(p.df, p.key, 2), "one_hot", steps, "number"))
+    return _valid_means(evaluate.cross_validate(p, models, folds.kfold(p.df, p.key, 5), "one_hot", steps, "number"))
+
+
+def _knn_grid_sql(rows, name):
+    """Five stratified folds of (id, a, b, label); every (k, weights, p) judged as the library judges it: table ``{name}_means``."""
+    part = f"partition by {{}}p, k, weights"
+    return f"""{name}_r as (select *, (row_number() over (partition by label order by {unit_hash_sql('id', 42)}, id) - 1) % 5 as fold from ({rows})),
+    {name}_d as (select x.id, x.fold, x.label, y.label as other, y.id as oid, pw as p,
+      case when pw = 1 then abs(x.a - y.a) + abs(x.b - y.b) else sqrt((x.a - y.a) ** 2 + (x.b - y.b) ** 2) end as dist
+      from {name}_r x join {name}_r y on x.fold <> y.fold, (select unnest([1, 2]) as pw)),
+    {name}_n as (select *, row_number() over (partition by p, id order by dist, oid) as rk, min(dist) over (partition by p, id) = 0 as exact from {name}_d qualify rk <= 21),
+    {name}_v as (select p, k, weights, id, fold, label, other, sum(case when weights = 'uniform' or dist = 0 then 1.0::double when exact then 0.0 else 1.0 / dist end) as vote
+      from {name}_n join (select k, weights from (select unnest([3, 5, 7, 9, 11, 15, 21]) as k), (select unnest(['uniform', 'distance']) as weights)) on rk <= k group by all),
+    {name}_c as (select p, k, weights, fold, label, pred, count(*) as n from
+      (select p, k, weights, fold, label, other as pred from {name}_v qualify row_number() over (partition by p, k, weights, id order by vote desc, other) = 1) group by all),
+    {name}_k as (select distinct p, k, weights, fold, label as c from {name}_c union select distinct p, k, weights, fold, pred from {name}_c),
+    {name}_s as (select p, k, weights, fold, x.c, coalesce(sum(n) filter (label = x.c and pred = x.c), 0) as tp, coalesce(sum(n) filter (label = x.c), 0) as a,
+      coalesce(sum(n) filter (pred = x.c), 0) as b from {name}_k as x join {name}_c using (p, k, weights, fold) group by all),
+    {name}_f as (select p, k, weights, fold, sum(tp) / sum(a) as accuracy, avg(2 * tp / (a + b)) as f1_macro, avg(case when b > 0 then tp / b else 1 end) as precision_macro,
+      avg(case when a > 0 then tp / a else 1 end) as recall_macro from {name}_s group by all),
+    {name}_means as (select p, k, weights, {", ".join(f"avg({m}) as {m}_mean, stddev_pop({m}) as {m}_std" for m in _GRID_METRICS)} from {name}_f group by all)"""
+
+
+_GRID_METRICS = ["accuracy", "f1_macro", "precision_macro", "recall_macro"]
+_KNN_POINTS = """(select k, weights, metric, pp, case metric when 'euclidean' then 2 when 'manhattan' then 1 else pp end as p,
+      'k=' || k || ', metric=' || metric || ', p=' || pp || ', weights=' || weights as params,
+      row_number() over (order by ki, wi, mi, pp) as place
+    from (select unnest([3, 5, 7, 9, 11, 15, 21]) as k, unnest(range(7)) as ki), (select unnest(['uniform', 'distance']) as weights, unnest(range(2)) as wi),
+      (select unnest(['euclidean', 'manhattan', 'minkowski']) as metric, unnest(range(3)) as mi), (select unnest([1, 2]) as pp))"""
 
 
-@register("grid_search")
+@register(
+    "grid_search",
+    f"""with {_knn_grid_sql("select c_custkey as id, c_nationkey::double as a, c_acctbal as b, c_mktsegment as label from customer", "g")}
+    select params, {", ".join(f"round({m}_{s}, 4) as {m}_{s}" for m in _GRID_METRICS for s in ("mean", "std"))}
+    from {_KNN_POINTS} join g_means using (p, k, weights)""",
+)
 def grid_search(spark, sf):
+    """All 84 settings of the neighbour classifier on five folds."""
+    p = _customer_problem(spark, sf)
+    out = evaluate.shared_grid(p, "knn", evaluate.grid(evaluate.KNN_GRID), folds.stratified_kfold(p.df, p.key, p.label, 5))
+    return rounded(out.select("params", *[f"{m}_{s}" for m in _GRID_METRICS for s in ("mean", "std")]), 4)
+
+
+@register("grid_search_forest")
+def grid_search_forest(spark, sf):
+    """All 81 settings of the forest on five folds."""
     p = _customer_problem(spark, sf)
-    settings = evaluate.grid({"k": evaluate.KNN_GRID["k"][:2], "weights": evaluate.KNN_GRID["weights"]})
-    wide, _ = evaluate.grid_search(p, evaluate.knn, settings, folds.stratified_kfold(p.df, p.key, p.label, 2))
-    keep = ["params", *[f"{m}_{s}" for m in metrics.CLASSIFICATION for s in ("mean", "std")]]
-    return rounded(wide.select(*keep), 4)
+    out = evaluate.shared_grid(p, "random_forest", evaluate.grid(evaluate.RANDOM_FOREST_GRID), folds.stratified_kfold(p.df, p.key, p.label, 5))
+    return rounded(out.drop("setting"), 4)
+
+
+@register("grid_search_logistic")
+def grid_search_logistic(spark, sf):
+    """The 45 settings of the one solver there is, on five folds of scaled rows."""
+    p = _customer_problem(spark, sf)
+    features = p.features(p.df)
+    p = Problem(encode.fit_standard(p.df, features).apply(p.df), p.key, p.label)
+    settings = evaluate.grid({**evaluate.LOGISTIC_GRID, "solver": ["lbfgs"]})
+    out = evaluate.shared_grid(p, "logistic_regression", settings, folds.stratified_kfold(p.df, p.key, p.label, 5))
+    return rounded(out.drop("setting"), 4)
 
 
 @register("forest_sweep")
 def forest_sweep(spark, sf):
-    """One parameter at a time around the defaults, on a small forest."""
+    """One parameter at a time around the defaults: nine settings, five folds, read off one forest a fold."""
     p = _part_problem(spark, sf)
     p = Problem(p.df.drop("p_type"), p.key, p.label)
-    settings = evaluate.one_at_a_time({"trees": 4, "max_depth": None, "min_split": 2}, {"max_depth": [3], "min_split": [15]})
-    models = {str(sorted(s.items())): evaluate.exact_forest(**s) for s in settings}
-    return _valid_means(evaluate.cross_validate(p, models, folds.kfold(p.df, p.key, 2), "sweep", None, "number"))
+    settings = evaluate.one_at_a_time(evaluate.SWEEP_DEFAULTS, evaluate.SWEEP_VALUES)
+    return rounded(evaluate.forest_sweep(p, settings, folds.kfold(p.df, p.key, 5)), 4)
+
 
+_HELD = f"{unit_hash_sql('c_custkey', 42)} < 0.2"
+_PLAIN = "select c_custkey as id, c_nationkey::double as a, c_acctbal as b, c_mktsegment as label from customer"
 
-@register("refit_best")
+
+@register(
+    "refit_best",
+    f"""with {_knn_grid_sql(f"{_PLAIN} where not ({_HELD})", "g")},
+    w as (select params, p, k, weights from {_KNN_POINTS} join g_means using (p, k, weights) order by round(f1_macro_mean, 9) desc, place limit 1),
+    n as (select x.id, x.label, y.label as other, y.id as oid, w.*, case when w.p = 1 then abs(x.a - y.a) + abs(x.b - y.b)
+      else sqrt((x.a - y.a) ** 2 + (x.b - y.b) ** 2) end as dist from ({_PLAIN} where {_HELD}) x, g_r y, w
+      qualify row_number() over (partition by x.id order by dist, y.id) <= w.k),
+    e as (select *, min(dist) over (partition by id) = 0 as exact from n),
+    v as (select params, id, label, other, sum(case when weights = 'uniform' or dist = 0 then 1.0::double when exact then 0.0 else 1.0 / dist end) as vote from e group by all),
+    c as (select params, label, other as pred from v qualify row_number() over (partition by id order by vote desc, other) = 1)
+    select any_value(params) as params, count(*) as n, round(avg(case when label = pred then 1.0 else 0.0 end), 6) as accuracy from c""",
+)
 def refit_best(spark, sf):
+    """The winner of the whole grid, fitted on all training rows and judged on the rows held out."""
     p = _customer_problem(spark, sf)
     split = folds.holdout(p.df, p.key)
     train, valid = split.filter("part = 'train'").drop("part"), split.filter("part = 'valid'").drop("part")
-    out = evaluate.refit_and_score(p, evaluate.random_forest, {"n_estimators": 20, "max_depth": 5}, train, valid)
-    return rounded(out, 6)
+    best, scores = evaluate.refit_winner(p, "knn", evaluate.grid(evaluate.KNN_GRID), train, valid)
+    out = scores.filter("metric = 'accuracy'").select(F.lit(evaluate.named(best)).alias("params"), F.lit(valid.count()).cast("long").alias("n"), F.round("value", 6).alias("accuracy"))
+    return out
+
+
+_NEW = f"{unit_hash_sql('o_orderkey', 42)} < 0.2"
 
 
 @register(
     "score_batch_keys",
-    f"select o_orderkey, true as labelled from orders where {unit_hash_sql('o_orderkey', 42)} < 0.2",
+    f"""with {_gini_ctes(f"(select * from orders where not ({_NEW}))", ["o_totalprice", "o_custkey"], "o_orderstatus", ("F", "O", "P"))},
+    b as (select col, threshold from g {_FIRST}),
+    s as (select o_orderkey, o_orderstatus as y, {_NEW} as held, case b.col when 'o_totalprice' then o_totalprice else o_custkey end <= b.threshold as side from orders, b),
+    c as (select side, y, count(*) as n from s where not held group by 1, 2),
+    m as (select side, y as prediction from c qualify row_number() over (partition by side order by n desc, y) = 1)
+    select o_orderkey, prediction from s join m using (side) where held""",
 )
 def score_batch_keys(spark, sf):
-    """Every row of the unlabelled part gets exactly one prediction."""
+    """A tuned model (here a single split) gives every row of the unlabelled part its class."""
     o = folds.holdout(table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_custkey", "o_orderstatus"), "o_orderkey")
     p = Problem(o, "o_orderkey", "o_orderstatus")
     train, new = o.filter("part = 'train'").drop("part"), o.filter("part = 'valid'").drop("part", "o_orderstatus")
-    scored = evaluate.score_batch(p, train, new, evaluate.random_forest(5, 3))
-    return scored.select("o_orderkey", F.col("prediction").isNotNull().alias("labelled"))
+    return evaluate.score_batch(p, train, new, evaluate.stump())
+
+
+def _best_forest(p, cut):
+    """The winner of the forest grid on the same folds."""
+    settings = evaluate.grid(evaluate.RANDOM_FOREST_GRID)
+    return evaluate.winner(evaluate.shared_grid(p, "random_forest", settings, cut), settings)
 
 
 @register("balancing_study")
 def balancing_study(spark, sf):
+    """The default forest on the rows as they are, on balanced rows, and the best forest on balanced rows; five folds."""
     o = table(spark, sf, "customer").withColumn("rich", (F.col("c_acctbal") > 8000).cast("string"))
-    p = Problem(o.select("c_custkey", "c_nationkey", "c_acctbal", "rich"), "c_custkey", "rich")
+    p = Problem(o.select("c_custkey", "c_nationkey", F.crc32("c_name").alias("name_code"), "rich"), "c_custkey", "rich")
     scale = lambda df: encode.fit_standard(df, p.features(df))
-    variants = {"plain": lambda: Steps([scale]), "smote": lambda: Steps([scale, evaluate.balanced(p)], {1})}
-    cut = folds.stratified_kfold(p.df, p.key, p.label, 2)
-    return _valid_means(evaluate.compare_variants(p, {"random_forest": MODELS["random_forest"]}, variants, cut))
+    plain, smote = (lambda: Steps([scale])), (lambda: Steps([scale, evaluate.balanced(p)], {1}))
+    cut = folds.stratified_kfold(p.df, p.key, p.label, 5)
+    default, best = evaluate.random_forest(), evaluate.random_forest(**_best_forest(p, cut))
+    scores = evaluate.compare_variants(p, {"default": default}, {"plain": plain, "smote": smote}, cut)
+    return _valid_means(scores.unionByName(evaluate.compare_variants(p, {"best": best}, {"smote": smote}, cut)))
 
 
 @register("feature_reduction_study")
 def feature_reduction_study(spark, sf):
-    t = table(spark, sf, "lineitem").withColumn("id", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
-    p = Problem(t.select("id", *LINE_NUM, "l_linenumber", "l_returnflag"), "id", "l_returnflag")
+    """All 64 columns of a vector, the 30 best ones, and those left when a family of names is dropped; five folds."""
+    e = table(spark, sf, "embeddings")
+    p = Problem(e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)], "label"), "vec_id", "label")
     variants = {
         "all": None,
-        "best_2": lambda: Steps([evaluate.k_best(p, 2)]),
-        "dropped": lambda: Steps([evaluate.without(["l_discount", "l_tax"])]),
+        "best_30": lambda: Steps([evaluate.k_best(p, 30)]),
+        "dropped": lambda: Steps([evaluate.without([f"e{i}" for i in range(40, 64)])]),
     }
-    cut = folds.kfold(p.df, p.key, 2)
-    return _valid_means(evaluate.compare_variants(p, {"logistic_regression": evaluate.logistic_regression(max_iter=20)}, variants, cut))
+    return _valid_means(evaluate.compare_variants(p, {"random_forest": MODELS["random_forest"]}, variants, folds.kfold(p.df, p.key, 5)))
 
 
 @register("utility_compare")
 def utility_compare(spark, sf):
-    """The same models on raw rows and on rows recoded inside each fold."""
+    """The same models and folds on raw rows, on rows recoded inside each fold, and on rows recoded before."""
     p = _customer_problem(spark, sf)
     p = Problem(p.df.withColumn("c_nationkey", F.col("c_nationkey").cast("string")), p.key, p.label)
     recode = lambda df: clusters.fit_clusters(df, p.key, ["c_acctbal"], ["c_nationkey"], 5, block_rows=500)
     make = lambda anonymizer: lambda: presets.anonymizing(("c_nationkey",), (p.key, p.label, "fold"), anonymizer)
-    variants = {"original": make(None), "anonymized": make(recode)}
-    models = {"random_forest": MODELS["random_forest"]}
-    return _valid_means(evaluate.compare_variants(p, models, variants, folds.kfold(p.df, p.key, 2)))
+    cut = folds.kfold(p.df, p.key, 5)
+    inside = evaluate.compare_variants(p, MODELS, {"original": make(None), "anonymized inside": make(recode)}, cut)
+    before = evaluate.materialize(recode(cut).publish(cut).drop("cluster_id"))
+    ready = Problem(before, p.key, p.label)
+    kept = lambda: presets.anonymizing(("c_nationkey",), (p.key, p.label, "fold"), already_anonymized=True)
+    return _valid_means(inside.unionByName(evaluate.compare_variants(ready, MODELS, {"anonymized before": kept}, before)))

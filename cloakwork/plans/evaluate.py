@@ -19,8 +19,9 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloakwork.operators import balance, metrics, nearest, select
+from cloakwork.operators import balance, forest, metrics, nearest, select
 from cloakwork.operators.encode import Mapping, Steps
+from cloakwork.operators.folds import stratified_kfold
 from cloakwork.operators.profile import fold_summary
 from cloakwork.operators.tree import fit_forest
 from cloakwork.roles import numeric_columns
@@ -92,15 +93,23 @@ def _classifier(make: Callable) -> Callable:
 
 
 def random_forest(
-    n_estimators: int = 100, max_depth: int | None = 5, max_features: str = "sqrt", seed: int = 42,
-    min_samples_leaf: int = 1, min_samples_split: float = 2,
+    n_estimators: int = 100, max_depth: int | None = None, max_features: int | float | str | None = "sqrt", seed: int = 42,
+    min_samples_leaf: float = 1, min_samples_split: float = 2,
 ) -> Callable:
-    """Spark ML forest.  It grows to a depth of 30 at most and has no least size of a split node; other settings
-    are refused rather than fitted as something else (the forest of ``operators.tree`` honours them)."""
-    if max_depth is None or max_depth > 30:
-        raise ValueError("the library forest grows to a depth of 30 at most")
-    if min_samples_split != 2:
-        raise ValueError("the library forest has no min_samples_split")
+    """The forest of ``operators.forest`` on gini gain; least sizes are counts, or shares of the training rows below 1."""
+
+    def fit(problem: Problem, train: DataFrame):
+        model = forest.fit(
+            train, problem.key, problem.features(train), problem.label, "class", n_estimators, max_depth,
+            min_samples_split, min_samples_leaf, max_features=max_features, seed=seed,
+        )
+        return model.predict
+
+    return fit
+
+
+def library_forest(n_estimators: int = 100, max_depth: int = 5, max_features: str = "sqrt", seed: int = 42, min_samples_leaf: int = 1) -> Callable:
+    """Spark ML forest, on approximate splits and to a depth of 30 at most."""
     make = lambda data: RandomForestClassifier(
         featuresCol="_x", labelCol="_y", numTrees=n_estimators, maxDepth=max_depth,
         featureSubsetStrategy=max_features, minInstancesPerNode=min_samples_leaf, seed=seed,
@@ -109,7 +118,12 @@ def random_forest(
 
 
 def logistic_regression(c: float = 1.0, max_iter: int = 1000, tol: float = 1e-4, solver: str = "lbfgs") -> Callable:
-    """L2 penalty of strength 1/C on the summed loss, unscaled features.  Spark has one solver for all names."""
+    """L2 penalty of strength 1/C on the summed loss, unscaled features, by limited-memory quasi-Newton steps.
+
+    Another solver minimises another function (its intercept is penalised, too) and is refused.
+    """
+    if solver != "lbfgs":
+        raise ValueError(f"no solver {solver}: choose lbfgs")
     make = lambda data: LogisticRegression(
         featuresCol="_x", labelCol="_y", maxIter=max_iter, tol=tol, elasticNetParam=0.0, standardization=False, regParam=1.0 / (c * data.count())
     )
@@ -159,6 +173,25 @@ def forest_regression(trees: int = 100, depth: int = 10, seed: int = 42) -> Call
     )
 
 
+def own_forest_regression(trees: int = 100, depth: int | None = None, min_split: float = 2, seed: int = 42) -> Callable:
+    """The forest of ``operators.forest`` on variance gain."""
+
+    def fit(problem: Problem, train: DataFrame):
+        model = forest.fit(train, problem.key, problem.features(train), problem.label, "number", trees, depth, min_split, seed=seed)
+        return model.predict
+
+    return fit
+
+
+def stump() -> Callable:
+    """A classification tree of one split, on all rows."""
+
+    def fit(problem: Problem, train: DataFrame):
+        return forest.fit(train, problem.key, problem.features(train), problem.label, trees=1, max_depth=1, bootstrap=False).predict
+
+    return fit
+
+
 def exact_forest(**options) -> Callable:
     """The exact-split forest of ``operators.tree``."""
 
@@ -291,6 +324,149 @@ def grid_search(
     return wide.orderBy(order, F.col("model").cast("int")), settings[int(best["model"])]
 
 
+# --- grids whose points share their work -------------------------------------------------
+
+
+def knn_predictions(problem: Problem, folds: DataFrame, settings: list[dict]) -> DataFrame:
+    """(setting, fold, label, prediction) of all kNN settings from one search per distance.
+
+    Every row looks for the largest ``k`` of neighbours among the rows of the other
+    folds, all folds in one search; smaller ``k`` are the first of these, and both
+    weightings count the same neighbours.
+    """
+    features = problem.features(folds)
+    power = [{"euclidean": 2.0, "manhattan": 1.0}.get(s["metric"], float(s["p"])) for s in settings]
+    label = F.col(problem.label).cast("string").alias("label")
+    rows = materialize(nearest.vectorize(folds, problem.key, features, "fold").join(folds.select(F.col(problem.key).alias("qid"), label), "qid"))
+    numbers = [r[0] for r in rows.select("g").distinct().collect()]  # a handful
+    others = F.explode(F.filter(F.array(*[F.lit(n) for n in sorted(numbers)]), lambda n: n != F.col("g")))
+    data = materialize(rows.select(F.col("qid").alias("did"), "v", others.alias("g")))
+    out = None
+    for p in sorted(set(power)):
+        mine = [i for i, x in enumerate(power) if x == p]
+        most = max(settings[i]["k"] for i in mine)
+        near = nearest.search(rows.select("qid", "v", "g"), data, nearest.Metric(p), most)
+        near = materialize(near.join(rows.select(F.col("qid").alias("did"), "label"), "did"))
+        shape = sorted({(settings[i]["k"], settings[i]["weights"]) for i in mine})
+        votes = nearest.votes(near, shape)
+        place = {i: shape.index((settings[i]["k"], settings[i]["weights"])) for i in mine}
+        each = F.explode(F.array(*[F.struct(F.lit(i).alias("setting"), F.col(f"p{j}").alias("prediction")) for i, j in place.items()])).alias("s")
+        found = votes.select("qid", each).select("qid", "s.*")
+        found = found.join(rows.select("qid", F.col("g").cast("int").alias("fold"), "label"), "qid").drop("qid")
+        out = found if out is None else out.unionByName(found)
+    return materialize(out.select("setting", "fold", "label", "prediction"))
+
+
+def forest_predictions(problem: Problem, folds: DataFrame, settings: list[dict], max_features: int | float | str | None = "sqrt", seed: int = 42) -> DataFrame:
+    """(setting, fold, label, prediction) of all forest settings from one forest per least leaf size and fold.
+
+    Numbers of trees, depths and least split sizes are read off the largest forest.
+    """
+    folds = materialize(folds)
+    numbers = sorted(r[0] for r in folds.select("fold").distinct().collect())  # a handful
+    leaves = sorted({s["min_samples_leaf"] for s in settings})
+
+    def one(job: tuple) -> DataFrame:
+        fold, leaf = job
+        train, valid = folds.filter(F.col("fold") != fold).drop("fold"), folds.filter(F.col("fold") == fold).drop("fold")
+        mine = [i for i, s in enumerate(settings) if s["min_samples_leaf"] == leaf]
+        trees, rows = max(settings[i]["n_estimators"] for i in mine), train.count()
+        model = forest.fit(train, problem.key, problem.features(train), problem.label, "class", trees, min_leaf=leaf, max_features=max_features, seed=seed)
+        shape = [(settings[i]["n_estimators"], settings[i]["max_depth"], forest.at_least(settings[i]["min_samples_split"], rows, 2)) for i in mine]
+        got = model.predict_settings(valid, shape)
+        names = F.array(*[F.lit(i) for i in mine])
+        return materialize(got.select(F.get(names, F.col("setting")).alias("setting"), F.lit(fold).alias("fold"), F.col(problem.label).cast("string").alias("label"), "prediction"))
+
+    with ThreadPoolExecutor(2) as pool:
+        parts = list(pool.map(one, product(numbers, leaves)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def forest_sweep(problem: Problem, settings: list[dict], folds: DataFrame, seed: int = 42) -> DataFrame:
+    """Mean and spread over the folds of the regression metrics, a row per setting (trees, max_depth, min_split).
+
+    One forest a fold answers all of them.
+    """
+    folds = materialize(folds)
+    numbers = sorted(r[0] for r in folds.select("fold").distinct().collect())  # a handful
+    shape = [(s["trees"], s["max_depth"], s["min_split"]) for s in settings]
+
+    def one(fold: int) -> DataFrame:
+        train, valid = folds.filter(F.col("fold") != fold).drop("fold"), folds.filter(F.col("fold") == fold).drop("fold")
+        model = forest.fit(train, problem.key, problem.features(train), problem.label, "number", max(s["trees"] for s in settings), seed=seed)
+        return materialize(model.predict_settings(valid, shape).select("setting", F.lit(fold).alias("fold"), problem.label, "prediction"))
+
+    with ThreadPoolExecutor(2) as pool:
+        parts = list(pool.map(one, numbers))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    by = ["setting", "fold"]
+    wide = metrics.regression_metrics(found, problem.label, "prediction", by).join(metrics.median_absolute_error(found, problem.label, "prediction", by), by)
+    names = ["mse", "rmse", "mae", "r2", "median_abs_error"]
+    sums = [f(F.col(m)).alias(f"{m}_{n}") for m in names for n, f in (("mean", F.avg), ("std", F.stddev_samp))]
+    params = problem.df.sparkSession.createDataFrame([(i, named(s)) for i, s in enumerate(settings)], "setting int, params string")
+    return materialize(wide.groupBy("setting").agg(*sums).join(params, "setting").drop("setting"))
+
+
+def model_predictions(problem: Problem, folds: DataFrame, make: Callable[..., Callable], settings: list[dict], parallelism: int = 4) -> DataFrame:
+    """(setting, fold, label, prediction) of settings that share nothing but the folds, cached once."""
+    folds = materialize(folds)
+    numbers = sorted(r[0] for r in folds.select("fold").distinct().collect())  # a handful
+    parts = {n: [materialize(folds.filter(F.col("fold") != n).drop("fold")), materialize(folds.filter(F.col("fold") == n).drop("fold"))] for n in numbers}
+
+    def one(job: tuple) -> DataFrame:
+        fold, i = job
+        train, valid = parts[fold]
+        got = make(**settings[i])(problem, train)(valid)
+        return materialize(got.select(F.lit(i).alias("setting"), F.lit(fold).alias("fold"), F.col(problem.label).cast("string").alias("label"), "prediction"))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(one, product(numbers, range(len(settings)))))
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+#: Predictions of a whole grid, by model.
+GRID_PREDICTIONS: dict[str, Callable[[Problem, DataFrame, list[dict]], DataFrame]] = {
+    "knn": knn_predictions,
+    "random_forest": forest_predictions,
+    "logistic_regression": lambda problem, folds, settings: model_predictions(problem, folds, logistic_regression, settings),
+}
+
+
+def named(setting: dict) -> str:
+    return ", ".join(f"{k}={v}" for k, v in sorted(setting.items()))
+
+
+def shared_grid(problem: Problem, model: str, settings: list[dict], folds: DataFrame) -> DataFrame:
+    """Mean and spread over the folds of every metric, a row per setting: (model, params, <metric>_mean, <metric>_std)."""
+    found = GRID_PREDICTIONS[model](problem, folds, settings)
+    wide = metrics.classification_metrics(found, "label", "prediction", ["setting", "fold"])
+    sums = [f(F.col(m)).alias(f"{m}_{n}") for m in metrics.CLASSIFICATION for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    names = problem.df.sparkSession.createDataFrame([(i, named(s)) for i, s in enumerate(settings)], "setting int, params string")
+    return materialize(wide.groupBy("setting").agg(*sums).join(names, "setting").withColumn("model", F.lit(model)))
+
+
+def winner(table: DataFrame, settings: list[dict], refit: str = "f1_macro") -> dict:
+    """The setting with the best mean, the first one on ties."""
+    best = table.orderBy(F.round(f"{refit}_mean", 9).desc(), "setting").first()
+    return settings[best["setting"]]
+
+
+def refit_winner(problem: Problem, model: str, settings: list[dict], train: DataFrame, valid: DataFrame, folds: int = 5, refit: str = "f1_macro") -> tuple[dict, DataFrame]:
+    """Search on the folds of the training rows, fit the winner on all of them, score it on the rest."""
+    table = shared_grid(problem, model, settings, stratified_kfold(train, problem.key, problem.label, folds))
+    best = winner(table, settings, refit)
+    make = {"knn": knn, "random_forest": random_forest, "logistic_regression": logistic_regression}[model]
+    return best, fit_score(problem, train, valid, make(**best))[0]
+
+
 def refit_and_score(problem: Problem, make, setting: dict, train: DataFrame, valid: DataFrame, kind: str = "class") -> DataFrame:
     return fit_score(problem, train, valid, make(**setting), None, kind)[0]
 

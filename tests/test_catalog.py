@@ -32,7 +32,7 @@ def test_query_matches_sql(spark, sf, duck, name):
 
 STUDIES = sorted(set(catalog.QUERIES) - set(catalog.ORACLES))
 # studies fit many models; the fast ones are enough here, bench and check runs cover the rest
-SLOW = {"cv_regression", "forest_sweep", "cv_compare", "grid_search", "utility_compare"}
+SLOW = {"cv_regression", "forest_sweep", "cv_compare", "grid_search_forest", "grid_search_logistic", "utility_compare", "balancing_study", "feature_reduction_study"}
 
 
 @pytest.mark.parametrize("name", [n for n in STUDIES if n not in SLOW])
