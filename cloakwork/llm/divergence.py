@@ -33,7 +33,7 @@ from cloakwork.session import materialize
 
 LEAST, TOP = 10, 10
 UNIT = 1_000_000_000
-HELD, HELD_WORDS = 4_000_000, 400_000  # occurrences that a task keeps before it adds them up, and different words
+HELD, HELD_WORDS = 5_000_000, 700_000  # occurrences that a task keeps before it adds them up, and different words
 HELD_BYTES = 1 << 25  # of these words
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
