@@ -102,12 +102,6 @@ def list_key(c: Column | str, sep: str = "|") -> Column:
     return F.when(c.isNull() | (F.size(c) == 0), F.lit("missing")).otherwise(F.array_join(c, sep))
 
 
-def decode_span(labels: Column, lo: Column | str, hi: Column | str, sep: str = "~") -> Column:
-    """Labels of the codes lo..hi joined, given the labels in code order."""
-    lo, hi = _c(lo).cast("int"), _c(hi).cast("int")
-    return F.array_join(F.slice(labels, lo + 1, hi - lo + 1), sep)
-
-
 def cluster_interval(lo: Column | str, hi: Column | str) -> Column:
     """``[a - b]`` text of a cluster range, the bare value when it has no width."""
     lo, hi = _c(lo), _c(hi)

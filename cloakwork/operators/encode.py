@@ -143,12 +143,15 @@ class Codes:
         t = self.tables[col].select(F.col("value").alias(out), F.col("code").alias("_code"))
         return df.join(t, q(col) == F.col("_code"), "left").drop("_code")
 
-    def labels(self, col: str, most: int = 2000) -> Column:
-        """All labels of a column in code order as one literal array (checked size)."""
-        rows = self.tables[col].orderBy("code").limit(most + 1).collect()
-        if len(rows) > most:
-            raise ValueError(f"{col} has more than {most} labels; use decode")
-        return F.array(*[F.lit(r["value"]) for r in rows])
+    def decode_spans(self, df: DataFrame, col: str, lo: str, hi: str, out: str, sep: str = "~") -> DataFrame:
+        """Add the labels of the codes lo..hi, joined in code order; each distinct span is spelled once."""
+        spans = df.select(F.col(lo).cast("long").alias("_lo"), F.col(hi).cast("long").alias("_hi")).filter("_lo <= _hi").distinct()
+        each = spans.withColumn("_code", F.explode(F.sequence("_lo", "_hi")))
+        each = each.join(self.tables[col].select(F.col("code").alias("_code"), "value"), "_code")
+        listed = F.array_sort(F.collect_list(F.struct("_code", "value")))
+        texts = each.groupBy("_lo", "_hi").agg(F.array_join(F.transform(listed, lambda s: s["value"]), sep).alias(out))
+        met = df.join(texts, (F.col(lo).cast("long") == F.col("_lo")) & (F.col(hi).cast("long") == F.col("_hi")), "left")
+        return met.drop("_lo", "_hi")
 
 
 def _dictionary(values: DataFrame, order: list) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakwork.functions.scalar import decode_span, format_interval
+from cloakwork.functions.scalar import format_interval
 from cloakwork.operators import encode
 from cloakwork.operators.mondrian import Classes, mondrian, ncp_percent
 from cloakwork.roles import AnonSpec
@@ -33,12 +33,12 @@ def global_anonymize(df: DataFrame, spec: AnonSpec, key: str, interval_format: s
     codes = encode.fit_first_codes(df, list(spec.categorical), key)
     coded = codes.apply(spec.project(df, keep=(key,) if key not in spec.qi else ()))
     classes = mondrian(coded, list(spec.qi), spec.k, spec.strict)
-    boxes = classes.generalize(coded, key)
-    texts = []
+    boxes, texts = classes.generalize(coded, key), []
     for c in spec.qi:
         lo, hi = f"{c}_min", f"{c}_max"
         if c in spec.categorical:
-            texts.append(decode_span(codes.labels(c), lo, hi, spec.delimiter).alias(c))
+            boxes = codes.decode_spans(boxes, c, lo, hi, f"{c}__text", spec.delimiter)
+            texts.append(F.col(f"{c}__text").alias(c))
         else:
             texts.append(format_interval(lo, hi, interval_format, spec.delimiter).alias(c))
     rows = boxes.select(*texts, spec.sa)

@@ -341,21 +341,47 @@ def bootstrap_sizes(spark, sf):
 _PART_FEATURES = ["p_size", "p_partkey"]
 
 
-@register("forest_regress")
-def forest_regress(spark, sf):
+def _fit_error(spark, sf, **options):
+    """Error of a forest of a hundred trees on its own rows."""
     part = table(spark, sf, "part")
-    forest = tree.fit_forest(part, "p_partkey", _PART_FEATURES, "p_retailprice", trees=10, max_depth=8, min_split=5)
-    scored = forest.predict(part.select("p_partkey", "p_size", "p_retailprice"))
+    fitted = forest.fit(part, "p_partkey", _PART_FEATURES, "p_retailprice", "number", **options)
+    scored = fitted.predict(part.select("p_partkey", "p_size", "p_retailprice"))
     return rounded(metrics.regression_metrics(scored, "p_retailprice", "prediction"))
 
 
+@register("forest_regress")
+def forest_regress(spark, sf):
+    return _fit_error(spark, sf, trees=100)
+
+
 @register("forest_standalone")
 def forest_standalone(spark, sf):
     """Feature subsets per node and a minimum gain."""
+    return _fit_error(spark, sf, trees=100, max_features="sqrt", min_gain=0.01)
+
+
+_MELTED = " union all ".join(f"select t, {i} as pos, {c}::double as v, w, y, w * y as wy from d" for i, c in enumerate(_PART_FEATURES))
+
+
+@register(
+    "forest_stumps",
+    f"""with u as (select p_partkey, p_size, t, p_retailprice as price, p_retailprice - (select avg(p_retailprice) from part) as y, {_DRAW} as u from part, range(20) r(t)),
+    cdf as (select sum(p) over (order by i) as c from (select i, exp(-1.0) / factorial(i::int) as p from range(12) x(i))),
+    d as (select * from (select *, (select count(*) from cdf where u >= c) as w from u) where w > 0),
+    f as (select t, pos, v, sum(w) as n, sum(wy) as s from ({_MELTED}) group by 1, 2, 3),
+    r as (select *, sum(n) over p as ln, sum(s) over p as ls, sum(n) over a as tn, sum(s) over a as ts, lead(v) over p as nv from f
+      window p as (partition by t, pos order by v), a as (partition by t, pos)),
+    g as (select t, pos, (v + nv) / 2 as threshold, (ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) - ts * ts / tn) / tn as gain, ls / ln as l, (ts - ls) / (tn - ln) as h
+      from r where nv is not null),
+    b as (select * from g qualify row_number() over (partition by t order by round(gain, 12) desc, pos, threshold) = 1)
+    select p_partkey, round(avg(case when case pos when 0 then p_size else p_partkey end <= threshold then l else h end) + (select avg(p_retailprice) from part), 4) as prediction
+    from part, b group by 1""",
+)
+def forest_stumps(spark, sf):
+    """Twenty trees of one split, each on its own draw of the rows."""
     part = table(spark, sf, "part")
-    forest = tree.fit_forest(part, "p_partkey", _PART_FEATURES, "p_retailprice", trees=5, max_features=1, min_gain=0.01)
-    scored = forest.predict(part.select("p_partkey", "p_size", "p_retailprice"))
-    return rounded(metrics.regression_metrics(scored, "p_retailprice", "prediction"))
+    fitted = forest.fit(part, "p_partkey", _PART_FEATURES, "p_retailprice", "number", 20, 1)
+    return rounded(fitted.predict(part.select("p_partkey", "p_size")).select("p_partkey", "prediction"))
 
 
 # --- studies ---------------------------------------------------------------------------

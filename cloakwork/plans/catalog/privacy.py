@@ -4,11 +4,13 @@ from pyspark.sql import functions as F
 
 from cloakwork.operators import clusters, cost, hierarchy, mondrian
 from cloakwork.operators.profile import bounds_of
+from cloakwork.functions.hashing import unit_hash_sql
 from cloakwork.plans.anonymize import global_anonymize, run_summary
 from cloakwork.plans.catalog import register
 from cloakwork.plans.catalog.common import rounded
+from cloakwork.plans.prepare import Recipe, prepare
 from cloakwork.roles import AnonSpec
-from cloakwork.sources.tables import table
+from cloakwork.sources.tables import parse_microdata, table
 
 CUSTOMER = AnonSpec(
     qi=("c_nationkey", "c_acctbal"), sa="c_mktsegment", identifiers=("c_custkey", "c_name"), k=5
@@ -202,35 +204,140 @@ def mondrian_strict_lineitem(spark, sf):
     return mondrian.mondrian(table(spark, sf, "lineitem"), [*LINE_QI, "l_extendedprice"], 10).table()
 
 
-@register(
-    "mondrian_class_sizes",
-    """select true as all_at_least_k, count(*) as n_rows, cast(count(distinct c_nationkey) as bigint) as n_nations from customer""",
-)
+_STRICT = _recursive_splits("customer", "c_nationkey", "c_acctbal", 5, True)
+
+
+@register("mondrian_class_sizes", f"select n as size, count(*) as classes from ({_STRICT}) group by 1")
 def mondrian_class_sizes(spark, sf):
+    """How many classes have how many rows, every row labelled."""
     c = table(spark, sf, "customer")
     labelled = mondrian.mondrian(c, list(CUSTOMER.qi), 5).label(c, "c_custkey")
-    sizes = labelled.groupBy("ec_id").agg(F.count(F.lit(1)).alias("n"))
-    nations = labelled.select("c_nationkey").distinct().count()
-    rows = sizes.agg(F.min(F.col("n") >= 5).alias("all_at_least_k"), F.sum("n").alias("n_rows"))
-    return rows.withColumn("n_nations", F.lit(nations).cast("bigint"))
+    sizes = labelled.groupBy("ec_id").agg(F.count(F.lit(1)).alias("size"))
+    return sizes.groupBy("size").agg(F.count(F.lit(1)).alias("classes"))
+
+
+def _whole(lo, hi):
+    """The text of a range in whole numbers."""
+    one = lambda v: f"cast(cast(trunc({v}) as bigint) as varchar)"
+    return f"case when {lo} = {hi} then {one(lo)} else {one(lo)} || '~' || {one(hi)} end"
 
 
-@register("global_anonymize")
+@register(
+    "global_anonymize",
+    f"""select {_whole("c_nationkey_min", "c_nationkey_max")} as c_nationkey, {_whole("c_acctbal_min", "c_acctbal_max")} as c_acctbal, c_mktsegment
+    from customer join ({_STRICT}) on c_nationkey between c_nationkey_min and c_nationkey_max and c_acctbal between c_acctbal_min and c_acctbal_max""",
+)
 def global_anonymize_query(spark, sf):
     """Rows of the anonymized customer table: generalized texts, then the sensitive attribute."""
     return global_anonymize(table(spark, sf, "customer"), CUSTOMER, "c_custkey").rows
 
 
-@register("global_anonymize_categorical")
+_CODED_PART = """(select p_partkey, p_retailprice, t.code as p_type, p_size from part
+  join (select p_type as v, row_number() over (order by min(p_partkey)) - 1 as code from part group by 1) as t on v = p_type)"""
+
+
+@register(
+    "global_anonymize_categorical",
+    f"""with t as (select p_type as v, row_number() over (order by min(p_partkey)) - 1 as code from part group by 1),
+    k as ({_recursive_splits(_CODED_PART, "p_type", "p_size", 10, True)}),
+    s as (select k.ec_id, string_agg(v, '~' order by code) as types from k join t on code between p_type_min and p_type_max group by 1)
+    select s.types as p_type, {_whole("p_size_min", "p_size_max")} as p_size, p_retailprice
+    from {_CODED_PART} as p join k on p.p_type between p_type_min and p_type_max and p.p_size between p_size_min and p_size_max join s using (ec_id)""",
+)
 def global_anonymize_categorical(spark, sf):
-    spec = AnonSpec(qi=("p_type", "p_brand", "p_size"), sa="p_retailprice", categorical=("p_type", "p_brand"), k=10)
+    spec = AnonSpec(qi=("p_type", "p_size"), sa="p_retailprice", categorical=("p_type",), k=10)
     return global_anonymize(table(spark, sf, "part"), spec, "p_partkey").rows
 
 
-@register("global_anonymize_summary")
+@register(
+    "global_anonymize_summary",
+    f"""with r as (select (max(c_nationkey) - min(c_nationkey))::double as rn, max(c_acctbal) - min(c_acctbal) as ra from customer)
+    select 'customer' as dataset, round(100 * sum(n * ((c_nationkey_max - c_nationkey_min) / rn + (c_acctbal_max - c_acctbal_min) / ra)) / (2 * sum(n)), 6) as ncp_percent,
+      count(*) as n_classes, cast(sum(n) as bigint) as n_records, 2 as n_qi, 'c_mktsegment' as sa, 5 as k from ({_STRICT}), r""",
+)
 def global_anonymize_summary(spark, sf):
     result = global_anonymize(table(spark, sf, "customer"), CUSTOMER, "c_custkey")
-    return run_summary([("customer", result, CUSTOMER)], spark).drop("seconds")
+    return rounded(run_summary([("customer", result, CUSTOMER)], spark).drop("seconds"), 6)
+
+
+# --- preparing microdata --------------------------------------------------------------
+
+
+def _first_codes(src, col, key):
+    return f"(select {col} as v, row_number() over (order by min({key})) - 1 as code from {src} group by 1)"
+
+
+_FIFTH = f"(select * from part where {unit_hash_sql('p_partkey', 42)} < 0.2)"
+
+
+@register(
+    "prepare_sampled",
+    f"select p_partkey, code as p_type, p_size::double as p_size, p_retailprice, p_brand from {_FIFTH} join {_first_codes(_FIFTH, 'p_type', 'p_partkey')} on v = p_type",
+)
+def prepare_sampled(spark, sf):
+    """A sample of rows; the listed categories are coded."""
+    recipe = Recipe("p_brand", ("p_name",), ("p_type",), share=0.2)
+    return prepare(table(spark, sf, "part"), recipe, "p_partkey").rows
+
+
+_NOISY = "select c_custkey, c_nationkey, case when c_custkey % 5 = 0 then 'x' || c_custkey else cast(c_acctbal as varchar) end as balance, c_mktsegment from customer"
+
+
+def _noisy(spark, sf):
+    c = table(spark, sf, "customer")
+    balance = F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit("x"), F.col("c_custkey").cast("string"))).otherwise(F.col("c_acctbal").cast("string"))
+    return c.select("c_custkey", "c_nationkey", balance.alias("balance"), "c_mktsegment")
+
+
+@register("prepare_zeroed", f"select c_custkey, c_nationkey::double as c_nationkey, coalesce(try_cast(balance as double), 0) as balance, c_mktsegment from ({_NOISY})")
+def prepare_zeroed(spark, sf):
+    """All columns are numbers; what is none counts 0."""
+    return prepare(_noisy(spark, sf), Recipe("c_mktsegment", zero=True), "c_custkey").rows
+
+
+@register(
+    "prepare_detected",
+    f"""select o_orderkey, code as o_orderstatus, o_totalprice, o_orderpriority from orders
+    join {_first_codes("orders", "o_orderstatus", "o_orderkey")} on v = o_orderstatus""",
+)
+def prepare_detected(spark, sf):
+    """Columns of fewer than ten values are coded."""
+    recipe = Recipe("o_orderpriority", ("o_custkey", "o_orderdate"), exempt=("o_totalprice",), few=10)
+    return prepare(table(spark, sf, "orders"), recipe, "o_orderkey").rows
+
+
+@register(
+    "prepare_texts",
+    f"""with h as (select * from customer where {unit_hash_sql('c_custkey', 42)} < 0.05)
+    select c_custkey, code as c_name, c_nationkey::double as c_nationkey, c_acctbal, c_mktsegment from h join {_first_codes("h", "c_name", "c_custkey")} on v = c_name""",
+)
+def prepare_texts(spark, sf):
+    """All text columns are coded."""
+    return prepare(table(spark, sf, "customer"), Recipe("c_mktsegment", texts=True, share=0.05), "c_custkey").rows
+
+
+@register(
+    "prepare_mixed",
+    f"""with n as ({_NOISY}), d as (select balance as v, row_number() over (order by min(c_custkey)) - 1 as code from n where try_cast(balance as double) is null group by 1)
+    select c_custkey, c_nationkey::double as c_nationkey, coalesce(try_cast(balance as double), code::double) as balance, c_mktsegment from n left join d on v = balance""",
+)
+def prepare_mixed(spark, sf):
+    """Numbers stay, other texts of the same column get codes."""
+    return prepare(_noisy(spark, sf), Recipe("c_mktsegment"), "c_custkey").rows
+
+
+@register(
+    "microdata_codes",
+    """select 'segment' as "column", row_number() over (order by min(c_custkey)) - 1 as code, c_mktsegment as value from customer where c_custkey % 7 <> 3 group by 3
+    union all select 'name', row_number() over (order by min(c_custkey)) - 1, c_name from customer where c_custkey % 7 <> 3 group by 3""",
+)
+def microdata_codes(spark, sf):
+    """The code lists that a scan of delimited lines leaves; lines with an empty field are skipped."""
+    c = table(spark, sf, "customer")
+    name = F.when(F.col("c_custkey") % 7 == 3, "").otherwise(F.col("c_name"))
+    lines = c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), name, "c_mktsegment", F.col("c_nationkey").cast("string")).alias("value"))
+    rows = parse_microdata(lines, {"id": (0, "number"), "name": (1, "category"), "segment": (2, "category")}, ("nation", 3))
+    return prepare(rows, Recipe("nation", categorical=("name", "segment")), "id").code_table()
 
 
 # --- category trees -------------------------------------------------------------------

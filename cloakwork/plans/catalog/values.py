@@ -236,7 +236,7 @@ def decode_codes(spark, sf):
     part = table(spark, sf, "part")
     codes = encode.fit_first_codes(part, ["p_type"], "p_partkey")
     box = codes.apply(part).groupBy("p_brand").agg(F.min("p_type").alias("lo"), F.max("p_type").alias("hi"))
-    return box.select("p_brand", s.decode_span(codes.labels("p_type"), "lo", "hi").alias("types"))
+    return codes.decode_spans(box, "p_type", "lo", "hi", "types").select("p_brand", "types")
 
 
 @register(
