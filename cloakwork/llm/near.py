@@ -16,10 +16,12 @@ text has are counted; they bound what a text can share with any partner, and tex
 cannot reach the threshold with anyone leave.  In a few turns every text is compared
 with one leader of another class: that of the buckets it shares most with one leader.
 Links found that way join a group of any size with a few comparisons per text.  Then
-only buckets that still hold several classes are looked at: their pairs of different
-classes that the bound allows are candidates, those whose registers put them ``SLACK``
-below the threshold (over five standard errors) go, and the rest is verified by the
-overlap of the multisets.
+only texts in buckets that still hold several classes are looked at: their shingles are
+put in order of rarity, and as a pair above the threshold shares one of the first fifth
+of each side's (less one, and what only one class has cannot be shared), pairs are
+formed where two texts of different classes have such a shingle in common.  Pairs whose
+registers put them ``SLACK`` below the threshold (over five standard errors) go, and the
+rest is verified by the overlap of the multisets.
 
 A pair of the threshold similarity is missed by all bands with a probability of
 (1 - 0.8^6)^36 = 2e-5.
@@ -34,7 +36,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cloakwork.llm.common import guarded, hidden, register, same, shown, table, text_key
@@ -152,26 +156,42 @@ def chunks(values: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(values)
 
 
-SIGNED = "n long, bands array<long>, sketch array<long>"
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Stretches of batches of about CHUNK bytes of text, and their texts."""
+    for batch in batches:
+        text = batch.column("text").cast(pa.binary())
+        size = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False) + 1) // CHUNK
+        for first in np.flatnonzero(np.diff(size, prepend=-1)):
+            n = int((size == size[first]).sum())
+            yield batch.slice(first, n), [x or b"" for x in text.slice(first, n).to_pylist()]
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    """A matrix as an array of lists."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+
 
+SIGNED = "k1 long, k2 long, n long, bands array<long>, sketch array<long>"
 
-def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size, bands and sketch of each text, from rows (k1, k2, text); a chunk at a time."""
     place = mix(np.arange(701, 701 + ROWS, dtype=np.uint64) * _GOLD) | np.uint64(1)
-    for batch in batches:
-        values = [(x or "").encode("utf-8", "surrogatepass") for x in batch]
-        rows = []
-        for a, b in chunks(values):
-            doc, sh, count = shingles(values[a:b])
-            bits = registers(doc, sh, count, b - a).view(np.uint64)
-            sizes = np.bincount(doc, weights=count, minlength=b - a).astype(np.int64)
-            bands = (bits.reshape(b - a, BANDS, ROWS) * place).sum(axis=2, dtype=np.uint64)
-            bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD).view(np.int64)
-            # a byte per register, seven to an integer that is never negative
-            sketch = np.zeros((b - a, PACKED * 7), np.uint64)
-            sketch[:, : BANDS * ROWS] = mix(bits) >> np.uint64(56)
-            sketch = (sketch.reshape(b - a, PACKED, 7) << (np.arange(7, dtype=np.uint64) * np.uint64(8))).sum(axis=2, dtype=np.uint64).view(np.int64)
-            rows += [(int(s), w if s else [], k) for s, w, k in zip(sizes, bands, sketch, strict=True)]
-        yield pd.DataFrame(rows, columns=["n", "bands", "sketch"])
+    for part, values in _slices(batches):
+        texts = len(values)
+        doc, sh, count = shingles(values)
+        bits = registers(doc, sh, count, texts).view(np.uint64)
+        sizes = np.bincount(doc, weights=count, minlength=texts).astype(np.int64)
+        bands = (bits.reshape(texts, BANDS, ROWS) * place).sum(axis=2, dtype=np.uint64)
+        bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD).view(np.int64)
+        # a byte per register, seven to an integer that is never negative
+        sketch = np.zeros((texts, PACKED * 7), np.uint64)
+        sketch[:, : BANDS * ROWS] = mix(bits) >> np.uint64(56)
+        sketch = (sketch.reshape(texts, PACKED, 7) << (np.arange(7, dtype=np.uint64) * np.uint64(8))).sum(axis=2, dtype=np.uint64).view(np.int64)
+        ends = np.append(0, np.cumsum(np.where(sizes > 0, BANDS, 0))).astype(np.int32)  # no words, no bands
+        kept = pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[sizes > 0].ravel()))
+        columns = [part.column("k1"), part.column("k2"), pa.array(sizes), kept, _lists(sketch)]
+        yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "n", "bands", "sketch"])
 
 
 def _agreement(x: str, y: str) -> Column:
@@ -205,13 +225,13 @@ def overlap(a: list[bytes], b: list[bytes]) -> list[float]:
     return out
 
 
-def _tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in batches:
-        values, out = [(x or "").encode("utf-8", "surrogatepass") for x in batch], []
-        for a, b in chunks(values):
-            token, ends = tokens(values[a:b])
-            out += [token[ends[i] : ends[i + 1]].view(np.int64) for i in range(b - a)]
-        yield pd.Series(out)
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (k, root, token) from rows (k, root, text); a chunk at a time."""
+    for part, values in _slices(batches):
+        token, ends = tokens(values)
+        owner = pa.array(np.repeat(np.arange(len(values)), np.diff(ends)))
+        columns = [part.column("k").take(owner), part.column("root").take(owner), pa.array(token.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["k", "root", "token"])
 
 
 def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -260,14 +280,39 @@ def _allowed(similarity: float) -> Column:
     return most >= similarity * (F.col("x.n") + F.col("y.n") - most)
 
 
+def _exploded(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """(k, root, token) of the texts in ``roots`` (k, root), as a written table."""
+    key = "struct<k1:long,k2:long>"
+    return materialize(texts.join(roots, "k").select("k", "root", "text").mapInArrow(_tokens, f"k {key}, root {key}, token long"))
+
+
 def _unshared(texts: DataFrame, roots: DataFrame) -> DataFrame:
     """(k, own): how many tokens of each text in ``roots`` (k, root) no text of another root in it has."""
-    each = texts.join(roots, "k").select("k", "root", F.explode(F.pandas_udf(_tokens, "array<long>")("text")).alias("token"))
-    each = materialize(each)
+    each = _exploded(texts, roots)
     lone = each.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 = r1").select("token")
     return each.join(lone, "token").groupBy("k").agg(F.count(F.lit(1)).alias("own"))
 
 
+def _rare_pairs(left: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the pairs of different roots that share one of their rarest tokens, each once.
+
+    Of n tokens a pair of the similarity shares at least similarity * n, so with tokens
+    in one order, one of the first n - ceil(similarity * n) + 1 of either side is
+    shared.  Rare tokens stand first, and those of one root alone form no pair.
+    """
+    each = _exploded(texts, left.select("k", "root").distinct())
+    known = each.groupBy("token").agg(F.count(F.lit(1)).alias("f"), (F.min("root") == F.max("root")).alias("lone"))
+    of, place = Window.partitionBy("k"), Window.partitionBy("k").orderBy("f", "token")
+    rows = each.join(known, "token").withColumns({"n": F.count(F.lit(1)).over(of), "own": F.count_if("lone").over(of), "at": F.row_number().over(place)})
+    need = F.ceil(similarity * F.col("n") - 1e-9)
+    first = rows.filter((F.col("n") - F.col("own") >= need) & (F.col("at") <= F.col("n") - need + 1) & ~F.col("lone"))
+    first = materialize(first.select("k", "root", "n", "token"))
+    x, y = first.alias("x"), first.alias("y")
+    met = x.join(y, F.col("x.token") == F.col("y.token")).filter("x.k < y.k and x.root <> y.root")
+    met = met.filter((F.col("x.n") >= similarity * F.col("y.n")) & (F.col("y.n") >= similarity * F.col("x.n")))
+    return materialize(met.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct())
+
+
 def _bounded(left: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Add ``most``, the tokens that a text can share with texts of other roots; texts that cannot reach anyone leave."""
     own = _unshared(texts, left.select("k", "root").distinct())
@@ -298,8 +343,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     table gives an empty one.
     """
     ids = docs.select(F.col(key).alias("doc_id"), *text_key(text))
-    uniq = docs.select(*text_key(text), F.pandas_udf(_signed, SIGNED)(text).alias("s")).dropDuplicates(["k1", "k2"])
-    uniq = materialize(uniq.select(F.struct("k1", "k2").alias("k"), "s.*"))
+    uniq = docs.select(*text_key(text), F.col(text).alias("text")).mapInArrow(_signed, SIGNED).dropDuplicates(["k1", "k2"])
+    uniq = materialize(uniq.select(F.struct("k1", "k2").alias("k"), "n", "bands", "sketch"))
     bands = uniq.select("k", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band")
     members = materialize(bands.join(buckets, "band", "left_semi"))
@@ -320,15 +365,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
         left = left.drop("root").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
         mixed = left.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
         left = materialize(left.join(mixed, "band", "left_semi"))
-    left = _bounded(left.drop("most"), texts, similarity)
-    left = left.join(uniq.select("k", "bands", "sketch"), "k").withColumn("at", F.array_position("bands", F.col("band")))
-    x, y = left.alias("x"), left.alias("y")
-    met = x.join(y, F.col("x.band") == F.col("y.band")).filter("x.k < y.k and x.root <> y.root")
-    met = met.filter(_allowed(similarity)).filter(_agreement("x.sketch", "y.sketch") >= similarity - SLACK)
-    before = F.lit(False)  # a pair is formed in the first bucket that it shares
-    for i in range(BANDS - 1):
-        before = before | ((F.col("x.at") > i + 1) & (F.get("x.bands", F.lit(i)) == F.get("y.bands", F.lit(i))))
-    pairs = materialize(met.filter(~before).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")))
+    pairs = _rare_pairs(left, texts, similarity)
     more = linked(pairs, texts, sketches, similarity)
     roots = components(links.union(more))
     flat = roots.select(F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2"), "root")
