@@ -26,6 +26,7 @@ from collections import Counter
 from collections.abc import Collection, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ NEAR = 8
 DISCLOSURE = 0.95
 SUPPORT = 2
 HELD = 200_000  # terms counted by a task before it passes them on
+SENT = 20_000  # (text, term) rows passed on together
 TOLD = 50_000  # disclosing words that are sent to the tasks as a set
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -116,61 +118,78 @@ def _longs(words: pd.Series) -> pd.Series:
     return words.map(_long)
 
 
-def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+EVIDENCE = "entity long, term long, k1 long, n long"
+
+
+def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (entity, term, k1, n): an entity (term null), a term count (entity null)."""
+    names = [c.split()[0] for c in EVIDENCE.split(", ")]
     counted: Counter = Counter()
-    names = ["entity", "term", "k1", "n"]
 
-    def flush() -> pd.DataFrame:
-        out = pd.DataFrame([(None, _long(t), None, n) for t, n in counted.items()], columns=names, dtype=object)
+    def terms() -> pa.RecordBatch:
+        term, n = pa.array([_long(t) for t in counted], pa.int64()), pa.array(list(counted.values()), pa.int64())
+        none = pa.nulls(len(counted), pa.int64())
         counted.clear()
-        return out
+        return pa.RecordBatch.from_arrays([none, term, none, n], names)
 
     for batch in batches:
-        rows = []
-        for k1, text in zip(batch["k1"], batch["text"], strict=True):
-            text = text or ""
-            counted.update({w.lower() for w in _TERM.findall(text)})
+        entities, keys = [], []
+        for k1, text in zip(batch.column("k1"), batch.column("text"), strict=True):
+            text = text.as_py() or ""
+            spans = base_spans(text)
+            counted.update({m[0].lower() for m in outside(text, spans)})
             if len(counted) > HELD:
-                yield flush()
-            rows += [(_long(e), None, k1, 1) for e in {f"{KINDS[k]}:{text[a:b].lower()}" for k, a, b in base_spans(text)}]
-        if rows:
-            yield pd.DataFrame(rows, columns=names, dtype=object)  # 64-bit hashes beside nulls
+                yield terms()
+            own = {f"{KINDS[k]}:{text[a:b].lower()}" for k, a, b in spans}
+            entities += map(_long, own)
+            keys += [k1.as_py()] * len(own)
+        if keys:
+            columns = [pa.array(entities, pa.int64()), pa.nulls(len(keys), pa.int64()), pa.array(keys, pa.int64()), pa.array([1] * len(keys), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names)
     if counted:
-        yield flush()
+        yield terms()
 
 
-def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (k1, word): the distinct terms of each text outside its values."""
+    words, keys = [], []
+
+    def send() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(words, pa.string())], ["k1", "word"])
+        words.clear()
+        keys.clear()
+        return out
+
     for batch in batches:
-        rows = []
-        for k1, text in zip(batch["k1"], batch["text"], strict=True):
-            text = text or ""
-            rows += [(k1, w) for w in {m[0].lower() for m in outside(text, base_spans(text))}]
-            if len(rows) > HELD:
-                yield pd.DataFrame(rows, columns=["k1", "word"])
-                rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=["k1", "word"])
+        for k1, text in zip(batch.column("k1"), batch.column("text"), strict=True):
+            text = text.as_py() or ""
+            own = {m[0].lower() for m in outside(text, base_spans(text))}
+            words += own
+            keys += [k1.as_py()] * len(own)
+            if len(words) > SENT:
+                yield send()
+    if words:
+        yield send()
 
 
 def disclosing(docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """(word): the distinct terms that disclose an entity; written."""
     rows = docs.select(text_key(text)[0], F.col(text).alias("text"))
-    seen = materialize(rows.mapInPandas(_evidence, "entity long, term long, k1 long, n long"))
+    seen = materialize(rows.mapInArrow(_evidence, EVIDENCE))
     total = docs.count()
     held = materialize(seen.filter("term is null").groupBy("entity", "k1").agg(F.sum("n").alias("n")))
     entities = held.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
     entities = materialize(entities.filter(F.col("texts") >= support).drop("texts"))
     held = materialize(held.join(guarded(entities.select("entity"), entities.count()), "entity", "left_semi"))
     texts = materialize(held.select("k1").distinct())
-    words = rows.join(guarded(texts, texts.count()), "k1", "left_semi").mapInPandas(_terms, "k1 long, word string").distinct()
+    words = rows.join(guarded(texts, texts.count()), "k1", "left_semi").mapInArrow(_terms, "k1 long, word string").distinct()
     pairs = held.join(words, "k1").groupBy("entity", "word").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"))
     pairs = pairs.filter(F.col("texts") >= support)
     pairs = materialize(pairs.withColumn("term", F.pandas_udf(_longs, "long")("word")))
     asked = materialize(pairs.select("term").distinct())
-    counts = seen.filter("entity is null").select("term", "n").join(guarded(asked, asked.count()), "term", "left_semi")
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n_term"))
+    # added up before the join: a task's counts are many rows per term, the sums are one
+    counts = seen.filter("entity is null").groupBy("term").agg(F.sum("n").alias("n_term"))
+    counts = counts.join(guarded(asked, asked.count()), "term", "left_semi")
     told = pairs.join(counts, "term").join(entities, "entity")
     information = F.log2(F.lit(float(total)) / F.col("n_entity"))
     shared = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
@@ -225,7 +244,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
             return _report((texts, [every.value] * len(texts)) for texts in batches)
 
         return df.withColumn("_r", F.pandas_udf(report, SCHEMA)(text)).select("*", "_r.*").drop("_r")
-    rows = docs.select(text_key(text)[0], F.col(text).alias("text")).mapInPandas(_terms, "k1 long, word string").distinct()
+    rows = docs.select(text_key(text)[0], F.col(text).alias("text")).mapInArrow(_terms, "k1 long, word string").distinct()
     marks = materialize(rows.join(told, "word").groupBy("k1").agg(F.array_sort(F.collect_set("word")).alias("terms")))
     df = df.withColumn("_k", text_key(text)[0])
     side = guarded(marks.select(F.col("k1").alias("_k"), F.col("terms").alias("_terms")), marks.count())
