@@ -285,8 +285,8 @@ def test_disclosing_terms_everywhere(spark, monkeypatch, told):
 
 def test_terms_inside_other_values_do_not_count(spark):
     """A term that also stands in the addresses of others still discloses."""
-    data = [(i, f"zorbium jo.doe@mail.com on day {i}") for i in range(12)]
-    data += [(100 + i, f"zorbium@other.com wrote number {i}") for i in range(40)]
+    data = [(i, f"zorbium jo.doe@mail.com number {i}") for i in range(12)]
+    data += [(100 + i, f"zorbium@other.com number {i}") for i in range(40)]
     data += [(200 + i, f"other words number {i}") for i in range(200)]
     found = {r["doc_id"]: r for r in personal.find(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     assert found[0]["n_terms"] == 1 and found[100]["n_terms"] == 0 and found[200]["n_terms"] == 0
