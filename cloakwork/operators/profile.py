@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cloakwork.functions.ranks import exact_quantiles
+from cloakwork.functions.ranks import exact_quantiles, number_rows
 from cloakwork.functions.scalar import coerce_number
 from cloakwork.session import materialize
 
@@ -87,6 +87,12 @@ def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
     return counts.withColumn("share", F.col("n") / F.lit(float(total)))
 
 
+def sorted_counts(df: DataFrame, col: str) -> DataFrame:
+    """Counts with their 0-based places by value (``by_key``) and by count, the largest first (``by_count``)."""
+    counts = materialize(value_counts(df, col))
+    return number_rows(number_rows(counts, ["value"], "by_key"), [F.desc("n"), "value"], "by_count")
+
+
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Count and percent per class next to the largest and smallest class."""
     counts = materialize(df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")))

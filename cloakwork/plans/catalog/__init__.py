@@ -25,4 +25,4 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from cloakwork.plans.catalog import features, learning, privacy, profiling, values  # noqa: F401
+    from cloakwork.plans.catalog import features, files, learning, privacy, profiling, values  # noqa: F401
