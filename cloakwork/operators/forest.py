@@ -342,7 +342,9 @@ class Rules:
             by = live[np.argsort(node[live], kind="stable")]
             first = np.flatnonzero(np.diff(node[by], prepend=-1))
             tn, ts = np.add.reduceat(w[by], first), np.add.reduceat(sums[by], first, axis=0)
-            ends = np.array([self.ends(n, s, len(name) - 1) for n, s, name in zip(tn, ts, names, strict=True)])
+            pure = np.zeros(size, bool) if self.number else ts.max(axis=1) >= tn
+            deep = self.max_depth is not None and len(names[0]) - 1 >= self.max_depth
+            ends = (tn < self.min_split) | (tn < 2 * self.min_leaf) | pure | deep
             allowed = ~ends[:, None] & np.ones(self.d, bool)
             if self.max_features < self.d:
                 for i in np.flatnonzero(~ends):
@@ -354,9 +356,10 @@ class Rules:
                 gain, threshold = np.where(better, found[0], gain), np.where(better, found[1], threshold)
                 feature[better] = j
             split = (feature >= 0) & (gain >= self.min_gain)
-            for i, name in enumerate(names):
-                j, at = (int(feature[i]), float(threshold[i])) if split[i] else (-1, None)
-                out.append((tree, name, j, at, self.value(tn[i], ts[i]), float(tn[i])))
+            values = ts / np.maximum(tn, 1.0)[:, None] + (self.centre if self.number else 0.0)
+            features = np.where(split, feature, -1).tolist()
+            thresholds = [t if s else None for t, s in zip(threshold.tolist(), split.tolist(), strict=True)]
+            out += zip([tree] * size, names, features, thresholds, values.tolist(), tn.tolist(), strict=True)
             place = np.where(split, np.cumsum(split) - 1, -1)
             here = node[live]
             right = x[live, feature[here]] > threshold[here]
@@ -578,13 +581,14 @@ def _compiled(rows: pa.Table) -> pa.Table:
     """A tree as flat arrays: feature (-1 at a leaf), threshold, both children, size, depth, value."""
     names = rows.column("node").to_pylist()
     order = sorted(range(len(names)), key=names.__getitem__)
-    place = {names[i]: p for p, i in enumerate(order)}
-    column = lambda c: np.array([rows.column(c)[i].as_py() for i in order])
+    names = [names[i] for i in order]
+    place = {name: i for i, name in enumerate(names)}
+    column = lambda c: rows.column(c).to_numpy(zero_copy_only=False)[order]
     feature = column("feature").astype(np.int32)
-    threshold = np.array([rows.column("threshold")[i].as_py() or 0.0 for i in order])
-    child = lambda side: np.array([place.get(names[i] + side, place[names[i]]) for i in order], np.int32)
-    value = np.array([rows.column("value")[i].as_py() for i in order], np.float64)
-    depth = np.array([len(names[i]) - 1 for i in order], np.int32)
+    threshold = np.nan_to_num(column("threshold").astype(np.float64))
+    child = lambda side: np.array([place.get(name + side, i) for i, name in enumerate(names)], np.int32)
+    value = rows.column("value").combine_chunks().flatten().to_numpy().reshape(len(names), -1)[order]
+    depth = np.array([len(name) - 1 for name in names], np.int32)
     parts = [feature, threshold, child("0"), child("1"), column("n").astype(np.float64), depth, value]
     blob = b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
     return pa.table({"tree": pa.array([rows.column("tree")[0].as_py()], pa.int32()), "size": [len(order)], "blob": pa.array([blob], pa.binary())})
