@@ -79,23 +79,25 @@ def anchors(vectors: list[dict[str, float]], threshold: float) -> list[str]:
 
 
 def reachable(line: str, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> Column:
-    """False only for lines below the threshold: their words of no template alone leave too little for the others."""
+    """False only for lines below the threshold: their words of no template alone leave too little for the others.
+
+    The words of the templates have few different weights, so how many of each weight a
+    line has is a handful of set intersections, whatever its length.  No word comes
+    more often than all repetitions of the line together, which bounds its damped count.
+    """
     idf, unknown, _ = model(templates)
-    weight = F.create_map(*[F.lit(x) for p in sorted(idf.items()) for x in p])
-    words = F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
-
-    def bound(words):
-        known = F.filter(words, lambda w: F.map_contains_key(weight, w))
-        squares = F.transform(
-            F.array_distinct(known),
-            lambda w: F.pow((1 + F.ln(F.size(known) - F.size(F.array_remove(known, w)))) * F.element_at(weight, w), F.lit(2.0)),
-        )
-        inside = F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)
-        others = F.size(F.array_distinct(words)) - F.size(F.array_distinct(known))
-        outside = others * F.lit(unknown**2)  # a word that comes more than once weighs more
+    levels = [(v, F.array(*[F.lit(w) for w, x in sorted(idf.items()) if x == v])) for v in sorted(set(idf.values()))]
+
+    def bound(words, kinds):
+        held = [(v, F.size(F.array_intersect(kinds, listed))) for v, listed in levels]
+        squares = sum((n * F.lit(v * v) for v, n in held), F.lit(0.0))
+        inside = squares * F.pow(1 + F.ln(F.size(words) - F.size(kinds) + 1), F.lit(2.0))
+        outside = (F.size(kinds) - sum((n for _, n in held), F.lit(0))) * F.lit(unknown**2)  # a word that comes more than once weighs more
         return inside >= (threshold * 0.999) ** 2 * (inside + outside)
 
-    return F.get(F.transform(F.array(words), bound), F.lit(0))
+    # one-element arrays name the words and their set, so neither is worked out again for every weight
+    words = F.array(F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0)))
+    return F.get(F.transform(words, lambda w: F.get(F.transform(F.array(F.array_distinct(w)), lambda d: bound(w, d)), F.lit(0))), F.lit(0))
 
 
 def _table(df: DataFrame, rows: list[tuple], names: list[str]) -> DataFrame:
@@ -167,8 +169,19 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", speaks: Colum
 @register("op8_licence_cosine")
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as files of a tree source/language/thousand/hundred; one that opens with a licence speaks for its directory."""
-    docs = table(spark, folder, "documents")
-    steps = [F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100), F.col("doc_id")]
-    files = docs.select(F.concat_ws("/", *[s.cast("string") for s in steps]).alias("path"), "text")
+    return tree_scan(table(spark, folder, "documents"))
+
+
+def tree_scan(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, lang, source), as files of a tree named after these.
+
+    The name of a file has its text's hash beside the key, so rows of one key and other
+    texts are files of their own; a null key is the name 'null', other nulls are empty
+    names.  An empty table gives no rows.
+    """
+    steps = [F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100)]
+    name = F.concat_ws("~", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex(F.xxhash64(F.coalesce("text", F.lit("")))))
+    path = F.concat_ws("/", *[F.coalesce(s.cast("string"), F.lit("null")) for s in steps], name)
+    files = docs.select("doc_id", path.alias("path"), "text")
     found = scan(files, speaks=F.col("number") == 0)
-    return found.select(F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "path", "licence", "cosine", "origin", "directory")
+    return files.select("doc_id", "path").join(found, "path").select("doc_id", "path", "licence", "cosine", "origin", "directory")

@@ -509,6 +509,17 @@ def test_licence_weak_lines(spark):
     assert got == want and min(want.values()) < 0.75
 
 
+def test_licence_rows(spark, messy, empty):
+    """One row per document, with null keys and with two texts of one key."""
+    apache = "Licensed under the Apache License, Version 2.0."
+    rows_ = [(1, apache), (1, "no licence here"), (None, apache), (None, None), (2, "plain"), (2, "plain")]
+    docs = spark.createDataFrame([(i, t, None, "s", "x") for i, t in rows_], "doc_id long, text string, lang string, source string, path string")
+    got = licences.tree_scan(docs).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows_)
+    assert sorted((r.doc_id is None, r.origin) for r in got if r.licence) == [(False, "inherited")] * 3 + [(False, "own"), (True, "inherited"), (True, "own")]
+    assert licences.tree_scan(messy).count() == messy.count() and licences.tree_scan(empty).count() == 0
+
+
 # -- 9: rules ------------------------------------------------------------------------
 
 
