@@ -594,8 +594,8 @@ s as (
     ctx.total, d2.d1 * ctx.n1 + d2.d2 * ctx.n2 + d2.d3 * ctx.n3 as gamma, size.n, size.v
   from t left join p1 on p1.w = t.w left join bi on bi.v = t.v and bi.w = t.w left join ctx on ctx.v = t.v, d1, d2, size)
 select doc_id, held_out, count(*) as n_tokens, count(*) filter (c > 0) as n_known, cast(any_value(n) as bigint) as train_tokens,
-  fsum(log10((c + 1) / (n + v + 1))) as base_score,
-  fsum(log10(case when total > 0 then (top + gamma * low) / total else low end)) as score
+  round(fsum(log10((c + 1) / (n + v + 1))), 9) as base_score,
+  round(fsum(log10(case when total > 0 then (top + gamma * low) / total else low end)), 9) as score
 from s join d using (r) group by r, doc_id, held_out
 """
 
@@ -605,4 +605,4 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = fit(docs.filter(~held_out()))
     df = score(docs.withColumn("held_out", held_out()), model)
-    return df.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    return df.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), *[F.round(c, 9).alias(c) for c in ("base_score", "score")])
