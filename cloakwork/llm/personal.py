@@ -187,9 +187,10 @@ def disclosing(docs: DataFrame, text: str = "text", disclosure: float = DISCLOSU
     pairs = pairs.filter(F.col("texts") >= support)
     pairs = materialize(pairs.withColumn("term", F.pandas_udf(_longs, "long")("word")))
     asked = materialize(pairs.select("term").distinct())
-    # added up before the join: a task's counts are many rows per term, the sums are one
+    # added up before the join: a task's counts are many rows per term, the sums are one; a semi join would be
+    # moved below the sums again
     counts = seen.filter("entity is null").groupBy("term").agg(F.sum("n").alias("n_term"))
-    counts = counts.join(guarded(asked, asked.count()), "term", "left_semi")
+    counts = counts.join(guarded(asked, asked.count()), "term")
     told = pairs.join(counts, "term").join(entities, "entity")
     information = F.log2(F.lit(float(total)) / F.col("n_entity"))
     shared = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
