@@ -117,3 +117,31 @@ def test_forest_learns_and_handles_odd_input(spark):
     assert error < df.agg(F.stddev_pop("y")).first()[0] / 2
     with pytest.raises(ValueError, match="kind"):
         forest.fit(df, "id", ["a"], "job", "ranks")
+
+
+def test_draws_are_hashed_once_and_trees_fit_a_task(spark):
+    """A draw is one hash, not one for each step of the Poisson sum; many trees are finished whole, few by levels."""
+    assert forest.small_node(100_000, 100, 3) >= 100_000 > forest.small_node(100_000, 1, 3)
+    assert forest.small_node(10**9, 300, 64) * 64 <= forest.LOCAL_VALUES
+    assert forest.cell_rows(1_000_000, 1, 2) == 1000 and forest.cell_rows(1_000_000, 100, 64) > 3000
+    df = spark.createDataFrame(rows(90, 2), SCHEMA)
+    seen = []
+    real = forest.materialize
+    try:
+        forest.materialize = lambda t: seen.append(t._jdf.queryExecution().optimizedPlan().toString()) or real(t)
+        forest.fit(df, "id", ["a", "b"], "y", "number", trees=3)
+    finally:
+        forest.materialize = real
+    assert seen[0].count("md5(") == 1
+
+
+def test_large_forest_meets_rows_in_blocks(spark, monkeypatch):
+    df = spark.createDataFrame(rows(120, 7), SCHEMA)
+    fitted = forest.fit(df, "id", ["a", "b", "c"], "job", trees=7)
+    settings = [(7, None, 0), (3, 2, 10)]
+    listed = lambda: sorted((r.id, r.setting, r.prediction) for r in fitted.predict_settings(df, settings).collect())
+    want = listed()
+    monkeypatch.setattr(forest, "MODEL_BYTES", 1)
+    monkeypatch.setattr(forest, "BLOCK_BYTES", 6000)
+    monkeypatch.setattr(forest, "WALK_ROWS", 50)
+    assert listed() == want and len(want) == 240
