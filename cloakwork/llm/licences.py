@@ -7,7 +7,8 @@ with an anchor word can: for every template the heaviest words are anchors until
 rest of its vector is too short to reach the threshold, so the filter loses nothing.
 Before words are exploded a line is also dropped where the known words cannot make up
 enough of its length, a bound from above that loses nothing either.
-Equal lines are scored once, however many files hold them.
+Equal lines are scored once, however many files hold them, each within its own row: its
+words are put in order, so that equal ones stand together, and no row is made of a word.
 
 A licence line that speaks for its directory (in a licence file, or as the caller says)
 is inherited by files without one of their own from the nearest directory above.
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,24 +102,41 @@ def reachable(line: str, templates: list[tuple[str, str]] = TEMPLATES, threshold
     return F.get(F.transform(words, lambda w: F.get(F.transform(F.array(F.array_distinct(w)), lambda d: bound(w, d)), F.lit(0))), F.lit(0))
 
 
-def _table(df: DataFrame, rows: list[tuple], names: list[str]) -> DataFrame:
-    """A small fixed table as plan literals."""
-    quoted = [", ".join(f"'{v}'" if isinstance(v, str) else f"{v!r}{'D' if isinstance(v, float) else ''}" for v in r) for r in rows]
-    structs = ", ".join("named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(names, q.split(", "), strict=True)) + ")" for q in quoted)
-    return df.sparkSession.range(1).select(F.inline(F.expr(f"array({structs})")))
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often an expression inside names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def score(lines: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(line, licence, cosine) of the distinct lines that reach the threshold; ties go to the earlier template."""
     idf, unknown, vectors = model(templates)
-    words = _table(lines, sorted(idf.items()), ["word", "idf"])
-    weights = _table(lines, [(w, k, x) for k, v in enumerate(vectors) for w, x in sorted(v.items())], ["word", "k", "x"])
-    each = lines.select("line", F.explode(F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))).alias("word"))
-    each = each.groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf")).join(F.broadcast(words), "word", "left")
-    each = materialize(each.withColumn("y", (1 + F.ln("tf")) * F.coalesce("idf", F.lit(unknown))).select("line", "word", "y"))
-    norms = each.groupBy("line").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("norm"))
-    dots = each.join(F.broadcast(weights), "word").groupBy("line", "k").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
-    near = dots.join(norms, "line").withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("cosine") >= threshold)
+    vocabulary = sorted(idf)
+    listed = lambda rows: F.expr("map(" + ", ".join(f"'{w}', {v}" for w, v in rows) + ")")
+    weigh = listed((w, f"{idf[w]!r}D") for w in vocabulary)
+    # a word's unit weights in all templates
+    weights = listed((w, "array(" + ", ".join(f"{v.get(w, 0.0)!r}D" for v in vectors) + ")") for w in vocabulary)
+    words = F.array_sort(F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0)))
+
+    # equal words stand together: a word begins where it differs from the one before and ends where the next begins
+    def bag(w):
+        return _bound(F.filter(F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0))), lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1))), lambda first: runs(w, first))
+
+    def runs(w, first):
+        ends = F.concat(F.slice(first, F.lit(2), F.size(first)), F.array(F.size(w)))
+        return F.zip_with(first, ends, lambda a, b: F.struct(F.get(w, a).alias("word"), (1 + F.ln(b - a)).alias("tf")))
+
+    # everything about a line is worked out in its row
+    each = lines.select("line", _bound(words, bag).alias("bag"))
+    known = F.filter("bag", lambda r: r["word"].isin(vocabulary))
+    known = F.transform(known, lambda r: F.struct(r["word"].alias("word"), (r["tf"] * F.element_at(weigh, r["word"])).alias("y")))
+    strange = F.filter("bag", lambda r: ~r["word"].isin(vocabulary))
+    squares = F.aggregate(strange, F.lit(0.0), lambda a, r: a + r["tf"] * F.lit(unknown) * r["tf"] * F.lit(unknown))
+    each = each.select("line", known.alias("known"), squares.alias("strange"))
+    norm = F.sqrt(F.aggregate("known", F.col("strange"), lambda a, r: a + r["y"] * r["y"]))
+    zeros = F.array(*[F.lit(0.0)] * len(vectors))
+    dots = F.aggregate("known", zeros, lambda a, r: F.zip_with(a, F.element_at(weights, r["word"]), lambda d, x: d + x * r["y"]))
+    near = each.select("line", norm.alias("norm"), F.posexplode(dots).alias("k", "dot"))
+    near = near.withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("cosine") >= threshold)
     best = near.groupBy("line").agg(F.max(F.struct("cosine", (-F.col("k")).alias("k"))).alias("b"))
     names = F.expr("array(" + ",".join(f"'{n}'" for n, _ in templates) + ")")
     return best.select("line", F.element_at(names, (1 - F.col("b.k")).cast("int")).alias("licence"), F.col("b.cosine").alias("cosine"))
