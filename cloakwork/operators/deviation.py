@@ -6,6 +6,10 @@ strip, all centres of its thresholds lie in a narrow band: rows of other strips
 or above the band enter as two totals, only rows inside it travel to the strip's task.
 A task therefore sees its own strip plus about as many band rows, and every threshold
 is evaluated exactly.
+
+A value that many rows have is a strip of its own, of any size, with one threshold only:
+behind it.  Its two centres are known from totals or from one band each, so its loss is
+added up by bands; no task gathers its rows.
 """
 
 from __future__ import annotations
@@ -117,6 +121,60 @@ def _reach(n, s, m, lo, hi, loss: str) -> dict:
     return {"least": top - F.col(m), "most": top}
 
 
+def _split_heads(freq: DataFrame, g: list[str]) -> DataFrame:
+    """Strips numbered anew, so that a least value with more than STRIP_ROWS rows is a strip of its own."""
+    values = freq.groupBy(*g, "i", "value").agg(F.count(F.lit(1)).alias("c"))
+    heads = values.groupBy(*g, "i").agg(F.min(F.struct("value", "c")).alias("h"), F.count(F.lit(1)).alias("v"))
+    heads = materialize(heads.filter((F.col("h.c") > STRIP_ROWS) & (F.col("v") > 1)).select(*g, "i", F.col("h.value").alias("head")))  # a row per strip at most
+    if heads.isEmpty():
+        return freq
+    return freq.join(heads, [*g, "i"], "left").withColumn("i", 2 * F.col("i") + F.coalesce((F.col("value") > F.col("head")).cast("int"), F.lit(0))).drop("head")
+
+
+def _single(freq: DataFrame, grid: DataFrame, g: list[str], loss: str) -> DataFrame:
+    """The threshold behind every strip of one value, by sums over bands; ``grid`` has all strips and bands."""
+    key = [*g, "i", "side"]
+    ends = grid.filter("x_lo = x_hi and next_x is not null")
+    n, s = F.col("um"), F.col("ums")
+    parts = [
+        ends.withColumns({"side": F.lit("l"), "n": n, "s": s, "zn": F.col("gn"), "zs": F.col("gs")}),
+        ends.withColumns({"side": F.lit("r"), "n": F.col("tm") - n, "s": F.col("ts") - s, "zn": F.col("bn") - F.col("gn"), "zs": F.col("bs") - F.col("gs")}),
+    ]
+    at = parts[0].unionByName(parts[1]).filter(F.col("zn") > 0).select(*key, "yb", "n", "s", "zn", "zs", "b_lo", "b_hi")
+    if loss == "mae":
+        at = at.withColumn("centre", F.col("s") / F.col("n"))
+        below, cut = F.col("b_hi") <= F.col("centre"), (F.col("b_lo") <= F.col("centre")) & (F.col("b_hi") > F.col("centre"))
+    else:
+        upto = F.sum("zn").over(Window.partitionBy(*key).orderBy("yb"))  # a row per band
+        at = at.withColumns({"upto": upto, "half": F.ceil(F.col("n") / 2)}).withColumn("need", F.col("half") - (F.col("upto") - F.col("zn")))
+        below, cut = F.col("upto") < F.col("half"), (F.col("upto") >= F.col("half")) & (F.col("need") > 0)
+    at = materialize(at.withColumns({"below": below, "cut": cut}))  # strips times bands
+    aim = "centre" if loss == "mae" else "need"
+    cuts = at.filter("cut").select(*g, "yb", "side", F.col("i").alias("to"), aim)  # a row per strip and side
+    inside = freq.join(cuts, [*g, "yb"]).filter("(side = 'l' and i <= to) or (side = 'r' and i > to)")
+    inside = inside.groupBy(*g, F.col("to").alias("i"), "side", aim, "y").agg(F.sum("w").alias("w"))
+    w, y = F.col("w"), F.col("y")
+    if loss == "mae":
+        inside = inside.filter(y <= F.col("centre")).groupBy(*key).agg(F.sum(w).alias("in_n"), F.sum(w * y).alias("in_s"))
+    else:
+        run = F.sum("w").over(Window.partitionBy(*key).orderBy("y"))  # the rows of one band
+        inside = inside.withColumn("run", run).filter(F.col("run") - w < F.col("need"))
+        inside = inside.groupBy(*key).agg(F.max("y").alias("centre"), F.sum(w).alias("in_n"), F.sum(w * y).alias("in_s"))
+    sides = at.groupBy(*key, "n", "s", *(["centre"] if loss == "mae" else [])).agg(
+        F.coalesce(F.sum(F.when(F.col("below"), F.col("zn"))), F.lit(0.0)).alias("nb"), F.coalesce(F.sum(F.when(F.col("below"), F.col("zs"))), F.lit(0.0)).alias("sb")
+    )
+    sides = sides.join(inside, key, "left")
+    n_le, s_le = F.col("nb") + F.coalesce("in_n", F.lit(0.0)), F.col("sb") + F.coalesce("in_s", F.lit(0.0))
+    c = F.col("centre")
+    off = c * n_le - s_le + (F.col("s") - s_le) - c * (F.col("n") - n_le)
+    both = sides.groupBy(*g, "i").agg(F.sum(off).alias("loss"))
+    known = ends.select(*g, "i", "x_lo", "next_x", "um", "umr", "ums", "umq").distinct()
+    return both.join(known, [*g, "i"]).select(
+        *g, ((F.col("x_lo") + F.col("next_x")) / 2).alias("threshold"), "loss", F.col("um").alias("n_left"),
+        F.col("umr").cast("bigint").alias("rows_left"), F.col("ums").alias("s_left"), F.col("umq").alias("q_left"),
+    )
+
+
 def candidates(long: DataFrame, by: list[str], loss: str) -> DataFrame:
     """Exact loss of every strip's best threshold.
 
@@ -126,29 +184,31 @@ def candidates(long: DataFrame, by: list[str], loss: str) -> DataFrame:
     g = [*by, "column"]
     w, y = F.col("w"), F.col("y")
     freq = long.groupBy(*g, F.col("bucket").alias("i"), "value", "yb", "y").agg(F.sum(w).cast("double").alias("w"), F.count(F.lit(1)).alias("r"))
-    freq = materialize(freq)  # read several times below
+    freq = _split_heads(materialize(freq), g)  # read several times below
     strips = freq.groupBy(*g, "i").agg(
         F.sum(w).alias("m"), F.sum(w * y).alias("ms"), F.sum(w * y * y).alias("mq"), F.sum("r").alias("mr"),
-        F.min(y).alias("y_lo"), F.max(y).alias("y_hi"), F.min("value").alias("x_lo"),
+        F.min(y).alias("y_lo"), F.max(y).alias("y_hi"), F.min("value").alias("x_lo"), F.max("value").alias("x_hi"),
     )
-    order, whole = Window.partitionBy(*g).orderBy("i"), Window.partitionBy(*g)  # at most MOST_STRIPS rows
+    order, whole = Window.partitionBy(*g).orderBy("i"), Window.partitionBy(*g)  # at most twice MOST_STRIPS rows
     upto = {f"u{c}": F.sum(c).over(order) for c in ("m", "ms", "mq", "mr")}
     strips = strips.withColumns(upto | {"next_x": F.lead("x_lo").over(order), "tm": F.sum("m").over(whole), "ts": F.sum("ms").over(whole)})
     strips = strips.withColumns(
         {"ln": F.col("um") - F.col("m"), "ls": F.col("ums") - F.col("ms"), "lq": F.col("umq") - F.col("mq"), "lr": F.col("umr") - F.col("mr"),
          "rn": F.col("tm") - F.col("um"), "rs": F.col("ts") - F.col("ums")}
     )
-    # summary grid of strips x label bands, at most MOST_STRIPS^2 small rows per node and feature
+    # summary grid of strips x label bands, at most twice MOST_STRIPS^2 small rows per node and feature
     cells = freq.groupBy(*g, "i", "yb").agg(F.sum(w).alias("cn"), F.sum(w * y).alias("cs"))
     bands = freq.groupBy(*g, "yb").agg(F.sum(w).alias("bn"), F.sum(w * y).alias("bs"), F.min(y).alias("b_lo"), F.max(y).alias("b_hi"))
     grid = strips.join(bands, g).join(cells, [*g, "i", "yb"], "left").na.fill(0.0, ["cn", "cs"])
     along = Window.partitionBy(*g, "yb").orderBy("i")
     grid = grid.withColumns({"gn": F.sum("cn").over(along), "gs": F.sum("cs").over(along)})
+    grid = materialize(grid)
+    alone, several = _single(freq, grid, g, loss), F.col("x_lo") < F.col("x_hi")
     sides = []
     for side, n, s in (("l", F.col("ln"), F.col("ls")), ("r", F.col("rn"), F.col("rs"))):
         count = F.col("gn") - F.col("cn") if side == "l" else F.col("bn") - F.col("gn")
         total = F.col("gs") - F.col("cs") if side == "l" else F.col("bs") - F.col("gs")
-        part = grid.withColumns({"zn": count, "zs": total} | _reach(n, s, "m", "y_lo", "y_hi", loss)).filter(F.col("zn") > 0)
+        part = grid.filter(several).withColumns({"zn": count, "zs": total} | _reach(n, s, "m", "y_lo", "y_hi", loss)).filter(F.col("zn") > 0)
         if loss == "mae":
             below, inside = F.col("b_hi") < F.col("least"), (F.col("b_hi") >= F.col("least")) & (F.col("b_lo") <= F.col("most"))
         else:
@@ -173,7 +233,7 @@ def candidates(long: DataFrame, by: list[str], loss: str) -> DataFrame:
     )
     band = band.select(*[F.col(c).alias(f"b_{c}") for c in band.columns])
     plain = ["next_x", "ln", "ls", "lq", "lr", "rn", "rs"]
-    own = freq.join(strips.select(*g, "i", *plain), [*g, "i"]).join(far, [*g, "i"], "left").na.fill(0.0, ["lnb", "lsb", "rnb", "rsb"])
+    own = freq.join(strips.filter(several).select(*g, "i", *plain), [*g, "i"]).join(far, [*g, "i"], "left").na.fill(0.0, ["lnb", "lsb", "rnb", "rsb"])
     own = own.select(*g, "i", "value", "y", "w", "r", *plain, "lnb", "lsb", "rnb", "rsb")
 
     def best(own: pd.DataFrame, band: pd.DataFrame) -> pd.DataFrame:
@@ -199,4 +259,5 @@ def candidates(long: DataFrame, by: list[str], loss: str) -> DataFrame:
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.select(*g).schema)
     schema = f"{types}, threshold double, loss double, n_left double, rows_left bigint, s_left double, q_left double"
-    return own.groupBy(*g, "i").cogroup(band.groupBy(*[f"b_{c}" for c in (*g, "i")])).applyInPandas(best, schema)
+    searched = own.groupBy(*g, "i").cogroup(band.groupBy(*[f"b_{c}" for c in (*g, "i")])).applyInPandas(best, schema)
+    return searched.unionByName(alone)

@@ -112,3 +112,26 @@ def test_absolute_tree_rounds(spark, loss):
     walk = grow_by_hand(x, y, 2, 8, loss)
     got = {r["id"]: r["prediction"] for r in model.predict(df).collect()}
     assert all(got[i] == pytest.approx(walk(x[i]), abs=1e-9) for i in range(len(y)))
+
+
+@pytest.mark.parametrize("loss", ["mae", "mad"])
+def test_no_task_gathers_the_rows_of_one_value(spark, monkeypatch, loss):
+    """A value that many rows have is judged by sums over bands, with the same result as the rows themselves."""
+    from cloakwork.operators import deviation
+
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.choice([0.0, 1.0, 3.0], 400), rng.integers(0, 9, 60) / 2.0])
+    y = np.round(rng.normal(0, 5, 460) + 3 * (x > 1), 2)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    whole = tree.best_split(df, ["x"], "y", loss=loss).first()
+    seen = []
+    monkeypatch.setattr(deviation, "STRIP_ROWS", 20)
+    heads = deviation._single
+    monkeypatch.setattr(deviation, "_single", lambda *a: seen.append(heads(*a)) or seen[-1])
+    cut = tree.best_split(df, ["x"], "y", loss=loss).first()
+    centre = np.mean if loss == "mae" else lambda v: np.sort(v)[(len(v) - 1) // 2]
+    off = lambda v: np.abs(v - centre(v)).sum()
+    cuts = sorted(set(x))
+    gain, at = max((round((off(y) - off(y[x <= a]) - off(y[x > a])) / 460, 9), -(a + b) / 2) for a, b in zip(cuts, cuts[1:]))
+    assert cut["threshold"] == whole["threshold"] == -at and cut["gain"] == pytest.approx(gain) and whole["gain"] == pytest.approx(gain)
+    assert seen[0].count() >= 3
