@@ -73,3 +73,20 @@ def test_balancing(spark, monkeypatch):
         x, a = np.array(r["v"]), raw[r["qid"]]
         on = [abs(np.linalg.norm(x - a) + np.linalg.norm(x - b) - np.linalg.norm(a - b)) < 1e-9 for b in same[r["qid"]]]
         assert any(on)
+
+
+def test_a_query_travels_once_to_a_block_of_cells(spark, monkeypatch):
+    """In many dimensions every cell is visited; rows sent grow with blocks, not with cells."""
+    monkeypatch.setattr(nearest, "CELL_ROWS", 60)
+    rng = np.random.default_rng(4)
+    points = rng.normal(0, 1, (200, 12))
+    written = []
+    real = nearest.materialize
+    monkeypatch.setattr(nearest, "materialize", lambda t: written.append(real(t)) or written[-1])
+    got = {}
+    for r in nearest.knn_graph(frame(spark, points), 3).collect():
+        got.setdefault(r["src"], []).append((r["rank"], round(r["dist"], 9)))
+    want = brute(points, 3, 2)
+    assert {i: [d for _, d in sorted(v)] for i, v in got.items()} == {i: pytest.approx(d, abs=1e-7) for i, d in want.items()}
+    asked = next(t for t in written if "visits" in t.columns)
+    assert asked.agg(F.max(F.size("visits"))).first()[0] <= 8  # of 14 cells
