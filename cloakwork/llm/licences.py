@@ -115,7 +115,7 @@ def score(lines: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thresh
     weigh = listed((w, f"{idf[w]!r}D") for w in vocabulary)
     # a word's unit weights in all templates
     weights = listed((w, "array(" + ", ".join(f"{v.get(w, 0.0)!r}D" for v in vectors) + ")") for w in vocabulary)
-    words = F.array_sort(F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0)))
+    words = F.sort_array(F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0)))
 
     # equal words stand together: a word begins where it differs from the one before and ends where the next begins
     def bag(w):
