@@ -34,7 +34,8 @@ def impurity(df: DataFrame, label: str, by: list[str] | None = None) -> DataFram
     mean = y.groupBy(*by).agg(F.avg("y").alias("mean"))
     median = exact_quantiles(y, ["y"], [0.5], by).select(*by, F.col("quantile").alias("median"))
     if by:
-        y = y.join(mean.join(median, by), by)
+        # written, so its size is known: with few groups no row is moved to the task of its group
+        y = y.join(materialize(mean.join(median, by)), by)
     else:
         y = y.withColumns({"mean": F.lit(mean.first()[0]), "median": F.lit(median.first()[0])})
     return y.groupBy(*by).agg(

@@ -135,3 +135,10 @@ def test_no_task_gathers_the_rows_of_one_value(spark, monkeypatch, loss):
     gain, at = max((round((off(y) - off(y[x <= a]) - off(y[x > a])) / 460, 9), -(a + b) / 2) for a, b in zip(cuts, cuts[1:]))
     assert cut["threshold"] == whole["threshold"] == -at and cut["gain"] == pytest.approx(gain) and whole["gain"] == pytest.approx(gain)
     assert seen[0].count() >= 3
+
+
+def test_impurity_moves_no_row_to_the_task_of_its_group(spark):
+    df = spark.createDataFrame([(g, float(v)) for g in "ab" for v in range(9)], "g string, y double")
+    out = tree.impurity(df, "y", ["g"])
+    assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert {(r["g"], round(r["mad"], 6)) for r in out.collect()} == {("a", 2.222222), ("b", 2.222222)}
