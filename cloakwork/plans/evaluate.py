@@ -87,6 +87,7 @@ def _classifier(make: Callable) -> Callable:
             out = model.transform(_assembled(df, features)).withColumn("prediction", text)
             return out.select(*df.columns, "prediction")
 
+        predict.steps = getattr(model.summary, "totalIterations", 0) if model.hasSummary else 0
         return predict
 
     return fit
@@ -412,20 +413,35 @@ def forest_sweep(problem: Problem, settings: list[dict], folds: DataFrame, seed:
     return materialize(wide.groupBy("setting").agg(*sums).join(params, "setting").drop("setting"))
 
 
-def model_predictions(problem: Problem, folds: DataFrame, make: Callable[..., Callable], settings: list[dict], parallelism: int = 4) -> DataFrame:
-    """(setting, fold, label, prediction) of settings that share nothing but the folds, cached once."""
+def logistic_predictions(problem: Problem, folds: DataFrame, settings: list[dict], parallelism: int = 4) -> DataFrame:
+    """(setting, fold, label, prediction) of all logistic settings.
+
+    Settings that differ only in the most steps follow one path: a fit that ended by
+    itself within the steps of a shorter one is that fit, too.
+    """
     folds = materialize(folds)
     numbers = sorted(r[0] for r in folds.select("fold").distinct().collect())  # a handful
     parts = {n: [materialize(folds.filter(F.col("fold") != n).drop("fold")), materialize(folds.filter(F.col("fold") == n).drop("fold"))] for n in numbers}
+    alike: dict[tuple, list[int]] = {}
+    for i, s in enumerate(settings):
+        alike.setdefault(tuple(sorted((k, v) for k, v in s.items() if k != "max_iter")), []).append(i)
 
-    def one(job: tuple) -> DataFrame:
-        fold, i = job
+    def one(job: tuple) -> list[DataFrame]:
+        fold, mine = job
         train, valid = parts[fold]
-        got = make(**settings[i])(problem, train)(valid)
-        return materialize(got.select(F.lit(i).alias("setting"), F.lit(fold).alias("fold"), F.col(problem.label).cast("string").alias("label"), "prediction"))
+        found, open_ = [], sorted(mine, key=lambda i: settings[i]["max_iter"])
+        while open_:
+            predict = logistic_regression(**settings[open_[0]])(problem, train)
+            steps = settings[open_[0]]["max_iter"]
+            same = [i for i in open_ if settings[i]["max_iter"] == steps or predict.steps < steps]
+            names = F.explode(F.array(*[F.lit(i) for i in same])).alias("setting")
+            got = predict(valid).select(names, F.lit(fold).alias("fold"), F.col(problem.label).cast("string").alias("label"), "prediction")
+            found.append(materialize(got))
+            open_ = [i for i in open_ if i not in same]
+        return found
 
     with ThreadPoolExecutor(parallelism) as pool:
-        found = list(pool.map(one, product(numbers, range(len(settings)))))
+        found = [part for parts_ in pool.map(one, product(numbers, alike.values())) for part in parts_]
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
@@ -436,7 +452,7 @@ def model_predictions(problem: Problem, folds: DataFrame, make: Callable[..., Ca
 GRID_PREDICTIONS: dict[str, Callable[[Problem, DataFrame, list[dict]], DataFrame]] = {
     "knn": knn_predictions,
     "random_forest": forest_predictions,
-    "logistic_regression": lambda problem, folds, settings: model_predictions(problem, folds, logistic_regression, settings),
+    "logistic_regression": logistic_predictions,
 }
 
 
