@@ -145,3 +145,12 @@ def test_large_forest_meets_rows_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(forest, "BLOCK_BYTES", 6000)
     monkeypatch.setattr(forest, "WALK_ROWS", 50)
     assert listed() == want and len(want) == 240
+
+
+def test_shared_draws_give_the_same_forest_and_small_trees_are_dealt_out(spark):
+    df = spark.range(200).selectExpr("id", "cast(id * 37 % 101 as double) a", "cast(id * 11 % 7 as double) b", "cast(id % 3 as string) y")
+    own = forest.fit(df, "id", ["a", "b"], "y", trees=64, max_features=1)
+    shared = forest.fit(forest.with_draws(df, "id", 80, 42, "d"), "id", ["a", "b"], "y", trees=64, max_features=1, drawn="d")
+    listed = lambda f: sorted(map(str, f.nodes.collect()))
+    assert listed(own) == listed(shared)
+    assert len(own.nodes.inputFiles()) > 1
