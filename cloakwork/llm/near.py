@@ -18,8 +18,10 @@ with one leader of another class: that of the buckets it shares most with one le
 Links found that way join a group of any size with a few comparisons per text.  Then
 only buckets that still hold several classes are looked at: their pairs of different
 classes that the bound allows are candidates, those whose registers put them ``SLACK``
-below the threshold (over five standard errors) go, and the rest is verified by the
-overlap of the multisets.
+below the threshold (over five standard errors) go, so do those whose parity sketches
+differ in more bits than the texts may in tokens (every token flips one bit, so the bits
+never differ more than the multisets do), and the rest is verified by the overlap of the
+multisets.
 
 A pair of the threshold similarity is missed by all bands with a probability of
 (1 - 0.8^6)^36 = 2e-5.
@@ -47,6 +49,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 36, 6
 PACKED = -(-BANDS * ROWS // 7)
 SLACK = 0.16
+PARITY = 8  # integers of 64 bits in a parity sketch; a join with more terms is a method too long to be compiled well
+EDGES = 50_000  # links that one task contracts by itself
 STARS, SPREAD = 4, 0.05  # turns of star links, and how far a turn may look past the best leader
 CHUNK = 1 << 20  # bytes of text drawn together
 
@@ -193,14 +197,18 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _agreement(x: str, y: str) -> Column:
-    """Share of equal registers in two sketches, in bit operations: zero bytes of the difference."""
+    """Share of equal registers in two sketches, in bit operations: zero bytes of the difference.
+
+    Written as a loop: with a term for each integer the compiled join is too long a method for the JVM to speed up.
+    """
     low = int.from_bytes(b"\x7f" * 7, "little")
-    equal = F.lit(-(PACKED * 7 - BANDS * ROWS))  # the padding is always equal
-    for i in range(PACKED):
-        diff = F.get(F.col(x), F.lit(i)).bitwiseXOR(F.get(F.col(y), F.lit(i)))
-        filled = (diff.bitwiseAND(F.lit(low)) + F.lit(low)).bitwiseOR(diff).bitwiseOR(F.lit(low))
-        equal = equal + F.lit(56) - F.bit_count(filled)
-    return equal / F.lit(float(BANDS * ROWS))
+
+    def equal(a: Column, b: Column) -> Column:
+        diff = a.bitwiseXOR(b)
+        return F.lit(56) - F.bit_count((diff.bitwiseAND(F.lit(low)) + F.lit(low)).bitwiseOR(diff).bitwiseOR(F.lit(low)))
+
+    padding = F.lit(-(PACKED * 7 - BANDS * ROWS))  # it is always equal
+    return F.aggregate(F.zip_with(x, y, equal), padding, lambda a, b: a + b) / F.lit(float(BANDS * ROWS))
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -232,6 +240,24 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["k", "root", "token"])
 
 
+def _parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (k, parity) from rows (k, text): bits that each token of the text flips one of."""
+    width = PARITY * 64
+    for part, values in _slices(batches):
+        token, ends = tokens(values)
+        owner = np.repeat(np.arange(len(values)), np.diff(ends))
+        bit = (mix(token ^ _BASE) % np.uint64(width)).astype(np.int64)
+        odd = np.bincount(owner * width + bit, minlength=len(values) * width).astype(np.uint8) & 1
+        sketch = np.packbits(odd.reshape(len(values), width), axis=1, bitorder="little").view(np.int64)
+        yield pa.RecordBatch.from_arrays([part.column("k"), _lists(sketch)], ["k", "parity"])
+
+
+def _differing(x: str, y: str) -> Column:
+    """Bits in which two parity sketches differ: at most the tokens that only one of the texts has."""
+    bits = [F.bit_count(F.get(F.col(x), F.lit(i)).bitwiseXOR(F.get(F.col(y), F.lit(i)))) for i in range(PARITY)]
+    return sum(bits[1:], bits[0])
+
+
 def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     x, y = ([v.encode("utf-8", "surrogatepass") for v in s] for s in (a, b))
     out: list[float] = []
@@ -253,7 +279,10 @@ def linked(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, similarity:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(k, root) for every end of the (a, b) edges; root is the least key of the component."""
+    """(k, root) for every end of the (a, b) edges; root is the least key of the component.
+
+    At most EDGES of them are contracted in one task, without a shuffle for each step.
+    """
     edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     state = None
     while True:
@@ -261,6 +290,8 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == state or not mark[0]:
             break
         state = mark
+        if mark[0] <= EDGES:
+            edges = edges.coalesce(1)
         # every larger neighbour is tied to the least of the neighbourhood, then every smaller one
         ways = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = ways.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -344,14 +375,17 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
         mixed = left.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
         left = materialize(left.join(mixed, "band", "left_semi"))
     left = _bounded(left.drop("most"), texts, similarity)
-    left = left.join(uniq.select("k", "bands", "sketch"), "k").withColumn("at", F.array_position("bands", F.col("band")))
+    open_ = texts.join(left.select("k").distinct(), "k", "left_semi")
+    parity = materialize(open_.mapInArrow(_parity, "k struct<k1:long,k2:long>, parity array<long>"))
+    left = left.join(uniq.select("k", "bands", "sketch"), "k").join(parity, "k").withColumn("at", F.array_position("bands", F.col("band")))
     x, y = left.alias("x"), left.alias("y")
     met = x.join(y, F.col("x.band") == F.col("y.band")).filter("x.k < y.k and x.root <> y.root")
-    met = met.filter(_allowed(similarity)).filter(_agreement("x.sketch", "y.sketch") >= similarity - SLACK)
-    before = F.lit(False)  # a pair is formed in the first bucket that it shares
-    for i in range(BANDS - 1):
-        before = before | ((F.col("x.at") > i + 1) & (F.get("x.bands", F.lit(i)) == F.get("y.bands", F.lit(i))))
-    pairs = materialize(met.filter(~before).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")))
+    apart = (F.col("x.n") + F.col("y.n")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)  # tokens that only one of a near pair may have
+    met = met.filter(_allowed(similarity)).filter(_differing("x.parity", "y.parity") <= apart)
+    met = met.filter(_agreement("x.sketch", "y.sketch") >= similarity - SLACK)
+    shared = F.array_position(F.zip_with("x.bands", "y.bands", lambda a, b: a == b), F.lit(True))
+    met = met.filter((shared == 0) | (shared >= F.col("x.at")))  # a pair is formed in the first bucket that it shares
+    pairs = materialize(met.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")))
     more = linked(pairs, texts, sketches, similarity)
     roots = components(links.union(more))
     flat = roots.select(F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2"), "root")

@@ -366,6 +366,36 @@ def test_large_group_needs_no_pairs(spark):
     assert got.select("root").distinct().count() == 1
 
 
+def test_parity_sketches_never_differ_more_than_the_texts(spark):
+    """Unlike texts of one group go before they are joined; no near pair does."""
+    import random
+
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(w if rnd.random() > rate else f"x{rnd.randrange(9)}" for w in base) for rate in (0.0, 0.005, 0.01, 0.02, 0.04, 0.08) for _ in range(4)] + ["", "a", "a a a a a a a a"]
+    frame = spark.createDataFrame([((i, 0), t) for i, t in enumerate(texts)], "k struct<k1:long,k2:long>, text string")
+    made = frame.mapInArrow(near._parity, "k struct<k1:long,k2:long>, parity array<long>")
+    pairs = made.select(F.col("k.k1").alias("a"), F.col("parity").alias("p")).crossJoin(made.select(F.col("k.k1").alias("b"), F.col("parity").alias("q")))
+    gone = kept = 0
+    for r in pairs.select("a", "b", near._differing("p", "q").alias("bits")).collect():
+        a, b = (grams(texts[r[i]]) for i in ("a", "b"))
+        assert r["bits"] <= sum(((a - b) + (b - a)).values())
+        unlike = r["bits"] > (a.total() + b.total()) * (1 - near.SIMILARITY) / (1 + near.SIMILARITY) + 1e-9
+        assert not (unlike and similarity(a, b) >= near.SIMILARITY)
+        gone, kept = gone + unlike, kept + (not unlike)
+    assert gone > 100 and kept > len(texts)
+
+
+@pytest.mark.parametrize("most", [0, 50_000])
+def test_components_in_one_task_or_many(spark, monkeypatch, most):
+    monkeypatch.setattr(near, "EDGES", most)
+    pairs = [(i, i + 1) for i in range(0, 30) if i % 10 != 9] + [(50, 40), (50, 41), (7, 7)]
+    key = "struct<k1:long,k2:long>"
+    got = near.components(spark.createDataFrame([((a, 0), (b, 0)) for a, b in pairs], f"a {key}, b {key}"))
+    roots = {r["k"]["k1"]: r["root"]["k1"] for r in got.collect()}
+    assert roots == {i: i // 10 * 10 for i in range(30)} | {40: 40, 41: 40, 50: 40}
+
+
 # -- 6: mixing -----------------------------------------------------------------------
 
 
