@@ -90,3 +90,60 @@ def test_a_query_travels_once_to_a_block_of_cells(spark, monkeypatch):
     assert {i: [d for _, d in sorted(v)] for i, v in got.items()} == {i: pytest.approx(d, abs=1e-7) for i, d in want.items()}
     asked = next(t for t in written if "visits" in t.columns)
     assert asked.agg(F.max(F.size("visits"))).first()[0] <= 8  # of 14 cells
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_tree_of_halvings_equals_brute_force(spark, monkeypatch, p):
+    """Cells of few rows, groups, values that half of the rows have, rows without a place, a far query."""
+    monkeypatch.setattr(nearest, "LEAF_ROWS", 4)
+    monkeypatch.setattr(nearest, "CELL_ROWS", 16)
+    rng = np.random.default_rng(9)
+    points = np.round(rng.normal(0, 3, (240, 2)) * [1, 100], 1)
+    points[:100, 0] = 1.0
+    points[100:130] = [2.0, 5.0]
+    points[-1] = [900.0, -5000.0]
+    groups = ["a" if i % 3 else "b" for i in range(240)]
+    rows = [(i, [float(x) for x in v], g) for i, (v, g) in enumerate(zip(points, groups))]
+    gone = [(1000, [None, 1.0], "a"), (1001, [1.0, float("nan")], "a"), (1002, [1.0, 1.0], None)]
+    pts = spark.createDataFrame(rows + gone, "qid long, v array<double>, g string")
+    got = {}
+    for r in nearest.search(pts, pts.withColumnRenamed("qid", "did"), nearest.Metric(p), 3, exclude_self=True).collect():
+        got.setdefault(r["qid"], []).append((r["rank"], r["did"]))
+    for i, v in enumerate(points):
+        d = [(nearest.minkowski(v[None], points[j][None], p)[0, 0], j) for j in range(240) if j != i and groups[j] == groups[i]]
+        assert [j for _, j in sorted(got[i])] == [j for _, j in sorted(d)[:3]]
+    assert set(got) == set(range(240))
+
+
+def test_a_query_of_few_dimensions_meets_few_cells():
+    """With eight times the rows in eight times the cells a query visits about as many as before."""
+    rng = np.random.default_rng(3)
+    visited = []
+    for levels in (5, 8):
+        points = rng.uniform(0, 1, (64 << levels, 2))
+        tree = nearest.Halved.of(points, levels, 2.0)
+        n, d = 2 << levels, 2
+        count, lo, hi = np.zeros(n, int), np.full((n, d), np.inf), np.full((n, d), -np.inf)
+        node = tree.home(points)[0] + (1 << levels)
+        while node[0] > 0:
+            np.add.at(count, node, 1), np.minimum.at(lo, node, points), np.maximum.at(hi, node, points)
+            node = node // 2
+        tree.summary[""] = (count, lo, hi)
+        owner, _ = tree.visits(points[:500], [""] * 500, 5)
+        visited.append(len(owner) / 500)
+    assert visited[1] < 1.5 * visited[0] and visited[1] < 10
+
+
+def test_products_measure_only_what_may_be_among_the_best():
+    """Far from the origin products are off by more than neighbours differ; what comes back is exact all the same."""
+    rng = np.random.default_rng(6)
+    rows = 1000 + np.round(rng.normal(0, 1e-3, (300, 12)), 5)
+    rows[200:] = rows[:100]
+    ids = np.arange(300)
+    parts = nearest._best(nearest.Metric(2.0), rows, rows, ids, ids, 4, True)
+    q, r, score = (np.concatenate(x) for x in zip(*parts))
+    exact = nearest.minkowski(rows, rows, 2.0)
+    np.fill_diagonal(exact, np.inf)
+    for i in range(300):
+        want = np.lexsort((ids, exact[i]))[:4]
+        assert r[q == i].tolist() == want.tolist() and score[q == i].tolist() == exact[i][want].tolist()
