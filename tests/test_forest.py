@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,35 @@ def test_shared_draws_give_the_same_forest_and_small_trees_are_dealt_out(spark):
     listed = lambda f: sorted(map(str, f.nodes.collect()))
     assert listed(own) == listed(shared)
     assert len(own.nodes.inputFiles()) > 1
+
+
+def test_rows_of_small_nodes_travel_packed():
+    """One value per node and task, not a row per row and tree."""
+    rng = np.random.default_rng(7)
+    n, d, trees = 3000, 4, 10
+    x, y, w = rng.normal(size=(n, d)), rng.integers(0, 3, n).astype(float), rng.poisson(1, (n, trees)).astype(np.int8)
+    listed = lambda a, kind: pa.array(a.tolist(), pa.list_(kind))
+    batch = pa.RecordBatch.from_arrays([listed(x, pa.float64()), listed(np.zeros((n, d), int), pa.int32()), pa.array(y), listed(w, pa.int8())], ["x", "b", "y", "w"])
+    sent = list(forest._small_rows(forest.Growth(d, 3, False, 1, -2 - np.arange(trees)))(iter([batch])))
+    assert sum(b.num_rows for b in sent) == trees
+    for tree, packed in zip(sent[0].column("small").to_pylist(), sent[0].column("rows").to_pylist(), strict=True):
+        rows = np.frombuffer(packed, forest._packed(d))
+        drawn = w[:, tree] > 0
+        assert np.array_equal(rows["x"], x[drawn]) and np.array_equal(rows["y"], y[drawn]) and np.array_equal(rows["w"], w[drawn, tree])
+
+
+@pytest.mark.parametrize("max_features,min_leaf", [(2, 1), (6, 1), (2, 9)])
+def test_counted_classes_grow_the_tree_of_sorted_rows(max_features, min_leaf):
+    rng = np.random.default_rng(11)
+    n = 800
+    x = np.column_stack([rng.normal(size=(n, 3)), rng.integers(0, 2, (n, 2)), np.where(rng.random(n) < 0.2, forest.MISSING, rng.integers(0, 9, n))])
+    y, w = rng.integers(0, 4, n).astype(float), 1.0 + rng.poisson(1, n)
+    rules = forest.Rules(6, 4, False, 2, min_leaf, None, 0.0, max_features, 42, 0.0)
+    ranks = [np.unique(column, return_inverse=True) for column in x.T]
+    counted = rules._grow_classes(3, "r", ranks, [4, 2, 10], y.astype(int), w.astype(int))
+    assert counted.num_rows > 50 and counted.equals(rules._grow_sorted(3, "r", x, y, w))
+    forest.SEARCHED, before = 1, forest.SEARCHED  # a feature at a time
+    try:
+        assert rules._grow_classes(3, "r", ranks, [4, 2, 10], y.astype(int), w.astype(int)).equals(counted)
+    finally:
+        forest.SEARCHED = before
