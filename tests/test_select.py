@@ -50,3 +50,16 @@ def test_select_best(spark):
     holes = df.withColumn("x", F.when(F.rand(1) < 0.3, None).otherwise(F.col("x")))
     assert select.neighbour_information(holes, ["x", "flat"], "c").count() == 2
     assert math.isclose(select.neighbour_information(df, ["flat"], "c").first()[1], 0.0, abs_tol=1e-9)
+
+
+def test_buckets_follow_distinct_values(spark, monkeypatch):
+    """Rows that repeat a value make neither more buckets nor more work for the quantiles."""
+    seen = []
+    plain = select.quantile_bounds
+    monkeypatch.setattr(select, "quantile_bounds", lambda df, cols, buckets: seen.append((df.count(), buckets)) or plain(df, cols, buckets))
+    df = spark.range(4000).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"), (F.col("id") % 2).alias("y"))
+    got = {r["column"]: r["mutual_information"] for r in select.neighbour_information(df, ["a", "b"], "y", per_bucket=100).collect()}
+    assert seen == [(24, 1)]
+    monkeypatch.undo()
+    fine = {r["column"]: r["mutual_information"] for r in select.neighbour_information(df, ["a", "b"], "y", per_bucket=3).collect()}
+    assert set(got) == set(fine) == {"a", "b"} and all(abs(got[c] - fine[c]) < 1e-12 for c in got)
