@@ -1,7 +1,10 @@
 """Scans and writers, each over a whole table that is written and read back, and pipelines as a whole."""
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cloakwork.functions.hashing import unit_hash_sql
@@ -13,7 +16,7 @@ from cloakwork.plans.catalog import ORACLES, register
 from cloakwork.plans.catalog.learning import grid_search
 from cloakwork.plans.catalog.privacy import CUSTOMER, _nation_tree
 from cloakwork.plans.evaluate import Problem
-from cloakwork.session import scratch_root
+from cloakwork.session import materialize, scratch_root
 from cloakwork.sources import sinks, tables
 from cloakwork.sources.tables import table
 
@@ -172,12 +175,14 @@ def pipeline_rows(spark, sf):
 def anonymity_in_folds(spark, sf):
     """The rows that a model is trained on inside each fold stand in groups of five and more."""
     c = folds.kfold(table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment"), "c_custkey", 5)
-    out = None
-    for fold in range(5):
+
+    def one(fold):
         train = c.filter(F.col("fold") != fold).drop("fold")
         recode = lambda df: clusters.fit_clusters(df, "c_custkey", ["c_acctbal"], ["c_mktsegment"], 5, block_rows=100)
         _, seen = Steps([recode]).fit(train)
         groups = seen.groupBy("c_acctbal_min", "c_acctbal_max", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
-        line = groups.agg(F.lit(fold).alias("fold"), (F.min("n") >= 5).alias("at_least_k"), F.sum("n").alias("n_rows"))
-        out = line if out is None else out.unionByName(line)
-    return out
+        return materialize(groups.agg(F.lit(fold).alias("fold"), (F.min("n") >= 5).alias("at_least_k"), F.sum("n").alias("n_rows")))
+
+    with ThreadPoolExecutor(5) as pool:  # the rounds of a fold leave most cores idle
+        lines = list(pool.map(one, range(5)))
+    return reduce(DataFrame.unionByName, lines)

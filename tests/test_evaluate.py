@@ -1,6 +1,9 @@
 """Grids whose points share their work, against fits of their own."""
 
+import threading
+
 from cloakwork.plans import evaluate
+from cloakwork.plans.catalog import files
 from cloakwork.plans.evaluate import Problem
 
 
@@ -22,3 +25,11 @@ def test_logistic_fits_that_ended_by_themselves_serve_longer_limits(spark, monke
             want = predict(df.filter(f"fold = {fold}").drop("fold")).select("y", "prediction").collect()
             found = got.filter(f"setting = {i} and fold = {fold}").select("label", "prediction").collect()
             assert sorted(map(tuple, found)) == sorted(map(tuple, want))
+
+
+def test_folds_are_recoded_side_by_side(spark, sf, monkeypatch):
+    """No fold waits for the one before: all five stand at the fit of their clusters together."""
+    meet, fit = threading.Barrier(5, timeout=60), files.clusters.fit_clusters
+    monkeypatch.setattr(files.clusters, "fit_clusters", lambda *args, **options: (meet.wait(), fit(*args, **options))[1])
+    rows = files.anonymity_in_folds(spark, sf).collect()
+    assert sorted(r["fold"] for r in rows) == list(range(5)) and all(r["at_least_k"] for r in rows)
