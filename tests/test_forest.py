@@ -187,3 +187,37 @@ def test_counted_classes_grow_the_tree_of_sorted_rows(max_features, min_leaf):
         assert rules._grow_classes(3, "r", ranks, [4, 2, 10], y.astype(int), w.astype(int)).equals(counted)
     finally:
         forest.SEARCHED = before
+
+
+def test_deep_trees_travel_without_paths(spark):
+    """A node is a few numbers however deep it lies; its path is put together where nodes are asked for."""
+    df = spark.range(300).selectExpr("id", "cast(id as double) a", "pow(1.5D, id) y")  # every split cuts off one row
+    fitted = forest.fit(df, "id", ["a"], "y", "number", 1, bootstrap=False)
+    nodes = fitted.nodes.collect()
+    assert max(len(r.node) for r in nodes) > 20
+    assert fitted.blocks.agg(F.sum(F.length("blob"))).first()[0] == 28 * len(nodes)
+    by = {r.node: r for r in nodes}
+
+    def walked(a, deep, least):
+        path = "r"
+        while by[path].feature >= 0 and len(path) - 1 < deep and by[path].n >= least:
+            path += "0" if a <= by[path].threshold else "1"
+        return by[path].value[0]
+
+    settings = [(1, None, 0), (1, 3, 2), (1, 9, 292)]
+    found = fitted.predict_settings(df, settings).collect()
+    assert len(found) == 900
+    for r in found:
+        _, deep, least = settings[r.setting]
+        assert r.prediction == walked(r.a, deep or 300, least)
+
+
+def test_few_values_are_counted_not_sorted(monkeypatch):
+    rng = np.random.default_rng(5)
+    n = 900
+    x = np.column_stack([rng.integers(0, 2, (n, 3)), rng.integers(0, 9, n)]).astype(float)
+    y, w = rng.integers(0, 3, n).astype(float), 1.0 + rng.poisson(1, n)
+    rules = forest.Rules(4, 3, False, 40, 1, None, 0.0, 4, 42, 0.0)
+    want = rules._grow_sorted(0, "r", x, y, w)
+    monkeypatch.setattr(forest.Rules, "_along_codes", None)
+    assert rules.grow(0, "r", x, y, w).equals(want) and want.num_rows > 20
