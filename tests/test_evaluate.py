@@ -33,3 +33,12 @@ def test_folds_are_recoded_side_by_side(spark, sf, monkeypatch):
     monkeypatch.setattr(files.clusters, "fit_clusters", lambda *args, **options: (meet.wait(), fit(*args, **options))[1])
     rows = files.anonymity_in_folds(spark, sf).collect()
     assert sorted(r["fold"] for r in rows) == list(range(5)) and all(r["at_least_k"] for r in rows)
+
+
+def test_steps_of_a_fold_are_fitted_once_for_all_models(spark):
+    df = spark.range(40).selectExpr("id", "cast(id as double) a", "cast(id % 2 as string) y", "cast(id % 4 as int) fold")
+    p, made = Problem(df.drop("fold"), "id", "y"), []
+    steps = lambda: evaluate.Steps([lambda rows: made.append(1) or evaluate.Mapping(lambda d: d.withColumn("a", d.a * 2))])
+    models = {name: evaluate.stump() for name in ("one", "two", "three")}
+    scores = evaluate.cross_validate(p, models, df, "doubled", steps).filter("metric = 'accuracy'").collect()
+    assert len(made) == 4 and len({(r.model, r.fold) for r in scores}) == 12
