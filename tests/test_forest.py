@@ -221,3 +221,34 @@ def test_few_values_are_counted_not_sorted(monkeypatch):
     want = rules._grow_sorted(0, "r", x, y, w)
     monkeypatch.setattr(forest.Rules, "_along_codes", None)
     assert rules.grow(0, "r", x, y, w).equals(want) and want.num_rows > 20
+
+
+def test_rows_travel_in_the_narrowest_numbers(spark):
+    df = spark.range(50).selectExpr("cast(id % 2 as double) x0", "cast(id * 1000 as double) x1", "id / 4D x2", "id / 3D x3", "8.9e307D x4")
+    kinds = forest._kinds(df, 5)
+    assert kinds == ("i1", "i4", "f4", "f8", "f8")
+    x = np.array(df.collect(), dtype=float)
+    columns = [pa.array(x.tolist()), pa.array([[0] * 5] * 50, pa.list_(pa.int32())), pa.array(np.arange(50.0)), pa.array([[1, 0]] * 50, pa.list_(pa.int8()))]
+    batch = pa.RecordBatch.from_arrays(columns, ["x", "b", "y", "w"])
+    (sent,) = forest._small_rows(forest.Growth(5, 1, True, 1, np.array([-2, -3]), kinds=kinds))(iter([batch]))
+    rows = np.frombuffer(sent.column("rows")[0].as_py(), forest._packed(5, kinds))
+    assert rows.itemsize == 1 + 4 + 4 + 8 + 8 + 9 and np.array_equal(forest._features_in(rows, 5, kinds), x)
+
+
+def test_draws_by_digits_are_the_poisson_draws(spark):
+    from cloakwork.functions.hashing import poisson_one, unit_hash
+
+    df = spark.range(3000).selectExpr("if(id = 7, null, id) id")
+    want = F.array(*[poisson_one(unit_hash(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(t + 42))), "bootstrap")) for t in range(4)])
+    got = df.select(forest.draws("id", 4, 42).alias("a"), want.alias("b")).collect()
+    assert all(r.a == r.b for r in got) and max(max(r.a) for r in got) > 4
+    plan = df.select(forest.draws("id", 4, 42))._jdf.queryExecution().optimizedPlan().toString()
+    assert "conv(" not in plan
+
+
+def test_rows_walk_once(spark):
+    """No filter before the explode that asks the trees a second time."""
+    df = spark.createDataFrame(rows(60, 7), SCHEMA)
+    fitted = forest.fit(df, "id", ["a", "b"], "job", trees=3)
+    plan = fitted.predict(df).filter("prediction = job")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1, plan
