@@ -252,3 +252,12 @@ def test_rows_walk_once(spark):
     fitted = forest.fit(df, "id", ["a", "b"], "job", trees=3)
     plan = fitted.predict(df).filter("prediction = job")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1, plan
+
+
+def test_rows_are_packed_for_the_blocks():
+    ids, piece, x = np.arange(50), np.arange(50) % 3, np.arange(100.0).reshape(50, 2)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(piece, pa.int32()), pa.array(x.tolist())], ["_row", "piece", "x"])
+    (sent,) = forest._chunked(iter([batch]))
+    assert sent.column("piece").to_pylist() == [0, 1, 2]
+    for k, (i, v) in enumerate(zip(sent.column("ids").to_pylist(), sent.column("x").to_pylist(), strict=True)):
+        assert np.array_equal(np.frombuffer(i, np.int64), ids[piece == k]) and np.array_equal(np.frombuffer(v).reshape(-1, 2), x[piece == k])
